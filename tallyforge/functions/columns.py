@@ -69,11 +69,8 @@ def row_digest(names):
 
 def melt(df, names, as_type, keep=(), name_col="feature", value_col="value"):
     """Long form of ``names`` cast to one type; nulls are kept."""
-    return df.select(
-        *keep, F.explode(F.array(*[
-            F.struct(F.lit(n).alias(name_col), c(n).cast(as_type).alias(value_col)) for n in names
-        ])).alias("_cell")
-    ).select(*keep, f"_cell.{name_col}", f"_cell.{value_col}")
+    cells = [F.struct(F.lit(n).alias(name_col), c(n).cast(as_type).alias(value_col)) for n in names]
+    return df.select(*keep, F.inline(F.array(*cells)))
 
 
 def clip(col, low, high):
