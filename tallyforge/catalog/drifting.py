@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift
 from ..plans.profile import CATEGORICAL, NUMERIC, customer_profile, with_profile
+from ..session import stored
 from . import query
 from .exploring import _rounded, union
 
@@ -15,8 +16,9 @@ new AS (SELECT cp.* REPLACE ("CashbackAmount" * 1.2 AS "CashbackAmount",
 
 
 def halves(spark, sf):
-    cp = customer_profile(spark, sf)
-    half = customer_profile(spark, sf).agg(F.avg("CustomerID")).scalar()
+    """Written once: every test reads both halves."""
+    cp = stored(customer_profile(spark, sf), "profile")
+    half = cp.agg(F.avg("CustomerID")).scalar()
     key = F.col("CustomerID")
     new = cp.where(key >= half).withColumns({
         "CashbackAmount": F.col("CashbackAmount") * 1.2,
@@ -57,7 +59,7 @@ def _ks(n):
     return f"""SELECT '{n}' AS feature, max(na) AS n_reference, max(nb) AS n_new, round(max(abs(ra / na - rb / nb)), 6) AS statistic FROM (
    SELECT sum(a) OVER (ORDER BY v) AS ra, sum(b) OVER (ORDER BY v) AS rb, CAST(sum(a) OVER () AS BIGINT) AS na, CAST(sum(b) OVER () AS BIGINT) AS nb FROM (
      SELECT v, count(*) FILTER (WHERE s = 0) AS a, count(*) FILTER (WHERE s = 1) AS b FROM (
-       SELECT "{n}" AS v, 0 AS s FROM ref UNION ALL SELECT "{n}", 1 FROM new) WHERE v IS NOT NULL GROUP BY v))"""
+       SELECT "{n}" AS v, 0 AS s FROM ref UNION ALL SELECT "{n}", 1 FROM new) WHERE v IS NOT NULL GROUP BY v)) HAVING max(na) > 0 AND max(nb) > 0"""
 
 
 @query("h4_ks_statistic", with_profile(HALVES + union(_ks(n) for n in NUMS)))
