@@ -1,7 +1,7 @@
 """Splits, folds, samples and rebalancing."""
 from pyspark.sql import functions as F
 
-from ..operators import split
+from ..operators import rebalance, split
 from ..plans.profile import customer_profile, table, with_profile
 from ..session import stored
 from . import query
@@ -56,3 +56,52 @@ def e8(spark, sf):
 @query("e8_first_rows", with_profile('SELECT "CustomerID", "OrderCount" FROM cp ORDER BY "CustomerID" LIMIT 100'))
 def e8_first(spark, sf):
     return split.first_rows(_cp(spark, sf), 100, "CustomerID").select("CustomerID", "OrderCount")
+
+
+# --------------------------------------------------------------------------- rebalancing
+
+COLUMNS = ["OrderCount", "CouponUsed", "DaySinceLastOrder", "CashbackAmount", "WarehouseToHome"]
+
+
+def rebalance_input(spark, sf):
+    cells = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in COLUMNS]
+    return stored(customer_profile(spark, sf).select("CustomerID", *cells, "ChurnPlanted"), "profile")
+
+
+def vectors(spark, sf):
+    df = table(spark, sf, "embeddings")
+    return df.select(F.col("vec_id").alias("id"), *[F.get("embedding", F.lit(i)).cast("double").alias(f"v{i}") for i in range(64)], (F.col("label") % 2).alias("side"))
+
+
+_NEAR = """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e, label % 2 AS side FROM embeddings),
+ d AS (SELECT a.id AS a, b.id AS b, a.side AS sa, b.side AS sb, list_sum(list_transform(list_zip(a.e, b.e), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) AS d2 FROM v a JOIN v b ON a.id <> b.id),
+ r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d2, b) AS rn FROM d) """
+
+
+@query("e4_nearest_neighbours", _NEAR + "SELECT a AS key, b AS neighbour, round(sqrt(d2), 6) AS distance FROM r WHERE rn <= 5")
+def e4_near(spark, sf):
+    df = vectors(spark, sf)
+    near = rebalance.neighbours(df, [f"v{i}" for i in range(64)], "id", 5)
+    return near.withColumn("distance", F.round("distance", 6))
+
+
+@query("e4_oversample")
+def e4(spark, sf):
+    return rebalance.oversample(rebalance_input(spark, sf), COLUMNS, "ChurnPlanted", "CustomerID")
+
+
+@query("e4_class_sizes", with_profile('SELECT y AS "ChurnPlanted", max(k) AS n FROM (SELECT unnest([0, 1]) AS y), (SELECT count(*) AS k FROM cp GROUP BY "ChurnPlanted") GROUP BY 1'))
+def e4_sizes(spark, sf):
+    grown = rebalance.oversample(rebalance_input(spark, sf), COLUMNS, "ChurnPlanted", "CustomerID")
+    return grown.groupBy("ChurnPlanted").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("e5_tomek_links", _NEAR + """, n AS (SELECT a, b, sa, sb FROM r WHERE rn = 1)
+ SELECT x.a, x.b FROM n x JOIN n y ON x.a = y.b AND x.b = y.a WHERE x.a < x.b AND x.sa <> x.sb""")
+def e5(spark, sf):
+    return rebalance.tomek_links(vectors(spark, sf), [f"v{i}" for i in range(64)], "side", "id")
+
+
+@query("e6_oversample_then_clean")
+def e6(spark, sf):
+    return rebalance.oversample_then_clean(rebalance_input(spark, sf), COLUMNS, "ChurnPlanted", "CustomerID")
