@@ -1,7 +1,7 @@
 """Explanations of a fixed linear score, and of a fitted model."""
 from pyspark.sql import functions as F
 
-from ..operators import explain
+from ..operators import explain, models
 from ..plans.profile import customer_profile, with_profile
 from ..session import stored
 from . import query
