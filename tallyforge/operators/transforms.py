@@ -217,6 +217,12 @@ def ranked_labels(df, column):
     )
 
 
+def _label_text(col, missing):
+    """A cell as text; a missing one is a label of its own unless ``missing`` is None."""
+    text = col.cast("string")
+    return text if missing is None else F.coalesce(text, F.lit(missing))
+
+
 class CategoryCoderModel(_Learned):
     def _transform(self, df):
         spark = df.sparkSession
@@ -224,7 +230,7 @@ class CategoryCoderModel(_Learned):
             if n not in df.columns:
                 continue
             unseen = -1 if self.option("unseen") == "minus_one" else known["size"]
-            text = F.coalesce(c(n).cast("string"), F.lit("nan"))
+            text = _label_text(c(n), self.option("missing"))
             if known["table"]:
                 # left to the optimiser: broadcast when the code table is small, else sort-merge
                 codes = spark.read.parquet(known["table"]).withColumnsRenamed({"label": "_label", "code": "_code"})
@@ -240,16 +246,16 @@ class CategoryCoderModel(_Learned):
 class CategoryCoder(_Stage):
     """Codes by sorted order from 0; unseen values become -1, or the number of known values."""
 
-    DEFAULTS = {"unseen": "minus_one", "columns": None, "skip": [], "inline_labels": INLINE_LABELS}
+    DEFAULTS = {"unseen": "minus_one", "missing": "nan", "columns": None, "skip": [], "inline_labels": INLINE_LABELS}
     MODEL = CategoryCoderModel
 
     def _learn(self, df):
         columns = list(self.option("columns") or string_columns(df, set(self.option("skip"))))
         limit = self.option("inline_labels")
-        as_text = df.select(*[F.coalesce(c(n).cast("string"), F.lit("nan")).alias(n) for n in columns])
         if not columns:
             return {}
-        distinct = melt(as_text, columns, "string").distinct()
+        as_text = df.select(*[_label_text(c(n), self.option("missing")).alias(n) for n in columns])
+        distinct = melt(as_text, columns, "string").where("value is not null").distinct()
         sizes = {r["feature"]: r["n"] for r in distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
         short = [n for n in columns if sizes.get(n, 0) <= limit]
         words = {n: [] for n in columns}
@@ -266,14 +272,9 @@ class CategoryCoder(_Stage):
         return learned
 
 
-def dense_codes(df, columns):
-    """Codes of the values present in this very frame (missing is -1)."""
-    has_null = CategoryCoder(columns=columns).fit(df.na.drop(subset=columns, how="all"))
-    coded = {}
-    for n in columns:
-        known = has_null.learned[n]
-        coded[n] = {**known, "labels": [v for v in known["labels"] if v != "nan"]}
-    return CategoryCoderModel()._learn(has_null.getOrDefault(has_null.options), coded).transform(df)
+def dense_codes(df, columns=None):
+    """Codes of the values present in this very frame; a missing value is -1."""
+    return CategoryCoder(columns=columns, missing=None).fit(df).transform(df)
 
 
 # --------------------------------------------------------------------------- scaling
@@ -414,6 +415,9 @@ class FeaturePicker(_Stage):
 
 # --------------------------------------------------------------------------- the chain
 
+# a struct column of this name passes through the chain untouched
+SOURCE = "_source"
+
 # Default settings of the preparation chain.
 PREPARATION = {
     "numeric_fill": "median",
@@ -441,6 +445,6 @@ def preparation(label="Churn", id_cols=("CustomerID",), **settings):
         OutlierLimiter(method=s["outlier_method"], threshold=s["outlier_threshold"], skip=skip),
         Scaler(kind=s["scaler"], skip=skip),
         CategoryCoder(skip=skip),
-        FeaturePicker(label=label, k=s["n_top_features"], method=s["feature_selection"], keep=list(id_cols)),
+        FeaturePicker(label=label, k=s["n_top_features"], method=s["feature_selection"], keep=[*id_cols, SOURCE]),
     ]
     return Pipeline(stages=stages)
