@@ -98,31 +98,31 @@ def _narrow(df, cols, searches, accuracy):
     edges = df.agg(*exprs).first()
     exprs = []
     for j, (name, *_rest) in enumerate(searches):
-        c = cols[name]
-        exprs.append(F.count_if(c < F.lit(edges[j][0])).alias(f"b{j}"))
-        exprs.append(F.count_if(c <= F.lit(edges[j][1])).alias(f"t{j}"))
-    counts = df.agg(*exprs).first()
+        c, lo, hi = cols[name], F.lit(edges[j][0]), F.lit(edges[j][1])
+        exprs += [
+            F.count_if(c < lo).alias(f"under{j}"), F.count_if(c <= lo).alias(f"to_lo{j}"),
+            F.count_if(c < hi).alias(f"to_hi{j}"), F.count_if(c <= hi).alias(f"upto{j}"),
+            F.max(F.when(c < lo, c)).alias(f"before{j}"), F.min(F.when(c > lo, c)).alias(f"next{j}"),
+            F.max(F.when(c < hi, c)).alias(f"last{j}"), F.min(F.when(c > hi, c)).alias(f"after{j}"),
+        ]
+    facts = df.agg(*exprs).first()
     out = []
     for j, (name, rank, low, high, below, size) in enumerate(searches):
-        new_low, new_high = edges[j]
-        under, upto = counts[f"b{j}"], counts[f"t{j}"]
-        if under > rank:  # the sketch overshot: keep the exact part below it
-            out.append((name, rank, low, new_low, below, under - below + _ties(df, cols[name], new_low)))
-        elif upto <= rank:
-            out.append((name, rank, new_high, high, _below(df, cols[name], new_high), below + size - _below(df, cols[name], new_high)))
+        under, to_lo, to_hi, upto = (facts[f"{k}{j}"] for k in ("under", "to_lo", "to_hi", "upto"))
+        # the edge values themselves are decided by the counts, so every step drops distinct values
+        if rank < under:  # the sketch overshot
+            out.append((name, rank, low, facts[f"before{j}"], below, under - below))
+        elif rank < to_lo:
+            out.append((name, rank, edges[j][0], edges[j][0], under, to_lo - under))
+        elif rank >= upto:
+            out.append((name, rank, facts[f"after{j}"], high, upto, below + size - upto))
+        elif rank >= to_hi:
+            out.append((name, rank, edges[j][1], edges[j][1], to_hi, upto - to_hi))
         else:
-            out.append((name, rank, new_low, new_high, under, upto - under))
+            out.append((name, rank, facts[f"next{j}"], facts[f"last{j}"], to_lo, to_hi - to_lo))
     return out
 
 
-def _ties(df, col, value):
-    return df.agg(F.count_if(col == F.lit(value))).first()[0]
-
-
-def _below(df, col, value):
-    return df.agg(F.count_if(col < F.lit(value))).first()[0]
-
-
 def exact_quantiles(df, columns, probs, buffer_rows=BUFFER_ROWS):
     """Linearly interpolated quantiles: ``{column: {prob: value or None}}``."""
 
