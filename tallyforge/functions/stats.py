@@ -62,19 +62,22 @@ def _ks_exact(d, m, n):
     reach = round(d * mg * ng * g)
     if reach <= 0:
         return 1.0
-    # leave[i]: chance, given the path passes (i, s - i), that it has left the band by then
-    leave = np.zeros(m + 1)
-    i = np.arange(m + 1)
+    # leave[i]: chance that a path through (i, s - i) has left the band by then; it is 1 outside
+    # the band, and only the cells inside it are updated from one diagonal to the next
+    leave = np.ones(m + 2)
+    old_low, old_high = 0, 0
+    leave[1] = 0.0  # cell i is kept at i + 1
     for s in range(1, m + n + 1):
-        low, high = max(0, s - n), min(m, s)
-        at = i[low : high + 1]
-        new = np.zeros(m + 1)
-        from_left = np.where(at > 0, leave[np.maximum(at - 1, 0)], 0.0) * at / s
-        from_below = leave[at] * (s - at) / s
-        inside = from_left + from_below
-        new[low : high + 1] = np.where(np.abs(at * ng - (s - at) * mg) >= reach, 1.0, inside)
-        leave = new
-    return float(min(1.0, leave[m]))
+        low = max(0, s - n, (s * mg - reach) // (mg + ng) + 1)
+        high = min(m, s, -((-s * mg - reach) // (mg + ng)) - 1)
+        if low > high:
+            return 1.0
+        i = np.arange(low, high + 1)
+        new = (leave[low : high + 1] * i + leave[low + 1 : high + 2] * (s - i)) / s
+        leave[old_low + 1 : old_high + 2] = 1.0
+        leave[low + 1 : high + 2] = new
+        old_low, old_high = low, high
+    return float(min(1.0, leave[m + 1]))
 
 
 def ks_two_sample_p(d, n1, n2, exact_limit=EXACT_LIMIT):

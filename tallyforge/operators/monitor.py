@@ -35,7 +35,7 @@ def number_versions(registrations):
     a model with very many registrations is not numbered by one task.
     """
     instants = registrations.select("model_name", F.unix_micros(F.col("registered_at").cast("timestamp")).alias("_at")).distinct().withColumn("_one", F.lit(1))
-    numbered = running_totals(instants, ["model_name"], "_at", ["_one"])
+    numbered = running_totals(instants, ["model_name"], "_at", ["_one"], few_groups=False)
     return (
         registrations.withColumn("_at", F.unix_micros(F.col("registered_at").cast("timestamp")))
         .join(numbered.select("model_name", "_at", F.col("run__one").alias("version")), ["model_name", "_at"])

@@ -317,18 +317,33 @@ class Scaler(_Stage):
 # --------------------------------------------------------------------------- selection
 
 
-def anova_scores(df, columns, label):
-    """F statistic of each feature between the classes: ``{feature: F or None}``, one pass."""
-    rows = (
-        df.where(c(label).isNotNull())
-        .groupBy(c(label))
+def _class_facts(df, columns, label):
+    """Per class and feature: count, mean, variance and range; one pass, one line per class."""
+    return (
+        df.groupBy(c(label).alias("_class"))
         .agg(
             *[F.count(c(n)).alias(f"n{i}") for i, n in enumerate(columns)],
             *[F.avg(c(n).cast("double")).alias(f"m{i}") for i, n in enumerate(columns)],
             *[F.var_pop(c(n).cast("double")).alias(f"v{i}") for i, n in enumerate(columns)],
+            *[F.min(c(n)).alias(f"lo{i}") for i, n in enumerate(columns)],
+            *[F.max(c(n)).alias(f"hi{i}") for i, n in enumerate(columns)],
         )
-        .collect()  # one line per class
+        .collect()
     )
+
+
+def _constant(rows, i):
+    edges = {r[k] for r in rows for k in (f"lo{i}", f"hi{i}") if r[f"n{i}"]}
+    return len(edges) <= 1
+
+
+def anova_scores(df, columns, label):
+    """F statistic of each feature between the classes: ``{feature: F or None}``, one pass."""
+    return _anova(_class_facts(df, columns, label), columns)
+
+
+def _anova(rows, columns):
+    rows = [r for r in rows if r["_class"] is not None]
     scores = {}
     for i, n in enumerate(columns):
         groups = [(r[f"n{i}"], r[f"m{i}"], r[f"v{i}"]) for r in rows if r[f"n{i}"]]
@@ -397,13 +412,18 @@ class FeaturePicker(_Stage):
         label = self.option("label")
         outside = {label, *self.option("keep")}
         features = [n for n in df.columns if n not in outside]
-        constant = set(constant_columns(df, features)) if features else set()
+        if label in df.columns:
+            rows = _class_facts(df, features, label)
+            constant = {n for i, n in enumerate(features) if _constant(rows, i)}
+            scores = {n: v for n, v in _anova(rows, features).items() if n not in constant}
+        else:
+            constant, scores = set(constant_columns(df, features)), None
         features = [n for n in features if n not in constant]
         k = self.option("k")
-        if k is None or k >= len(features) or not self.option("method"):
+        if k is None or k >= len(features) or not self.option("method") or scores is None:
             return {"selected": features, "constant": sorted(constant)}
-        score = anova_scores if self.option("method") == "anova" else information_scores
-        scores = score(df, features, label)
+        if self.option("method") != "anova":
+            scores = information_scores(df, features, label)
         # ties go to the later column, and an undefined score ranks last
         order = sorted(
             range(len(features)),

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, melt, missing_cells, numeric_columns, row_digest, string_columns
+from ..session import stored
 from ..sources.io import exists
 
 VERSION_SCHEMA = (
@@ -113,23 +114,28 @@ def compare_versions(versions, pairs):
 def ancestors(edges, starts=None, max_depth=MAX_DEPTH):
     """All ancestors of each dataset: ``(dataset, depth, parent, transformation)``.
 
-    ``edges`` holds ``dataset, parent, transformation``. A parent already on the way is not
-    entered again, so a cycle ends the walk.
+    ``edges`` holds ``dataset, parent, transformation``. One join per generation, each written
+    out before the next, so neither the plan nor a row limit bounds the walk. A parent already
+    on the way is not entered again, so a cycle ends it.
     """
+    edges = stored(edges.select("dataset", "parent", "transformation"), "edges")
     starts = edges.select("dataset").distinct() if starts is None else starts.select("dataset").distinct()
-    return edges.sparkSession.sql(
-        """
-        WITH RECURSIVE walk(dataset, depth, parent, transformation, seen) AS (
-          SELECT s.dataset, 1, e.parent, e.transformation, array(s.dataset, e.parent)
-          FROM {starts} s JOIN {edges} e ON e.dataset = s.dataset
-          UNION ALL
-          SELECT w.dataset, w.depth + 1, e.parent, e.transformation, array_append(w.seen, e.parent)
-          FROM walk w JOIN {edges} e ON e.dataset = w.parent
-          WHERE w.depth < {depth} AND NOT array_contains(w.seen, e.parent))
-        SELECT dataset, depth, parent, transformation FROM walk
-        """,
-        starts=starts, edges=edges, depth=max_depth,
+    steps = edges.select(F.col("dataset").alias("_from"), F.col("parent").alias("_to"), F.col("transformation").alias("_how"))
+    front = starts.join(edges, "dataset").select(
+        "dataset", F.lit(1).alias("depth"), "parent", "transformation", F.array("dataset", "parent").alias("_seen")
     )
+    found = None
+    for depth in range(1, max_depth + 1):
+        front = stored(front, f"generation-{depth}")
+        found = front.drop("_seen") if found is None else found.unionAll(front.drop("_seen"))
+        if front.isEmpty():
+            break
+        front = (
+            front.join(steps, F.col("parent") == F.col("_from"))
+            .where(~F.array_contains("_seen", F.col("_to")))
+            .select("dataset", F.lit(depth + 1).alias("depth"), F.col("_to").alias("parent"), F.col("_how").alias("transformation"), F.array_append("_seen", F.col("_to")).alias("_seen"))
+        )
+    return found
 
 
 # --------------------------------------------------------------------------- the store

@@ -21,8 +21,15 @@ NUMERIC = [
 CATEGORICAL = ["PreferredLoginDevice", "PreferredPaymentMode", "PreferedOrderCat"]
 
 
+_SCHEMAS = {}
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables; its schema is read from the footer once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def customer_profile(spark, sf_dir):

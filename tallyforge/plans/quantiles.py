@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 BUFFER_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
+SEARCHES_PER_PASS = 16
 
 
 def values_at_ranks(df, wanted, buffer_rows=BUFFER_ROWS, accuracy=SKETCH_ACCURACY):
@@ -55,7 +56,9 @@ def values_at_ranks(df, wanted, buffer_rows=BUFFER_ROWS, accuracy=SKETCH_ACCURAC
         large = [s for s in pending if s[5] > buffer_rows]
         if small:
             _read_small(df, cols, small, found)
-        open_searches = _narrow(df, cols, large, accuracy) if large else []
+        open_searches = []
+        for start in range(0, len(large), SEARCHES_PER_PASS):
+            open_searches += _narrow(df, cols, large[start : start + SEARCHES_PER_PASS], accuracy)
     return found
 
 

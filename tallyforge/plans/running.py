@@ -10,12 +10,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
-def running_totals(df, by, order, sums, descending=False, ranges=32):
+def running_totals(df, by, order, sums, descending=False, ranges=32, few_groups=True):
     """Add ``run_<c>`` (inclusive running sum) and ``all_<c>`` (group total) for each ``c`` in ``sums``.
 
-    ``df`` must hold one row per (``by``, ``order``), and ``by`` few distinct values
-    (features or models, never row keys): one line per group is broadcast.
+    ``df`` must hold one row per (``by``, ``order``). With ``few_groups`` the groups are
+    known to be few (columns of a table, models of one evaluation) and their totals, one line
+    per group and range, are broadcast; otherwise the optimiser picks the joins by size.
     """
+    small = F.broadcast if few_groups else (lambda frame: frame)
     probs = [i / ranges for i in range(1, ranges)]
     # reading the sums here too keeps this branch on the same shuffle as the rows below
     per_group = df.groupBy(*by).agg(
@@ -23,7 +25,7 @@ def running_totals(df, by, order, sums, descending=False, ranges=32):
         *[F.sum(c).alias(f"all_{c}") for c in sums],
     )
     if by:
-        tagged = df.join(F.broadcast(per_group), by)
+        tagged = df.join(small(per_group), by)
     else:
         one = per_group.select(F.struct(*per_group.columns).alias("g")).scalar()
         tagged = df.withColumn("_g", one).select(
@@ -46,8 +48,7 @@ def running_totals(df, by, order, sums, descending=False, ranges=32):
     inner = Window.partitionBy(*by, "_range").orderBy(value_order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    # groups x ranges lines at most
-    joined = tagged.join(F.broadcast(offsets), [*by, "_range"])
+    joined = tagged.join(small(offsets), [*by, "_range"])
     return joined.select(
         *df.columns,
         *[f"all_{c}" for c in sums],
