@@ -108,14 +108,16 @@ def _k_best(x, ids, p, pids, k):
         part = x[start : start + step]
         d2 = ((part[:, None, :] - p[None, :, :]) ** 2).sum(axis=2)
         d2[ids[start : start + step, None] == pids[None, :]] = np.inf
-        # ties by id
-        order = np.lexsort((np.broadcast_to(pids, d2.shape), d2), axis=1)[:, :k]
-        near = np.take_along_axis(d2, order, axis=1)
-        ok = np.isfinite(near)
-        r, _ = np.nonzero(ok)
+        last = np.partition(d2, min(k, len(p)) - 1, axis=1)[:, min(k, len(p)) - 1]
+        r, at = np.nonzero((d2 <= last[:, None]) & np.isfinite(d2))
+        # only the candidates are sorted; ties in distance go to the smaller id
+        order = np.lexsort((pids[at], d2[r, at], r))
+        r, at = r[order], at[order]
+        keep = np.arange(len(r)) - np.searchsorted(r, r) < k
+        r, at = r[keep], at[keep]
         rows.append(r + start)
-        found.append(pids[order[ok]])
-        dist.append(near[ok])
+        found.append(pids[at])
+        dist.append(d2[r, at])
     return np.concatenate(rows), np.concatenate(found), np.concatenate(dist)
 
 
