@@ -5,7 +5,7 @@ from ..operators import drift
 from ..plans.profile import CATEGORICAL, NUMERIC, customer_profile, with_profile
 from ..session import stored
 from . import query
-from .exploring import _rounded, union
+from .exploring import QUARTILES, _rounded, union
 
 NUMS = ["Tenure", "WarehouseToHome", "HourSpendOnApp", "OrderCount", "CashbackAmount", "CouponUsed", "SatisfactionScore"]
 
@@ -29,9 +29,9 @@ def halves(spark, sf):
 
 @query("h1_numeric_reference", with_profile(HALVES + union(
     f"""SELECT '{n}' AS feature, round(avg("{n}"), 5) AS mean, round(stddev_samp("{n}"), 5) AS std, round(min("{n}")::DOUBLE, 5) AS min, round(max("{n}")::DOUBLE, 5) AS max,
-    round(quantile_cont("{n}"::DOUBLE, 0.25), 5) AS q1, round(quantile_cont("{n}"::DOUBLE, 0.5), 5) AS median, round(quantile_cont("{n}"::DOUBLE, 0.75), 5) AS q3 FROM ref""" for n in NUMS)))
+    round(quantile_cont("{n}"::DOUBLE, 0.25), 7) AS q1, round(quantile_cont("{n}"::DOUBLE, 0.5), 7) AS median, round(quantile_cont("{n}"::DOUBLE, 0.75), 7) AS q3 FROM ref""" for n in NUMS)))
 def h1(spark, sf):
-    return _rounded(drift.numeric_reference(halves(spark, sf)[0].select(*NUMS)), 5)
+    return _rounded(drift.numeric_reference(halves(spark, sf)[0].select(*NUMS)), 5, **QUARTILES)
 
 
 @query("h1_category_reference", with_profile(HALVES + union(

@@ -6,7 +6,7 @@ from ..plans.profile import customer_profile, with_profile
 from ..session import stored
 from . import query
 from .exploring import _rounded
-from .splitting import ORDER, ORDER_SQL
+from .splitting import ORDER_SQL, key_order
 
 SCORED = """, wide AS (SELECT "CustomerID", "ChurnPlanted" AS label, coalesce(100 - 8 * "OrderCount", 100) AS a,
   coalesce(90 - 3 * "CouponUsed", 90) AS b, coalesce("DaySinceLastOrder" // 8, 100) AS d FROM cp),
@@ -117,7 +117,7 @@ def j8_ap(spark, sf):
  FROM m a JOIN m b ON a.model = b.model AND NOT a.is_test AND b.is_test"""))
 def j9(spark, sf):
     keys = stored(customer_profile(spark, sf).select("CustomerID", "ChurnPlanted"), "keys")
-    side = split.with_side(keys, "ChurnPlanted", "CustomerID", order=ORDER).select("CustomerID", "is_test")
+    side = split.with_side(keys, "ChurnPlanted", "CustomerID", order=key_order()).select("CustomerID", "is_test")
     both = scored(spark, sf).join(side, "CustomerID")
     return _rounded(metrics.overfit_gap(both.where("not is_test"), both.where("is_test")))
 

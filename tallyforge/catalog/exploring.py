@@ -10,8 +10,12 @@ ALL = ["CustomerID", *FEATURES, "Churn", "ChurnPlanted"]
 FEW = ["Tenure", "WarehouseToHome", "HourSpendOnApp", "OrderCount", "DaySinceLastOrder", "CashbackAmount", "CouponUsed"]
 
 
-def _rounded(df, places=6):
-    return df.select(*[F.round(n, places).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes])
+# Quartiles of numbers with four decimals end after six: seven places cannot meet a rounding tie.
+QUARTILES = {"q1": 7, "median": 7, "q3": 7}
+
+
+def _rounded(df, places=6, **other):
+    return df.select(*[F.round(n, other.get(n, places)).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes])
 
 
 def union(lines):
@@ -70,7 +74,7 @@ def f4_density(spark, sf):
 
 
 def _box(n):
-    return f"""SELECT '{n}' AS feature, round(q1, 5) AS q1, round(q2, 5) AS median, round(q3, 5) AS q3,
+    return f"""SELECT '{n}' AS feature, round(q1, 7) AS q1, round(q2, 7) AS median, round(q3, 7) AS q3,
     round(min(x) FILTER (WHERE x BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 5) AS whisker_low,
     round(max(x) FILTER (WHERE x BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 5) AS whisker_high,
     count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS outliers
@@ -80,7 +84,7 @@ def _box(n):
 
 @query("f5_box_statistics", with_profile(union(_box(n) for n in FEW)))
 def f5(spark, sf):
-    return _rounded(explore.box_statistics(stored(customer_profile(spark, sf).select(*FEW), "profile")), 5)
+    return _rounded(explore.box_statistics(stored(customer_profile(spark, sf).select(*FEW), "profile")), 5, **QUARTILES)
 
 
 def _corr(a, b):
@@ -147,10 +151,10 @@ def f11(spark, sf):
 
 @query("f12_describe_numeric", with_profile(union(
     f"""SELECT '{n}' AS feature, count("{n}") AS count, round(avg("{n}"), 5) AS mean, round(stddev_samp("{n}"), 5) AS std, round(min("{n}")::DOUBLE, 5) AS min,
-    round(quantile_cont("{n}"::DOUBLE, 0.25), 5) AS q1, round(quantile_cont("{n}"::DOUBLE, 0.5), 5) AS median, round(quantile_cont("{n}"::DOUBLE, 0.75), 5) AS q3,
+    round(quantile_cont("{n}"::DOUBLE, 0.25), 7) AS q1, round(quantile_cont("{n}"::DOUBLE, 0.5), 7) AS median, round(quantile_cont("{n}"::DOUBLE, 0.75), 7) AS q3,
     round(max("{n}")::DOUBLE, 5) AS max FROM cp""" for n in FEW)))
 def f12(spark, sf):
-    return _rounded(explore.describe_numeric(stored(customer_profile(spark, sf).select(*FEW), "profile")), 5)
+    return _rounded(explore.describe_numeric(stored(customer_profile(spark, sf).select(*FEW), "profile")), 5, **QUARTILES)
 
 
 _COUNTS = union(f"""SELECT '{n}' AS feature, "{n}" AS value, count(*) AS n FROM cp WHERE "{n}" IS NOT NULL GROUP BY 2""" for n in CATEGORICAL)

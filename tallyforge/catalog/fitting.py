@@ -62,25 +62,26 @@ def d4(spark, sf):
     return t.MissingFiller(categorical="unknown", skip=["CustomerID"]).fit(df).transform(df)
 
 
+# The cents carry four decimals, so bounds end after seven: eight places cannot meet a rounding tie.
 _LIMITS = ", ".join(
     f"""quantile_cont("{n}", 0.25) - 1.5 * (quantile_cont("{n}", 0.75) - quantile_cont("{n}", 0.25)) AS lo{i},
     quantile_cont("{n}", 0.75) + 1.5 * (quantile_cont("{n}", 0.75) - quantile_cont("{n}", 0.25)) AS hi{i}""" for i, n in enumerate(NUMS))
 _CLIPPED = ", ".join(
-    f"""round(CASE WHEN "{n}" < lo{i} THEN lo{i} WHEN "{n}" > hi{i} THEN hi{i} ELSE "{n}" END, 5) AS "{n}" """ for i, n in enumerate(NUMS))
+    f"""round(CASE WHEN "{n}" < lo{i} THEN lo{i} WHEN "{n}" > hi{i} THEN hi{i} ELSE "{n}" END, 8) AS "{n}" """ for i, n in enumerate(NUMS))
 
 
 @query("d5_iqr_clip", with_profile(f', b AS (SELECT {_LIMITS} FROM cp) SELECT "CustomerID", {_CLIPPED} FROM cp, b'))
 def d5(spark, sf):
     df = _nums(spark, sf)
-    return rounded(t.OutlierLimiter(skip=["CustomerID"]).fit(df).transform(df), NUMS, 5)
+    return rounded(t.OutlierLimiter(skip=["CustomerID"]).fit(df).transform(df), NUMS, 8)
 
 
 @query("d5_iqr_bounds", with_profile(f""", b AS (SELECT {_LIMITS} FROM cp)
-{' UNION ALL '.join(f"SELECT '{n}' AS feature, round(lo{i}, 5) AS low, round(hi{i}, 5) AS high FROM b" for i, n in enumerate(NUMS))}"""))
+{' UNION ALL '.join(f"SELECT '{n}' AS feature, round(lo{i}, 8) AS low, round(hi{i}, 8) AS high FROM b" for i, n in enumerate(NUMS))}"""))
 def d5_bounds(spark, sf):
     model = t.OutlierLimiter(skip=["CustomerID"]).fit(_nums(spark, sf))
     values = model.parameters(spark).groupBy(F.col("column").alias("feature"))
-    pick = lambda p: F.round(F.max(F.when(F.col("param") == p, F.col("value").cast("double"))), 5).alias(p)
+    pick = lambda p: F.round(F.max(F.when(F.col("param") == p, F.col("value").cast("double"))), 8).alias(p)
     return values.agg(pick("low"), pick("high"))
 
 

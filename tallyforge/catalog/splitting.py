@@ -6,8 +6,11 @@ from ..plans.profile import customer_profile, table, with_profile
 from ..session import stored
 from . import query
 
-# an order both engines can compute
-ORDER = F.pmod(F.pmod(F.col("CustomerID"), F.lit(2147483648)) * F.lit(2654435761) + 42, F.lit(4294967296))
+def key_order():
+    """An order both engines can compute."""
+    return F.pmod(F.pmod(F.col("CustomerID"), F.lit(2147483648)) * F.lit(2654435761) + 42, F.lit(4294967296))
+
+
 ORDER_SQL = '(("CustomerID" % 2147483648) * 2654435761 + 42) % 4294967296'
 
 
@@ -19,7 +22,7 @@ def _cp(spark, sf):
 SELECT "CustomerID", "ChurnPlanted", row_number() OVER (PARTITION BY "ChurnPlanted" ORDER BY {ORDER_SQL})
   <= round(count(*) OVER (PARTITION BY "ChurnPlanted") * 0.2) AS is_test FROM cp"""))
 def e1(spark, sf):
-    return split.with_side(_cp(spark, sf), "ChurnPlanted", "CustomerID", order=ORDER).drop("OrderCount")
+    return split.with_side(_cp(spark, sf), "ChurnPlanted", "CustomerID", order=key_order()).drop("OrderCount")
 
 
 @query("e2_three_way_split", with_profile(f"""
@@ -29,7 +32,7 @@ b AS (SELECT *, row_number() OVER (PARTITION BY "ChurnPlanted" ORDER BY h) <= ro
   FROM a WHERE NOT is_test)
 SELECT "CustomerID", 'test' AS part FROM a WHERE is_test UNION ALL SELECT "CustomerID", CASE WHEN is_val THEN 'validation' ELSE 'train' END FROM b"""))
 def e2(spark, sf):
-    train, validation, test = split.three_way_split(_cp(spark, sf), "ChurnPlanted", "CustomerID", order=ORDER)
+    train, validation, test = split.three_way_split(_cp(spark, sf), "ChurnPlanted", "CustomerID", order=key_order())
     parts = [df.select("CustomerID", F.lit(n).alias("part")) for n, df in (("train", train), ("validation", validation), ("test", test))]
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
@@ -39,7 +42,7 @@ def e2(spark, sf):
 SELECT CAST((r > round(n / 5.0)) ::INT + (r > round(n * 2 / 5.0))::INT + (r > round(n * 3 / 5.0))::INT + (r > round(n * 4 / 5.0))::INT AS INTEGER) AS fold,
   "ChurnPlanted", count(*) AS n, CAST(sum(r) AS BIGINT) AS ranks FROM r GROUP BY ALL""".replace(", CAST(sum(r) AS BIGINT) AS ranks", "")))
 def e3(spark, sf):
-    df = split.with_folds(_cp(spark, sf), "ChurnPlanted", "CustomerID", order=ORDER)
+    df = split.with_folds(_cp(spark, sf), "ChurnPlanted", "CustomerID", order=key_order())
     return df.groupBy("fold", "ChurnPlanted").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -50,7 +53,7 @@ def e7(spark, sf):
 
 @query("e8_random_rows", with_profile(f'SELECT "CustomerID", "OrderCount" FROM cp ORDER BY {ORDER_SQL} LIMIT 200'))
 def e8(spark, sf):
-    return split.sample_rows(_cp(spark, sf), 200, "CustomerID", order=ORDER).select("CustomerID", "OrderCount")
+    return split.sample_rows(_cp(spark, sf), 200, "CustomerID", order=key_order()).select("CustomerID", "OrderCount")
 
 
 @query("e8_first_rows", with_profile('SELECT "CustomerID", "OrderCount" FROM cp ORDER BY "CustomerID" LIMIT 100'))
