@@ -2,7 +2,8 @@
 from pyspark.sql import functions as F
 
 from ..operators import rules
-from ..plans.profile import CATEGORICAL, FEATURES, customer_profile, table, with_profile
+from ..plans.profile import FEATURES, customer_profile, table, with_profile
+from ..session import stored
 from . import query
 
 _SOILED = """, base AS (
@@ -17,7 +18,8 @@ soiled AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE "CustomerID" %
 def soiled(spark, sf):
     key = F.col("CustomerID")
     text = key.cast("string")
-    base = customer_profile(spark, sf).select(
+    # written once: a rule report reads it several times
+    base = stored(customer_profile(spark, sf).select("CustomerID", "Tenure", "CashbackAmount", "OrderCount"), "profile").select(
         F.when(key % 97 != 0, key).alias("CustomerID"),
         F.when(key % 50 == 0, -F.col("Tenure") - 1).otherwise(F.col("Tenure")).alias("Tenure"),
         F.when(key % 33 == 0, -F.col("CashbackAmount")).otherwise(F.col("CashbackAmount")).alias("CashbackAmount"),

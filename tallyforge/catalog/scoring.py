@@ -1,5 +1,4 @@
 """Batch scoring of new rows."""
-from pyspark.sql import functions as F
 
 from ..operators import flows, models, split, transforms
 from ..plans.profile import customer_profile, with_profile

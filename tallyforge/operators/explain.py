@@ -14,11 +14,9 @@ BACKGROUND_ROWS = 50
 def numeric_input(df, train, columns=None):
     """Numbers only: text is read as numbers where possible, gaps become the train median (or 0)."""
     columns = list(columns or train.columns)
-    numbers = lambda frame: frame.select(*[
-        c(n).cast("double").alias(n) if n in numeric else as_number(c(n)).alias(n) for n in columns
-    ])
     numeric = set(numeric_columns(train))
-    medians = exact_quantiles(numbers(train), columns, [0.5])
+    numbers = train.select(*[(c(n).cast("double") if n in numeric else as_number(c(n))).alias(n) for n in columns])
+    medians = exact_quantiles(numbers, columns, [0.5])
     ready = coerce_numbers_strict(df, [n for n in columns if n in df.columns and n not in set(numeric_columns(df))])
     now_numeric = set(numeric_columns(ready))
     cells = {}

@@ -142,8 +142,6 @@ class Flows:
         self.monitor.log_performance(best, values[best], n_samples=test.count())
         self.monitor.log_values(run_id, "metrics", values[best])
         table = models.metrics_table(self.spark, {best: values[best]}).withColumnRenamed("model", "model_name")
-        history = monitor.performance_drift(self.monitor.history(best), s["scoring"])
-        log.info("history of %s: %s", best, history.first())
         self.monitor.check_health(table, None, s["minimum"], s["drift_max"])
         self.chart_tables(fitted, values, best, run_id)
         return best, values

@@ -3,7 +3,6 @@ import datetime as dt
 import math
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
