@@ -9,14 +9,19 @@ is among the k best of its block.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import stored
 
+# the helpers below travel to the executors with the task: the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 2_000
 MAX_BLOCKS = 20_000
 VISITORS = 5_000

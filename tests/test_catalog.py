@@ -35,3 +35,22 @@ def test_unused_blocks_of_the_profile_are_dropped(spark):
 
     plan = customer_profile(spark, SF).select("CustomerID", "Tenure")._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan and "event_type" not in plan and "p_type" not in plan
+
+
+def test_tasks_need_no_package_on_the_executors(tmp_path):
+    """Run from another folder with a bare session: the workers cannot import the package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "import __spark_entry__ as e\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[4]').config('spark.sql.shuffle.partitions', '4').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"print('rows', e.queries()['e5_tomek_links'](s, {SF!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows " in run.stdout, run.stderr[-2000:]
