@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontaminate, license_scan, quality_rules, sharding
+from tallyforge.llm import decontaminate, license_scan, quality_rules, sharding, simhash, substring_dedup
 
 SHARDS = 40
 
@@ -12,6 +12,11 @@ def _table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_substring_dedup(spark, sf):
+    return substring_dedup.dedup(_table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_license_scan(spark, sf):
     return license_scan.label_documents(_table(spark, sf, "documents"))
 
@@ -20,6 +25,11 @@ def op6_sharding(spark, sf):
     return sharding.assign(_table(spark, sf, "documents"), [1.0] * SHARDS)
 
 
+def op7_simhash(spark, sf):
+    found = simhash.groups(_table(spark, sf, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_decontaminate(spark, sf):
     return decontaminate.find(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -29,5 +39,24 @@ def op10_quality_rules(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("rule"))
 
 
-QUERIES = {f.__name__: f for f in (op3_license_scan, op6_sharding, op9_decontaminate, op10_quality_rules)}
-ORACLES = {}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_license_scan, op6_sharding, op7_simhash, op9_decontaminate, op10_quality_rules)}
+
+SUBSTRING_SQL = """
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM w WHERE len(ws) >= 13),
+s AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS win FROM g),
+m AS (SELECT win, min(doc_id) AS least FROM s GROUP BY win),
+gone AS (
+  SELECT DISTINCT s.doc_id, unnest(range(s.i, s.i + 13)) AS pos FROM s JOIN m USING (win) WHERE m.least < s.doc_id),
+p AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS word FROM w),
+k AS (
+  SELECT p.doc_id, count(*) FILTER (WHERE gone.pos IS NOT NULL) AS n_removed,
+         string_agg(word, ' ' ORDER BY p.pos) FILTER (WHERE gone.pos IS NULL) AS kept
+  FROM p LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.pos = p.pos GROUP BY p.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+ORACLES = {"op2_substring_dedup": SUBSTRING_SQL}
