@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontaminate, license_scan, quality_rules, sharding, simhash, substring_dedup
+from tallyforge.llm import decontaminate, license_scan, mixing, quality_rules, sharding, simhash, substring_dedup, toxicity, url_filter
 
 SHARDS = 40
 
@@ -12,6 +12,17 @@ def _table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# Fixed values of the query.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+MIX = {"source": 0.7, "lang": {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15}, "topic": 0.5}
+
+
+def op1_url_filter(spark, sf):
+    pages = _table(spark, sf, "pages").select("page_id", "url")
+    model = url_filter.fit(url_filter.labelled_pages(pages, _table(spark, sf, "labels")))
+    return url_filter.judge(pages, URL_RULES, model)
+
+
 def op2_substring_dedup(spark, sf):
     return substring_dedup.dedup(_table(spark, sf, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -21,6 +32,10 @@ def op3_license_scan(spark, sf):
     return license_scan.label_documents(_table(spark, sf, "documents"))
 
 
+def op4_mixing(spark, sf):
+    return mixing.sample(_table(spark, sf, "documents"), MIX)
+
+
 def op6_sharding(spark, sf):
     return sharding.assign(_table(spark, sf, "documents"), [1.0] * SHARDS)
 
@@ -30,6 +45,12 @@ def op7_simhash(spark, sf):
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    scorer = toxicity.fit_documents(docs, _table(spark, sf, "labels"))
+    return scorer.score(docs).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op9_decontaminate(spark, sf):
     return decontaminate.find(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -39,7 +60,7 @@ def op10_quality_rules(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("rule"))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_license_scan, op6_sharding, op7_simhash, op9_decontaminate, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_license_scan, op4_mixing, op6_sharding, op7_simhash, op8_toxicity, op9_decontaminate, op10_quality_rules)}
 
 SUBSTRING_SQL = """
 WITH w AS (
