@@ -1,23 +1,42 @@
 """A corpus from documents to shards: each stage calls one operator, is written, and is read again by the next."""
 from __future__ import annotations
 
-from tallyforge.llm import decontaminate, sharding
+from tallyforge.llm import decontaminate, mixing, sharding, simhash, toxicity
+from tallyforge.llm.queries import MIX, SHARDS
 from tallyforge.session import stored
 
-SHARDS = 40
 
+def without_toxic(spark, docs, sf_dir):
+    """Documents that the toxicity scorer does not reject; it learns from the labels of these documents."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.fit_documents(docs, labels).score(docs, out="_score")
+    return scored.where("predicted = 0").select(*docs.columns)
 
-def decontamination(spark, docs, sf_dir):
+
+def without_copies(spark, docs, sf_dir):
+    """One document of each SimHash group."""
+    return simhash.keep_one(docs)
+
+
+def without_benchmark(spark, docs, sf_dir):
     """Documents without benchmark items."""
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mixed(spark, docs, sf_dir):
+    """A sample whose expected tokens meet the target weights."""
+    return mixing.draw(docs, MIX)
+
+
 def sharded(spark, docs, sf_dir):
     """Shard and slot of every document."""
     return sharding.assign(docs, [1.0] * SHARDS)
 
 
-STAGES = [("benchmark decontamination", decontamination), ("sharding", sharded)]
+STAGES = [
+    ("toxicity", without_toxic), ("simhash near-dedup", without_copies), ("benchmark decontamination", without_benchmark),
+    ("mixing to target weights", mixed), ("sharding", sharded),
+]
 
 
 def run(spark, sf_dir):

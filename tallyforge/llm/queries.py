@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontaminate, license_scan, mixing, quality_rules, sharding, simhash, substring_dedup, toxicity, url_filter
+from tallyforge.llm import decontaminate, license_scan, mixing, quality_rules, sharding, simhash, substring_dedup, token_files, toxicity, url_filter
 
 SHARDS = 40
 
@@ -36,6 +36,14 @@ def op4_mixing(spark, sf):
     return mixing.sample(_table(spark, sf, "documents"), MIX)
 
 
+def op5_token_files(spark, sf):
+    import public_tokenizers
+
+    path = token_files.new_folder(spark)
+    token_files.write(_table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), vocabulary=50257)
+    return token_files.digest(spark, path, vocabulary=50257)
+
+
 def op6_sharding(spark, sf):
     return sharding.assign(_table(spark, sf, "documents"), [1.0] * SHARDS)
 
@@ -60,7 +68,7 @@ def op10_quality_rules(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("rule"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_license_scan, op4_mixing, op6_sharding, op7_simhash, op8_toxicity, op9_decontaminate, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_license_scan, op4_mixing, op5_token_files, op6_sharding, op7_simhash, op8_toxicity, op9_decontaminate, op10_quality_rules)}
 
 SUBSTRING_SQL = """
 WITH w AS (
