@@ -82,8 +82,10 @@ def find(docs, benchmark, key="doc_id", text="text", item="item_id", item_text="
     The table of benchmark windows is broadcast up to ``most_broadcast`` lines, else joined by shuffle.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item).alias("item"), words(F.col(item_text)).alias("w")).dropDuplicates().withColumn("c", canonical(F.col("w")))
-    items = items.where(F.size("c") > 0).withColumn("size", F.size("c"))
+    items = benchmark.select(F.col(item).alias("item"), words(F.col(item_text)).alias("w")).dropDuplicates()
+    # A text may lead up to the item in mid-sentence, where a capital makes a name: the first word counts both ways.
+    inside = F.slice(canonical(F.concat(F.array(F.lit("x")), F.col("w"))), 2, F.size("w"))
+    items = items.where(F.size("w") > 0).withColumn("size", F.size("w")).withColumn("c", F.explode(F.array_distinct(F.array(canonical(F.col("w")), inside))))
     sizes = sorted(r[0] for r in items.select(F.least("size", F.lit(window))).distinct().collect())  # at most ``window`` lines
     if not sizes:
         return spark.createDataFrame([], f"{key} {docs.schema[key].dataType.simpleString()}, item_id {benchmark.schema[item].dataType.simpleString()}, n_windows long, first_word long, slots_changed boolean")
@@ -94,7 +96,7 @@ def find(docs, benchmark, key="doc_id", text="text", item="item_id", item_text="
             "item", "size", "hash", F.col("at").alias("item_at"), F.slice("c", F.col("at") + 1, k).alias("item_c"), F.slice("w", F.col("at") + 1, k).alias("item_w"))
         literal = F.size(F.filter("item_c", lambda x: ~x.isin(NUMBER, NAME, UNIT)))
         # The bound on a short item follows its own placeholders; a window without any literal word proves nothing.
-        lines = lines.where(literal >= (least_literal if k == window else 1))
+        lines = lines.where(literal >= (least_literal if k == window else 1)).dropDuplicates(["item", "size", "item_at", "hash"])
         if lines.count() <= most_broadcast:
             lines = F.broadcast(lines)
         hits = _windows(text_rows, k).join(lines, "hash").select(
