@@ -4,6 +4,9 @@ The minimiser of a window is the least hash among its runs of M words. Consecuti
 together as one packed string to the minimiser's bucket; every window of one content meets there. A bucket is read
 in ascending document order, and a window that an earlier document has started marks its words. Windows are
 compared as bytes, hashes only route.
+
+Most buckets belong to one document and hold nothing to remove. So positions travel first, without text; only the
+super-k-mers of buckets that two documents share are then cut out and sent.
 """
 from __future__ import annotations
 
@@ -13,14 +16,13 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-WINDOW, RUN = 13, 3
-REMEMBERED = 200_000  # packed strings a task remembers to combine copies before the shuffle
+WINDOW, RUN = 13, 5
+REMEMBERED = 200_000  # packed strings, and twice as many buckets, a task remembers to combine copies before a shuffle
 LAST = (1 << 63) - 1  # place of a null key in the order of documents
 
 
@@ -45,57 +47,103 @@ def minimisers(sums, lengths, window=WINDOW, run=RUN):
     return least.astype(np.int64)
 
 
-def _packed(batches):
-    """Super-k-mers of documents; a copy of one that a smaller document of this task has is a known interval at once."""
-    seen = {}
+def _runs(batches):
+    """Super-k-mers of documents by position. A bucket that two documents of this task share is known from then on."""
+    first_owner, shared = {}, object()
     for batch in batches:
-        ids = batch.column("ord").to_pylist()
-        texts = batch.column("text").to_pylist()
+        ids, hashes, texts = (batch.column(i).to_pylist() for i in range(3))
         for lo in range(0, len(ids), 256):
-            docs, hashes, words, first = ids[lo : lo + 256], [], [], [0]
+            words, first = [], [0]
             for t in texts[lo : lo + 256]:
-                t = (t or "").encode()
-                hashes.append(xxhash.xxh64_intdigest(t) - (1 << 63))
-                words += t.split()
+                words += (t or "").encode().split()
                 first.append(len(words))
             if len(words) < WINDOW:
                 continue
-            lengths = np.fromiter(map(len, words), np.int64, len(words))
-            at = np.concatenate(([0], np.cumsum(lengths + 1)))
-            key = minimisers(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), lengths)
-            owner = np.repeat(np.arange(len(docs)), np.diff(first))[: len(key)]
-            valid = np.arange(len(key)) + WINDOW <= np.asarray(first)[owner + 1]
+            key = minimisers(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+            first = np.asarray(first)
+            owner = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(key)]
+            valid = np.arange(len(key)) + WINDOW <= first[owner + 1]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]) | (valid[1:] != valid[:-1])
             begin = np.flatnonzero(new)
             end = np.append(begin[1:], len(key))
             begin, end = begin[valid[begin]], end[valid[begin]]
-            joined = b" ".join(words)
-            out = {k: [] for k in ("bucket", "packed", "ord", "text_hash", "start", "stop")}
             who = owner[begin]
-            starts = (begin - np.asarray(first)[who]).tolist()
-            stops = (end - np.asarray(first)[who] + WINDOW - 1).tolist()
-            for b, i, s, e, x, y in zip(key[begin].tolist(), who.tolist(), starts, stops, at[begin].tolist(), (at[end + WINDOW - 1] - 1).tolist()):
-                p, d = joined[x:y], docs[i]
+            doc, text_hash, bucket = np.array(ids[lo : lo + 256])[who], np.array(hashes[lo : lo + 256])[who], key[begin]
+            known = np.zeros(len(begin), bool)
+            for i, (b, d) in enumerate(zip(bucket.tolist(), doc.tolist())):
+                old = first_owner.get(b)
+                if old is None:
+                    if len(first_owner) >= 2 * REMEMBERED:
+                        first_owner.clear()
+                    first_owner[b] = d
+                elif old is shared:
+                    known[i] = True
+                elif old != d:
+                    first_owner[b] = shared  # this row still travels, so that the first owner's rows are met
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.where(known, text_hash, bucket)), pa.array(known), pa.array(bucket), pa.array(doc), pa.array(text_hash),
+                pa.array((begin - first[who]).astype(np.int32)), pa.array((end - first[who] + WINDOW - 1).astype(np.int32))], schema=_RUNS)
+
+
+def _shared(batches):
+    """The rows of buckets with two documents, and the known ones, from rows in the order of (known, bucket, ord).
+
+    Holds rows of one document of one bucket between batches.
+    """
+    held, open_bucket = None, None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        known, bucket, doc = (rows.column(c).to_numpy() for c in ("known", "bucket", "ord"))
+        own = np.flatnonzero(~known)
+        keep = known.copy()
+        held = None
+        if len(own):
+            b, d = bucket[own], doc[own]
+            start = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
+            last = np.append(start[1:], len(b)) - 1
+            many = d[start] != d[last]
+            many[0] |= open_bucket is not None and b[0] == open_bucket
+            keep[own] = np.repeat(many, last - start + 1)
+            open_bucket = b[-1] if many[-1] else None
+            if not many[-1]:
+                held = rows.take(own[start[-1] :])
+        rows = rows.filter(pa.array(keep))
+        if rows.num_rows:
+            yield from rows.select(["bucket", "ord", "text_hash", "start", "stop"]).combine_chunks().to_batches()
+
+
+def _packed(batches):
+    """Packed strings of shared super-k-mers. A copy of one that a smaller document of this task has is settled at once."""
+    seen = {}
+    for batch in batches:
+        out = {k: [] for k in ("bucket", "packed", "ord", "text_hash", "start", "stop")}
+        for d, text_hash, text, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            words = text.encode().split()
+            joined = b" ".join(words)
+            at = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words]))).tolist()
+            for run in sorted(runs, key=lambda r: r["start"]):
+                b, s, e = run["bucket"], run["start"], run["stop"]
+                p = joined[at[s] : at[e] - 1]
                 old = seen.get(p)
                 if old is not None and old < d:
-                    if out["packed"] and out["packed"][-1] is None and out["ord"][-1] == d and out["text_hash"][-1] == hashes[i] and out["start"][-1] <= s <= out["stop"][-1]:
-                        out["stop"][-1] = e
+                    if out["packed"] and out["packed"][-1] is None and out["ord"][-1] == d and out["text_hash"][-1] == text_hash and out["start"][-1] <= s <= out["stop"][-1]:
+                        out["stop"][-1] = max(e, out["stop"][-1])
                         continue
-                    p, b = None, hashes[i] ^ s
+                    p, b = None, text_hash ^ s
                 elif old is None or d < old:
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen[p] = d
-                out["bucket"].append(b)
-                out["packed"].append(p)
-                out["ord"].append(d)
-                out["text_hash"].append(hashes[i])
-                out["start"].append(s)
-                out["stop"].append(e)
-            yield pa.RecordBatch.from_pydict(out, schema=_PACKED)
+                for k, v in zip(out, (b, p, d, text_hash, s, e)):
+                    out[k].append(v)
+            if len(out["ord"]) > 20_000:
+                yield pa.RecordBatch.from_pydict(out, schema=_PACKED)
+                out = {k: [] for k in out}
+        yield pa.RecordBatch.from_pydict(out, schema=_PACKED)
 
 
+_RUNS = pa.schema([("key", pa.int64()), ("known", pa.bool_()), ("bucket", pa.int64()), ("ord", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 _PACKED = pa.schema([("bucket", pa.int64()), ("packed", pa.binary()), ("ord", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 _MARKS = pa.schema([("ord", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 
@@ -157,10 +205,18 @@ def _kept(text, marks):
     return len(words), int(len(words) - keep.sum()), b" ".join([w for w, k in zip(words, keep.tolist()) if k])
 
 
-def marks(docs, key="doc_id", text="text"):
-    """Intervals of words (start, stop) to remove of each (ord, text_hash); ord is the key, a null one counts as last."""
-    rows = docs.select(F.coalesce(F.col(key), F.lit(LAST)).cast("long").alias("ord"), F.col(text).alias("text"))
-    packed = rows.mapInArrow(_packed, "bucket long, packed binary, ord long, text_hash long, start int, stop int")
+def _rows(docs, key, text):
+    return docs.select(
+        F.coalesce(F.col(key), F.lit(LAST)).cast("long").alias("ord"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
+        F.col(text).alias("text"), F.col(key).alias("id"))
+
+
+def marks(rows):
+    """Intervals of words (start, stop) to remove of each (ord, text_hash) of ``rows`` (:func:`_rows`)."""
+    runs = rows.select("ord", "text_hash", "text").mapInArrow(_runs, "key long, known boolean, bucket long, ord long, text_hash long, start int, stop int")
+    placed = runs.repartition("key").sortWithinPartitions("known", "bucket", "ord").mapInArrow(_shared, "bucket long, ord long, text_hash long, start int, stop int")
+    wanted = placed.groupBy("ord", "text_hash").agg(F.collect_list(F.struct("bucket", "start", "stop")).alias("runs"))
+    packed = rows.join(wanted, ["ord", "text_hash"]).select("ord", "text_hash", "text", "runs").mapInArrow(_packed, "bucket long, packed binary, ord long, text_hash long, start int, stop int")
     return packed.repartition("bucket").sortWithinPartitions("bucket", "ord").mapInArrow(_marked, "ord long, text_hash long, start int, stop int")
 
 
@@ -171,17 +227,13 @@ def dedup(docs, key="doc_id", text="text"):
     input. Null and blank texts have no words; texts below 13 words stay whole. Rows with one key are one document's
     texts and never remove each other. Other columns are ignored.
     """
-    found = marks(docs, key, text).groupBy("ord", "text_hash").agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
+    rows = _rows(docs, key, text)
+    found = marks(rows).groupBy("ord", "text_hash").agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
 
     @F.pandas_udf("struct<n_words long, n_removed long, kept string>")
     def stay(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         got = [_kept(t, m) for t, m in zip(texts, spans)]
         return pd.DataFrame({"n_words": [g[0] for g in got], "n_removed": [g[1] for g in got], "kept": [g[2].decode() for g in got]})
 
-    @F.pandas_udf("long")
-    def hashed(texts: pd.Series) -> pd.Series:
-        return pd.Series([xxhash.xxh64_intdigest((t or "").encode()) - (1 << 63) for t in texts], dtype="int64")
-
-    rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(key), F.lit(LAST)).cast("long").alias("ord"), F.col(text).alias("_text"), hashed(F.col(text)).alias("text_hash"))
-    joined = rows.join(found, ["ord", "text_hash"], "left").select("_id", stay("_text", "marks").alias("s"))
-    return joined.select(F.col("_id").alias(key), "s.n_words", "s.n_removed", "s.kept")
+    joined = rows.join(found, ["ord", "text_hash"], "left").select("id", stay("text", "marks").alias("s"))
+    return joined.select(F.col("id").alias(key), "s.n_words", "s.n_removed", "s.kept")
