@@ -101,17 +101,18 @@ def find(docs, benchmark, key="doc_id", text="text", item="item_id", item_text="
             lines = F.broadcast(lines)
         hits = _windows(text_rows, k).join(lines, "hash").select(
             "doc", "item", "size", "item_at", "at", "item_c", "item_w", F.slice("c", F.col("at") + 1, k).alias("c"), F.slice("w", F.col("at") + 1, k).alias("w"))
-        # Not written as c = item_c: as a join key it would be computed once more below the join.
-        hits = hits.where(F.forall(F.zip_with("c", "item_c", lambda a, b: a == b), lambda same: same)).select(
-            "doc", "item", "size", "item_at", "at", F.arrays_zip(_slots(F.col("c"), F.col("item_w")).alias("a"), _slots(F.col("c"), F.col("w")).alias("b")).alias("slots"))
+        # The comparison is a column that the aggregate below reads: a filter here would move into the join, which then
+        # would copy the words of a text for each of its windows.
+        same = F.forall(F.zip_with("c", "item_c", lambda a, b: a == b), lambda x: x)
+        hits = hits.select("doc", "item", "size", "item_at", "at", same.alias("same"), F.arrays_zip(_slots(F.col("c"), F.col("item_w")).alias("a"), _slots(F.col("c"), F.col("w")).alias("b")).alias("slots"))
         hits = hits.withColumn("k", F.lit(k))
         found = hits if found is None else found.unionByName(hits)
     shift = F.col("at") - F.col("item_at")
     by = ["doc", "item", "size", "shift", "k"]
     # One text may stand in a row many times: places are counted once, and the slots of a window are a short list.
     runs = found.withColumn("shift", shift).groupBy(*by).agg(
-        F.count_distinct("item_at").alias("n_windows"), F.min("at").alias("first_word"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+        F.count_distinct(F.when(F.col("same"), F.col("item_at"))).alias("n_windows"), F.min(F.when(F.col("same"), F.col("at"))).alias("first_word"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("same"), F.col("slots"))))).alias("slots"))
     pairs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["a"]["v"].alias("a"), s["b"]["v"].alias("b"))))
     runs = runs.withColumn("pairs", pairs)
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")

@@ -6,6 +6,7 @@ and counts (document keys and their ids), checkpoints (bit position of every EVE
 """
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
@@ -13,6 +14,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -24,16 +26,20 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(huffman)
 
 LIMIT, EVERY, BLOCK = 16, 512, 1 << 19
-REMEMBERED = 400_000  # pieces whose ids a task keeps
-ODD = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
+REMEMBERED = 250_000  # pieces whose ids a task keeps
+# Fixed value: the pattern of byte-level tokenizers.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+ODD = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class _Pieces:
-    """Encodes texts piece by piece; equal pieces are encoded once while they are remembered.
+    """Encodes texts piece by piece; the pieces met first are remembered with their ids.
 
     The byte-level pattern never joins characters across a single space between two other characters: a token may
-    begin with that space but not contain it. Texts are cut there, and the pieces (but the first) keep the space.
+    begin with that space but not contain it. Texts are cut there, and the pieces (but the first) keep the space. New
+    pieces are cut by the pattern, and the tokenizer's model merges what is new. A file with another pre-tokenizer
+    encodes whole texts.
     """
 
     def __init__(self, path, end, width):
@@ -41,36 +47,51 @@ class _Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known, self.heads, self.width, self.end = {}, {}, width, np.array([end], width).tobytes()
-
-    def _learn(self, table, pieces, lead):
-        got = self.tokenizer.encode_batch_fast([lead + p for p in pieces], add_special_tokens=False)
-        new = {p: np.array(e.ids, self.width).tobytes() for p, e in zip(pieces, got)}
-        if len(table) + len(new) > REMEMBERED:
-            table.clear()
-        table.update(new)
-        return new
+        before = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        self.plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        self.merge, self.pattern, self.letters = self.tokenizer.model.tokenize, regex.compile(PATTERN), _byte_letters()
+        self.known, self.parts, self.width, self.end = {}, {}, width, np.array([end], width).tobytes()
+
+    def _part(self, part):
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = np.array([t.id for t in self.merge(part.encode().decode("latin-1").translate(self.letters))], self.width).tobytes()
+            if len(self.parts) < REMEMBERED:
+                self.parts[part] = ids
+        return ids
+
+    def _piece(self, piece):
+        return b"".join([self._part(p) for p in self.pattern.findall(piece)])
 
     def encode(self, texts):
         """Ids of each text with the end id, as bytes."""
-        cut = []
+        if not self.plain:
+            return [np.array(e.ids, self.width).tobytes() + self.end for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        known, out = self.known, []
         for t in texts:
-            parts = t.split(" ")
-            if "" in parts or " \n" in t or "\n " in t or ODD.search(t):
-                parts = CUT.split(t)
-            cut.append(parts)
-        new = self._learn(self.known, list({p for parts in cut for p in parts[1:]} - self.known.keys()), " ")
-        heads = self._learn(self.heads, list({parts[0] for parts in cut} - self.heads.keys()), "")
-        out = []
-        for parts in cut:
-            got = list(map(self.known.get, parts[1:]))
+            pieces = t.split(" ")
+            if "" in pieces or " \n" in t or "\n " in t or ODD.search(t):
+                pieces = CUT.split(t)
+            got = list(map(known.get, pieces))
+            got[0] = self._piece(pieces[0])
             if None in got:
-                got = [g if g is not None else new.get(p) or self._learn(self.known, [p], " ")[p] for g, p in zip(got, parts[1:])]
-            head = self.heads.get(parts[0])
-            out.append(b"".join([heads[parts[0]] if head is None else head, *got, self.end]))
+                for i, g in enumerate(got):
+                    if g is None:
+                        got[i] = self._piece(" " + pieces[i])
+                        if len(known) < REMEMBERED:
+                            known[pieces[i]] = got[i]
+            got.append(self.end)
+            out.append(b"".join(got))
         return out
 
 
+def _byte_letters():
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
 def tokens(docs, tokenizer, end=0, key="doc_id", text="text", vocabulary=1 << 16):
     """Per row: doc, n and ids (little-endian, 2 bytes each up to 65,536 ids, else 4), with the end id; null is empty.
 
@@ -81,9 +102,9 @@ def tokens(docs, tokenizer, end=0, key="doc_id", text="text", vocabulary=1 << 16
     def encode(batches):
         pieces = _Pieces(tokenizer, end, width)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 256):
-                ids = pieces.encode([t or "" for t in texts[lo : lo + 256]])
+            keys = batch.column(0)
+            for lo in range(0, batch.num_rows, 256):
+                ids = pieces.encode([t or "" for t in batch.column(1).slice(lo, 256).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(lo, 256), pa.array([len(x) // int(width[2]) for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc", "n", "crc", "ids"])
@@ -169,7 +190,7 @@ def read(spark, path, each, schema, vocabulary=1 << 16, limit=LIMIT):
     def unpack(batches):
         decoder = huffman.Decoder(sizes, limit)
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 ids = decoder.decode(r["payload"], r["checkpoints"], EVERY, r["ids"])
                 counts = np.array(r["counts"], np.int64)
                 got = each(r["docs"], counts, ids)

@@ -81,7 +81,7 @@ def test_files_hold_all_ids_in_order(spark, docs, hard):
     assert spark.read.parquet(f"{path}/blocks").count() > 3
 
 
-@pytest.mark.parametrize("text", [" a", "a  b", "a \n b", "\n\n a  b  c", "it 's 'll  ", "a\tb \t c", "\x1c \x85 x", "x " * 50 + "\r\n y", "<|endoftext|> <|endoftext|>", ""])
+@pytest.mark.parametrize("text", [" a", "a  b", "a \n b", "\n\n a  b  c", "it 's 'll  ", "a\tb \t c", "\x1c \x85 x", "x " * 50 + "\r\n y", "<|endoftext|> <|endoftext|>", "", "I'll 've\u00a0x \u2003 y\u3000z", "\u00e9\u00e8 \u6f22\u5b57 \U0001f600\u0301 a\u0301b 12\u00bd ~!@#"])
 def test_pieces_are_encoded_like_whole_texts(text):
     got = token_files._Pieces(BPE, 0, "<u2").encode([text, text + " " + text])
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [i for _, i in expected([(0, text), (1, text + " " + text)])]
