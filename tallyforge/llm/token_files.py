@@ -10,6 +10,7 @@ import json
 import re
 import sys
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -50,17 +51,29 @@ class _Pieces:
         before = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
         self.plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         self.merge, self.pattern, self.letters = self.tokenizer.model.tokenize, regex.compile(PATTERN), _byte_letters()
+        self.space, self.code = chr(self.letters[32]), {"<u2": "H", "<u4": "I"}[width]
         self.known, self.parts, self.width, self.end = {}, {}, width, np.array([end], width).tobytes()
 
     def _part(self, part):
+        """Ids of one match of the pattern."""
         ids = self.parts.get(part)
         if ids is None:
-            ids = np.array([t.id for t in self.merge(part.encode().decode("latin-1").translate(self.letters))], self.width).tobytes()
+            if part.isascii() and part[1:].isalpha() and part[0] == " ":
+                letters = self.space + part[1:]
+            else:
+                letters = part.encode().decode("latin-1").translate(self.letters)
+            ids = array(self.code, [t.id for t in self.merge(letters)]).tobytes()
             if len(self.parts) < REMEMBERED:
                 self.parts[part] = ids
         return ids
 
     def _piece(self, piece):
+        """Ids of a piece; most are a word behind a space, or one with a mark behind it."""
+        if piece[1:].isalpha():
+            if piece[0] == " " or piece[0].isalpha():
+                return self._part(piece)
+        elif piece[0] == " " and piece[-1:] in ".," and piece[1:-1].isalpha():
+            return self._part(piece[:-1]) + self._part(piece[-1])
         return b"".join([self._part(p) for p in self.pattern.findall(piece)])
 
     def encode(self, texts):
@@ -73,7 +86,7 @@ class _Pieces:
             if "" in pieces or " \n" in t or "\n " in t or ODD.search(t):
                 pieces = CUT.split(t)
             got = list(map(known.get, pieces))
-            got[0] = self._piece(pieces[0])
+            got[0] = self._piece(pieces[0]) if pieces[0] else b""
             if None in got:
                 for i, g in enumerate(got):
                     if g is None:
