@@ -100,7 +100,12 @@ def held_out(key):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit_documents(docs, labels, key="doc_id", text="text", label="toxic", **options):
-    """Fit on the labelled documents that are not held out. A key with several labels counts as its largest."""
+def fit_documents(docs, labels, key="doc_id", text="text", label="toxic", most_rows=20_000, **options):
+    """Fit on the labelled documents that are not held out. A key with several labels counts as its largest.
+
+    Learns from at most ``most_rows`` labelled keys, those with the least hashes. So the labels that meet the documents
+    can be broadcast, and no text is shuffled to be looked up.
+    """
     truth = labels.select(F.col(key), F.col(label)).dropna().groupBy(key).agg(F.max(label).alias(label)).where(~held_out(key))
-    return fit(docs.select(key, text).join(truth, key), label, text, **options)
+    some = truth.orderBy(F.xxhash64(key), key).limit(most_rows)
+    return fit(docs.select(key, text).join(F.broadcast(some), key), label, text, **options)

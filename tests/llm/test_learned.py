@@ -164,3 +164,9 @@ def test_topic_is_the_fullest_field(spark):
     for r in rows.select("t", mixing.topic_of(F.col("t")).alias("x")).collect():
         n = collections.Counter(field[w] for w in r.t.split() if len(w) >= 6)
         assert int(r.x) == min(range(6), key=lambda k: (-n[k], k))
+
+
+def test_the_bound_on_labelled_rows(spark):
+    docs = spark.createDataFrame(pair_rows(900, 8), "doc_id long, text string, toxic int")
+    scorer = toxicity.fit_documents(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), most_rows=300, rounds=30)
+    assert scorer.score(docs).count() == 900
