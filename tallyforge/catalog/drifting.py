@@ -116,7 +116,7 @@ def h8(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("banner", F.repeat("lang", 150))
     half = docs.agg(F.avg("doc_id")).scalar()
     counts = drift.category_counts(docs.where(F.col("doc_id") < half), docs.where(F.col("doc_id") >= half), ["text", "lang", "banner"])
-    return drift.category_shape(counts).select("feature", "values", F.col("longest").cast("long").alias("longest"), drift.skip_reason().alias("skipped"))
+    return drift.category_shape(counts).select("feature", "values", F.col("longest").cast("long").alias("longest"), drift.skip_reason(50, 200).alias("skipped"))
 
 
 @query("h9_severity", """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS checked, count(*) FILTER (WHERE value > 40) AS drifted,

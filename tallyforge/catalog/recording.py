@@ -70,9 +70,10 @@ _EDGES = """e AS (SELECT c_name AS dataset, n_name AS parent, 'by nation' AS tra
 
 
 @query("l6_lineage", f"""WITH RECURSIVE {_EDGES}, w(dataset, depth, parent, transformation, seen) AS (
-  SELECT dataset, 1, parent, transformation, [dataset, parent] FROM e
+  SELECT dataset, 1, parent, transformation, [dataset, parent] FROM e WHERE dataset <> parent
   UNION ALL SELECT w.dataset, w.depth + 1, e.parent, e.transformation, list_append(w.seen, e.parent) FROM w JOIN e ON e.dataset = w.parent
-  WHERE w.depth < 100 AND NOT list_contains(w.seen, e.parent)) SELECT dataset, depth, parent, transformation FROM w""")
+  WHERE NOT list_contains(w.seen, e.parent)), b AS (SELECT *, min(depth) OVER (PARTITION BY dataset, parent) AS least FROM w)
+SELECT dataset, depth, parent, min(transformation) AS transformation FROM b WHERE depth = least GROUP BY ALL""")
 def l6(spark, sf):
     customer, nation, region = (table(spark, sf, n) for n in ("customer", "nation", "region"))
     edge = lambda df, a, b, t: df.select(F.col(a).alias("dataset"), F.col(b).alias("parent"), F.lit(t).alias("transformation"))

@@ -85,7 +85,7 @@ _NEAR = """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e, label % 2 A
 def e4_near(spark, sf):
     df = vectors(spark, sf)
     near = rebalance.neighbours(df, [f"v{i}" for i in range(64)], "id", 5)
-    return near.withColumn("distance", F.round("distance", 6))
+    return near.select("key", "neighbour", F.round("distance", 6).alias("distance"))
 
 
 @query("e4_oversample")

@@ -5,8 +5,6 @@ import math
 
 import numpy as np
 
-EXACT_LIMIT = 10_000
-
 
 def gamma_upper(a, x):
     """Regularised upper incomplete gamma function Q(a, x)."""
@@ -80,11 +78,13 @@ def _ks_exact(d, m, n):
     return float(min(1.0, leave[m + 1]))
 
 
-def ks_two_sample_p(d, n1, n2, exact_limit=EXACT_LIMIT):
-    """Two-sided p-value: exact up to ``exact_limit`` rows a side, asymptotic beyond."""
+def ks_two_sample_p(d, n1, n2, method="asymptotic"):
+    """Two-sided p-value by one method for every size: ``asymptotic``, or ``exact`` (n1 + n2 steps on the driver)."""
+    if method not in ("asymptotic", "exact"):
+        raise ValueError(f"unknown method: {method}")
     if d <= 0:
         return 1.0
-    if max(n1, n2) <= exact_limit:
+    if method == "exact":
         return _ks_exact(d, int(n1), int(n2))
     n = n1 * n2 / (n1 + n2)
     root = math.sqrt(n)

@@ -5,15 +5,13 @@ from collections import namedtuple
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, melt, numeric_columns, string_columns
+from ..functions.columns import c, melt, numeric_columns, row_digest, string_columns
 from ..functions.stats import chi_square_p, ks_two_sample_p
 from ..plans.quantiles import exact_quantiles
 from ..plans.running import running_totals
 from .split import sample_fraction, sample_rows
 
-# Columns beyond these are not tested, and the severity steps.
-MAX_VALUES = 50
-MAX_LENGTH = 200
+# The severity steps.
 CRITICAL_RATIO = 0.3
 MODERATE_RATIO = 0.15
 
@@ -136,10 +134,11 @@ def category_shape(counts):
     )
 
 
-def skip_reason():
-    return F.when(F.col("values") > MAX_VALUES, F.lit("too many values")).when(
-        F.col("longest") > MAX_LENGTH, F.lit("value too long")
-    )
+def skip_reason(max_values=None, max_length=None):
+    """Why a column gets no chi-square test, for the limits that are given; null otherwise."""
+    many = F.lit(False) if max_values is None else F.col("values") > max_values
+    long = F.lit(False) if max_length is None else F.col("longest") > max_length
+    return F.when(many, F.lit("too many values")).when(long, F.lit("value too long"))
 
 
 def new_categories(reference, new, columns=None):
@@ -147,13 +146,14 @@ def new_categories(reference, new, columns=None):
     return category_counts(reference, new, columns).where("a = 0").select("feature", "value", F.col("b").alias("n"))
 
 
-def chi_square(reference, new, columns=None):
+def chi_square(reference, new, columns=None, max_values=None, max_length=None):
     """Chi-square of the 2 x m table per feature, corrected for continuity when m = 2.
 
-    ``(feature, values, n_reference, n_new, new_values, skipped, statistic, dof)``
+    ``(feature, values, n_reference, n_new, new_values, skipped, statistic, dof)``. Columns beyond a limit that is
+    given have no statistic; their new values count all the same.
     """
     counts = category_counts(reference, new, columns)
-    shape = category_shape(counts).withColumn("skipped", skip_reason())
+    shape = category_shape(counts).withColumn("skipped", skip_reason(max_values, max_length))
     joined = counts.join(F.broadcast(shape), "feature")  # one line per column
     total = F.col("all_a") + F.col("all_b")
 
@@ -175,22 +175,8 @@ def chi_square(reference, new, columns=None):
 # --------------------------------------------------------------------------- report
 
 
-def severity_of(checked, drifted, schema_broken):
-    """``checked`` is tested first: with nothing to check, the schema is not looked at."""
-    if checked == 0:
-        return "NONE"
-    if schema_broken:
-        return "CRITICAL"
-    ratio = drifted / checked
-    if ratio > CRITICAL_RATIO:
-        return "CRITICAL"
-    if ratio > MODERATE_RATIO:
-        return "MODERATE"
-    return "LOW" if ratio > 0 else "NONE"
-
-
 def severity(checked, drifted, schema_broken):
-    """The same decision as a column expression over summary tables."""
+    """The level as a column expression. With nothing to check, the schema is not looked at."""
     ratio = F.try_divide(drifted.cast("double"), checked.cast("double"))
     return (
         F.when(checked == 0, "NONE").when(schema_broken, "CRITICAL").when(ratio > CRITICAL_RATIO, "CRITICAL")
@@ -198,15 +184,27 @@ def severity(checked, drifted, schema_broken):
     )
 
 
-def detect_drift(reference, new, threshold=0.05, sample_frac=1.0, max_rows=None, key=None, ignore=()):
+def _thinned(df, fraction, max_rows, key):
+    """A repeatable sample by the hash of the key, or of the whole row: the same rows of equal tables."""
+    if (fraction is None or fraction >= 1.0) and max_rows is None:
+        return df
+    by = key or "_digest"
+    out = df if key else df.withColumn("_digest", row_digest(df.columns))
+    if fraction is not None and fraction < 1.0:
+        out = sample_fraction(out, fraction, by)
+    if max_rows is not None:
+        out = sample_rows(out, max_rows, by)
+    return out.select(*df.columns)
+
+
+def detect_drift(reference, new, threshold=0.05, sample_frac=1.0, max_rows=None, key=None, ignore=(), max_values=None, max_length=None, ks_method="asymptotic"):
     """All tests at once. ``details`` is a long table ``(section, feature, statistic, value, note, drifted)``.
 
-    Only one line per column comes to the driver, where the p-values are computed.
+    Only one line per column comes to the driver, where the p-values are computed. ``sample_frac`` and ``max_rows`` thin
+    both tables by one rule, so that a table never drifts from itself. ``max_values`` and ``max_length`` leave
+    columns without a chi-square test; new values are drift in every column. ``ks_method`` holds for every size.
     """
-    if sample_frac is not None and sample_frac < 1.0:
-        new = sample_fraction(new, sample_frac, key) if key else new.sample(sample_frac, 42)
-    if max_rows is not None:
-        new = sample_rows(new, max_rows, key) if key else new.limit(max_rows)
+    reference, new = (_thinned(t, sample_frac, max_rows, key) for t in (reference, new))
     spark = reference.sparkSession
     ref, now = reference.drop(*ignore), new.drop(*ignore)
     lines, checked, drifted = [], 0, 0
@@ -222,7 +220,7 @@ def detect_drift(reference, new, threshold=0.05, sample_frac=1.0, max_rows=None,
         spread = {r["feature"]: r for r in moments(ref, now, numeric).collect()}
         for r in ks_statistics(ref, now, numeric).collect():
             n = r["feature"]
-            p = ks_two_sample_p(r["statistic"], r["n_reference"], r["n_new"])
+            p = ks_two_sample_p(r["statistic"], r["n_reference"], r["n_new"], ks_method)
             bad = p < threshold
             checked, drifted = checked + 1, drifted + bad
             for stat, value in (("ks", r["statistic"]), ("p_value", p), ("mean_diff", spread[n]["mean_diff"]), ("std_ratio", spread[n]["std_ratio"])):
@@ -230,18 +228,17 @@ def detect_drift(reference, new, threshold=0.05, sample_frac=1.0, max_rows=None,
 
     words = [n for n in string_columns(ref) if n in string_columns(now)]
     if words:
-        for r in chi_square(ref, now, words).collect():
+        for r in chi_square(ref, now, words, max_values, max_length).collect():
             checked += 1
             if r["skipped"]:
-                lines.append(("categorical", r["feature"], "skipped", float(r["values"]), r["skipped"], False))
-                continue
+                lines.append(("categorical", r["feature"], "skipped", float(r["values"]), r["skipped"], r["new_values"] > 0))
             p = None if r["statistic"] is None else chi_square_p(r["statistic"], r["dof"])
             bad = (p is not None and p < threshold) or r["new_values"] > 0
             drifted += bad
             for stat, value in (("chi_square", r["statistic"]), ("p_value", p), ("new_values", float(r["new_values"]))):
                 lines.append(("categorical", r["feature"], stat, value, None, bad))
 
-    level = severity_of(checked, drifted, broken)
+    level = spark.range(1).select(severity(F.lit(checked), F.lit(drifted), F.lit(broken))).first()[0]
     lines.append(("summary", None, "checked", float(checked), None, False))
     lines.append(("summary", None, "drifted", float(drifted), level, drifted > 0))
     details = spark.createDataFrame(

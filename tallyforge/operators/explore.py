@@ -174,8 +174,8 @@ def collinear_pairs(df, threshold=0.8, columns=None):
     return correlations(df, columns).where(F.abs("correlation") > threshold)
 
 
-def target_rate_by_category(df, target, max_values=8, max_columns=6, columns=None):
-    """Target rate of each value of the first few low-cardinality columns, against the overall rate."""
+def target_rate_by_category(df, target, max_values=None, max_columns=None, columns=None):
+    """Target rate of each value against the overall rate; all columns and values unless limits are given."""
     columns = list(columns or string_columns(df, {target}))
     if not columns:
         return df.limit(0).selectExpr("'' feature", "'' value", "0L n", "0D rate", "0D overall", "false above")
@@ -189,10 +189,11 @@ def target_rate_by_category(df, target, max_values=8, max_columns=6, columns=Non
         F.count("value").alias("values"), F.sum("hits").alias("hits"), F.sum("known").alias("known"), F.sum("n").alias("n")
     )
     position = F.array_position(F.array(*[F.lit(n) for n in columns]), F.col("feature"))
-    shortlist = per_feature.where(F.col("values") <= max_values).agg(
+    fits = F.lit(True) if max_values is None else F.col("values") <= max_values
+    shortlist = per_feature.where(fits).agg(
         F.slice(F.sort_array(F.collect_list(F.struct(
             position.alias("at"), "feature", (F.col("hits") * 100.0 / F.col("known")).alias("overall")
-        ))), 1, max_columns).alias("picked")
+        ))), 1, max(1, len(columns) if max_columns is None else max_columns)).alias("picked")
     ).select(F.inline("picked"))
     rate = F.col("hits") * 100.0 / F.nullif(F.col("known"), F.lit(0))
     return (

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -84,7 +85,8 @@ class Flows:
         for name, frame in tables.items():
             self._write(frame, "runs", run_id, f"{name}.parquet")
         summary = tables["summary"].first().asDict()
-        summary["top_correlated"] = [r["feature"] for r in explore.target_correlations(df, y, 3, numbers).collect()] if y in df.columns else []
+        top = read_table(self.spark, self._at("runs", run_id, "target_correlations.parquet")) if y in df.columns else None
+        summary["top_correlated"] = [r["feature"] for r in top.orderBy(F.desc(F.abs("correlation")), "feature").limit(3).collect()] if top else []
         return summary
 
     # ------------------------------------------------------------------ prepare
@@ -135,14 +137,16 @@ class Flows:
         fitted, values = models.train_all(
             train, test, columns, y, [name] if name else None, s["models"], search, s["sampler"], key, s["seed"]
         )
-        best = models.select_best(values, s["scoring"])
-        if best is None:
+        if not values:
             raise RuntimeError("no model could be trained")
+        best = metrics.best_model(models.metrics_table(self.spark, values), s["scoring"]).first()["model"]
+        baseline = monitor.first_logged(self.monitor.history(best))
         self.monitor.register_model(best, fitted[best], values[best], run_id)
+        table = models.metrics_table(self.spark, {best: values[best]}).withColumnRenamed("model", "model_name")
+        self.monitor.check_health(table, baseline, s["minimum"], s["drift_max"])
+        # logged last: the first line of the log is what later trainings are compared with
         self.monitor.log_performance(best, values[best], n_samples=test.count())
         self.monitor.log_values(run_id, "metrics", values[best])
-        table = models.metrics_table(self.spark, {best: values[best]}).withColumnRenamed("model", "model_name")
-        self.monitor.check_health(table, None, s["minimum"], s["drift_max"])
         self.chart_tables(fitted, values, best, run_id)
         return best, values
 
@@ -196,14 +200,15 @@ class Flows:
             raise DriftError(message)
         return report
 
-    def predict(self, input_path, output_path, model_path=None):
+    def predict(self, input_path, output_path, model_path=None, run_id=None):
         """Score new data and write the cleaned rows with ``prediction``; None when the gate closes."""
+        run_id = run_id or f"predict_{uuid.uuid4().hex}"
         if model_path is None:
             newest = monitor.newest_model(self.monitor.registry).first()
             if newest is None:
                 raise FileNotFoundError("no model in the registry")
             model_path = newest["path"]
-        _, df = self._write(cleaning.clean(read_table(self.spark, input_path), remove_duplicates=self.s["remove_duplicates"]), "processed", "scoring_input.parquet")
+        _, df = self._write(cleaning.clean(read_table(self.spark, input_path), remove_duplicates=self.s["remove_duplicates"]), "processed", f"{run_id}_input.parquet")
         if not rules.passed(rules.business_rules(df, self.s["key"])):
             log.warning("business rules are violated")
         try:
@@ -223,7 +228,7 @@ class Flows:
             "preprocess": lambda run: self.preprocess(raw_path),
             "train": lambda run: self.train(name, optimise, run),
             "visualize": lambda run: self.visualize(name, run),
-            "predict": lambda run: self.predict(input_path, output_path or self._at("predictions", "predicted.csv")),
+            "predict": lambda run: self.predict(input_path, output_path or self._at("predictions", "predicted.csv"), None, run),
             "full": lambda run: self._full(raw_path, name, optimise, run),
         }
         if mode not in flows:

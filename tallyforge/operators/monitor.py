@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from ..sources.io import exists
 
 REGISTRY_SCHEMA = "model_name string, version bigint, registered_at timestamp, path string, metrics map<string,double>, run_id string"
 RUN_SCHEMA = "run_id string, event string, at timestamp, status string"
-PARAM_SCHEMA = "run_id string, kind string, name string, value string, at timestamp"
+PARAM_SCHEMA = "run_id string, kind string, name string, value string, at timestamp, seq bigint"
 PERFORMANCE_SCHEMA = (
     "timestamp timestamp, model_name string, model_version string, accuracy double, precision double, "
     "recall double, f1 double, roc_auc double, n_samples bigint, notes string"
@@ -83,14 +84,25 @@ def run_states(run_log):
     )
 
 
-def latest_values(values, order="at"):
+def _logged(values):
+    """Order of logged values: by time, then by the sequence of logging if it is known, then by value."""
+    return F.struct("at", *[n for n in ("seq", "value") if n in values.columns])
+
+
+def latest_values(values):
     """Last value logged per run and name."""
-    return values.groupBy("run_id", "name").agg(F.max_by("value", order).alias("value"))
+    return values.groupBy("run_id", "name").agg(F.max_by("value", _logged(values)).alias("value"))
 
 
 # --------------------------------------------------------------------------- performance
 
 
+def first_logged(history):
+    """The first line of each model in a performance log: what later values are compared with."""
+    rest = [n for n in history.columns if n not in ("model_name", "timestamp")]
+    return history.groupBy("model_name").agg(F.min_by(F.struct(*rest), F.struct("timestamp", *rest)).alias("v")).select("model_name", "v.*")
+
+
 def performance_drift(history, metric="f1", threshold=0.05):
     """First against last value per model: ``(model_name, n, baseline, current, drift, drift_detected, message)``."""
     ends = history.groupBy("model_name").agg(
@@ -216,13 +228,13 @@ class MonitorStore:
 
     def log_values(self, run_id, kind, values, now=None):
         now = now or dt.datetime.now()
-        self._append("run_values", [(run_id, kind, k, str(v), now) for k, v in values.items()], PARAM_SCHEMA)
+        self._append("run_values", [(run_id, kind, k, str(v), now, time.time_ns()) for k, v in values.items()], PARAM_SCHEMA)
 
     def run_info(self, run_id):
         """``{kind: {name: value}}`` with the last value of every name."""
         mine = self.values.where(c("run_id") == run_id)
         info = {}
-        for r in mine.groupBy("kind", "name").agg(F.max_by("value", "at").alias("value")).collect():
+        for r in mine.groupBy("kind", "name").agg(F.max_by("value", _logged(mine)).alias("value")).collect():
             info.setdefault(r["kind"], {})[r["name"]] = r["value"]
         return info
 

@@ -1,6 +1,7 @@
 """Class rebalancing: synthetic minority rows and removal of Tomek links."""
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
@@ -16,15 +17,27 @@ def _vectors(df, columns, key):
 def neighbours(df, columns, key, k=5, block_rows=BLOCK_ROWS):
     """The ``k`` nearest other rows of each row, copies included: ``(key, rank, neighbour, distance)``.
 
-    Intended for results of readable size; the operators below work on distinct vectors.
+    Ties go to the lower key. The search runs over distinct vectors; of the rows that share a vector only the k + 1 lowest
+    keys can be among the answers of others.
     """
-    return nearest(merge_equal(_vectors(df, columns, key), "key", "vec"), k, block_rows).select(
-        F.col("id").alias("key"), "neighbour", F.sqrt("distance2").alias("distance")
-    )
+    rows = _vectors(df, columns, key)
+    points = stored(merge_equal(rows, "key", "vec"), "points")
+    members = stored(rows.join(points.select("vec", "id"), "vec").select("id", "key"), "members")
+    lowest = members.withColumn("_r", F.row_number().over(Window.partitionBy("id").orderBy("key"))).where(F.col("_r") <= k + 1).select(F.col("id").alias("near"), F.col("key").alias("neighbour"))
+    reach = nearest(points, k, block_rows).select("id", F.col("neighbour").alias("near"), "distance2").unionByName(
+        points.select("id", F.col("id").alias("near"), F.lit(0.0).alias("distance2")))
+    found = F.slice(F.array_sort(F.collect_list(F.struct("distance2", "neighbour"))), 1, (k + 1) * (k + 1))
+    lists = reach.join(lowest, "near").groupBy("id").agg(found.alias("found"))
+    others = F.slice(F.filter("found", lambda f: f["neighbour"] != F.col("key")), 1, k)
+    picked = members.join(lists, "id").select("key", F.posexplode(others).alias("rank", "f"))
+    return picked.select("key", (F.col("rank") + 1).alias("rank"), F.col("f.neighbour").alias("neighbour"), F.sqrt("f.distance2").alias("distance"))
 
 
-def _synthesise(rows, columns, key, label, value, wanted, k, seed, block_rows):
-    """``wanted`` synthetic rows of one class, each on the line between a row and a near row of its class."""
+def _synthesise(rows, columns, key, label, value, wanted, k, seed, block_rows, stride):
+    """``wanted`` synthetic rows of one class, each on the line between a row and a near row of its class.
+
+    Their keys are ``-(key * stride + copy)``; ``stride`` is larger than any number of copies, in all classes.
+    """
     size = rows.count()
     if not size or wanted <= 0:
         return None
@@ -61,7 +74,7 @@ def _synthesise(rows, columns, key, label, value, wanted, k, seed, block_rows):
     mate = F.coalesce(F.get("choices", pick)["v"], F.col("vec"))
     made = born.select(
         # negative, hence never the key of a given row
-        (-(F.col("key") * (each + 1) + F.col("_copy"))).alias(key),
+        (-(F.col("key") * stride + F.col("_copy"))).alias(key),
         F.col("key").alias("_parent"),
         F.zip_with("vec", mate, lambda a, b: a + step * (b - a)).alias("_v"),
     )
@@ -78,9 +91,13 @@ def oversample(df, columns, label, key, k=5, seed=42, block_rows=BLOCK_ROWS):
     most = max(sizes.values(), default=0)
     base = df.select(c(key).cast("long").alias(key), *[c(n).cast("double").alias(n) for n in columns], c(label))
     out = base
+    stride = max((most // n for n in sizes.values() if n), default=1) + 2
+    top = base.agg(F.max(c(key))).first()[0] or 0
+    if (top + 1) * stride >= 1 << 63:
+        raise ValueError(f"keys up to {top} leave no room for {stride} synthetic keys each; number the rows first")
     for value, size in sorted(sizes.items(), key=lambda e: str(e[0])):
         if size < most:
-            made = _synthesise(base.where(c(label) == F.lit(value)), columns, key, label, value, most - size, k, seed, block_rows)
+            made = _synthesise(base.where(c(label) == F.lit(value)), columns, key, label, value, most - size, k, seed, block_rows, stride)
             if made is not None:
                 out = out.unionByName(made.withColumn(label, c(label).cast(dict(base.dtypes)[label])))
     return out

@@ -107,6 +107,8 @@ def business_rules(df, key="CustomerID", n_examples=5, rules=None):
             cited.alias("examples"), F.lit(False).alias("fails"),
         )
         out = line if out is None else out.unionByName(line)
+    if out is None:  # nothing to check: no broken rule
+        out = df.sparkSession.createDataFrame([], "category string, rule string, count bigint, examples string, fails boolean")
     return out
 
 

@@ -24,10 +24,11 @@ def half_up(x):
     return math.floor(x + 0.5)
 
 
-def class_sizes(df, label):
-    rows = df.groupBy(c(label).alias("y")).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"'{label}' has more than {MAX_CLASSES} classes")
+def class_sizes(df, label, max_classes=MAX_CLASSES):
+    """Rows of each class; an error above ``max_classes``, since the classes come to the driver."""
+    rows = df.groupBy(c(label).alias("y")).count().limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"'{label}' has more than {max_classes} classes")
     return {r["y"]: r["count"] for r in rows}
 
 

@@ -16,9 +16,6 @@ VERSION_SCHEMA = (
     "description string, tags array<string>, rows bigint, columns int"
 )
 LINEAGE_SCHEMA = "dataset string, version bigint, parent string, transformation string, created_at timestamp"
-PROFILE_NUMERIC = 10
-PROFILE_CATEGORICAL = 5
-MAX_DEPTH = 100
 
 
 def fingerprint_table(df):
@@ -31,11 +28,16 @@ def fingerprint_table(df):
     )
 
 
-def fingerprint(df):
-    """Content fingerprint of a table as a hex string; column names and types are part of it."""
+def fingerprint_and_rows(df):
+    """Fingerprint and row count of a table, from one scan."""
     r = fingerprint_table(df).first()
     text = "|".join([str(r["rows"]), r["hash_sum"], str(r["hash_xor"]), ",".join(f"{n}:{t}" for n, t in df.dtypes)])
-    return hashlib.md5(text.encode()).hexdigest()
+    return hashlib.md5(text.encode()).hexdigest(), r["rows"]
+
+
+def fingerprint(df):
+    """Content fingerprint of a table as a hex string; column names and types are part of it."""
+    return fingerprint_and_rows(df)[0]
 
 
 def metadata(df):
@@ -44,10 +46,13 @@ def metadata(df):
     return df.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(len(df.columns)).alias("columns"), F.inline(cells))
 
 
-def profile(df):
-    """Long table ``(column, statistic, value)`` of nulls, repeats, numbers and frequent values."""
+def profile(df, max_numeric=None, max_categorical=None):
+    """Long table ``(column, statistic, value)`` of nulls, repeats, numbers and frequent values.
+
+    All columns unless a number of numeric or text columns is given.
+    """
     names, n = df.columns, F.count(F.lit(1))
-    numbers, words = numeric_columns(df)[:PROFILE_NUMERIC], string_columns(df)[:PROFILE_CATEGORICAL]
+    numbers, words = numeric_columns(df)[:max_numeric], string_columns(df)[:max_categorical]
     line = lambda col, stat, value: F.struct(
         F.lit(col).cast("string").alias("column"), F.lit(stat).alias("statistic"), value.cast("string").alias("value")
     )
@@ -111,31 +116,28 @@ def compare_versions(versions, pairs):
     )
 
 
-def ancestors(edges, starts=None, max_depth=MAX_DEPTH):
-    """All ancestors of each dataset: ``(dataset, depth, parent, transformation)``.
+def ancestors(edges, starts=None):
+    """All ancestors of each dataset at their smallest depth: ``(dataset, depth, parent, transformation)``.
 
-    ``edges`` holds ``dataset, parent, transformation``. One join per generation, each written
-    out before the next, so neither the plan nor a row limit bounds the walk. A parent already
-    on the way is not entered again, so a cycle ends it.
+    ``edges`` holds ``dataset, parent, transformation``. One join per generation, written out before the next, until
+    a generation brings no new ancestor; a dataset is not its own ancestor, so cycles end. Of several ways of one
+    length the first transformation by name is named.
     """
     edges = stored(edges.select("dataset", "parent", "transformation"), "edges")
     starts = edges.select("dataset").distinct() if starts is None else starts.select("dataset").distinct()
     steps = edges.select(F.col("dataset").alias("_from"), F.col("parent").alias("_to"), F.col("transformation").alias("_how"))
-    front = starts.join(edges, "dataset").select(
-        "dataset", F.lit(1).alias("depth"), "parent", "transformation", F.array("dataset", "parent").alias("_seen")
-    )
-    found = None
-    for depth in range(1, max_depth + 1):
-        front = stored(front, f"generation-{depth}")
-        found = front.drop("_seen") if found is None else found.unionAll(front.drop("_seen"))
-        if front.isEmpty():
-            break
-        front = (
-            front.join(steps, F.col("parent") == F.col("_from"))
-            .where(~F.array_contains("_seen", F.col("_to")))
-            .select("dataset", F.lit(depth + 1).alias("depth"), F.col("_to").alias("parent"), F.col("_how").alias("transformation"), F.array_append("_seen", F.col("_to")).alias("_seen"))
-        )
-    return found
+    front = starts.join(edges, "dataset")
+    found, depth = None, 0
+    while True:
+        depth += 1
+        fresh = front.where("dataset <> parent").groupBy("dataset", "parent").agg(F.min("transformation").alias("transformation"))
+        if found is not None:
+            fresh = fresh.join(found.select("dataset", "parent"), ["dataset", "parent"], "left_anti")
+        fresh = stored(fresh.select("dataset", F.lit(depth).alias("depth"), "parent", "transformation"), f"generation-{depth}")
+        found = fresh if found is None else found.unionAll(fresh)
+        if fresh.isEmpty():
+            return found
+        front = fresh.join(steps, F.col("parent") == F.col("_from")).select("dataset", F.col("_to").alias("parent"), F.col("_how").alias("transformation"))
 
 
 # --------------------------------------------------------------------------- the store
@@ -163,14 +165,14 @@ class VersionStore:
 
     def create(self, dataset, df, path, description=None, tags=None, now=None):
         """Append a version; returns the latest id unchanged when its content is the same."""
-        mark = fingerprint(df)
+        mark, rows = fingerprint_and_rows(df)
         last = version_info(self.versions, dataset).first()
         if last and last["fingerprint"] == mark:
             return last["version_id"]
         now = now or dt.datetime.now()
         number = (last["version"] if last else 0) + 1
         version_id = f"v{number}_{now:%Y%m%d_%H%M%S}"
-        row = (dataset, number, version_id, now, mark, path, description, tags, df.count(), len(df.columns))
+        row = (dataset, number, version_id, now, mark, path, description, tags, rows, len(df.columns))
         self.spark.createDataFrame([row], VERSION_SCHEMA).write.mode("append").parquet(f"{self.folder}/versions")
         return version_id
 

@@ -1,15 +1,12 @@
 """Reading and writing tables, and choosing files by the period in their name."""
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, nan_to_null
 
-# How a period is written in a file name or a bound.
-QUARTER = re.compile(r"(\d{4})[-_]?Q(\d)", re.IGNORECASE)
-MONTH = re.compile(r"(\d{4})[-_]?(\d{2})")
+# How a period is written in a file name or a bound, with the months in one.
+PERIODS = [(r"(?i)(\d{4})[-_]?Q(\d)", 3), (r"(\d{4})[-_]?(\d{2})", 1)]
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json"}
 
 
@@ -87,42 +84,41 @@ def latest_pair(spark, folder, raw_name=None):
     return tuple(picked)
 
 
-def month_of_name(name):
-    """``year * 100 + month`` of the first period in a name (a quarter counts as its first month)."""
-    quarter = QUARTER.search(name)
-    if quarter:
-        return int(quarter[1]) * 100 + int(quarter[2]) * 3 - 2
-    month = MONTH.search(name)
-    if month and 1 <= int(month[2]) <= 12:
-        return int(month[1]) * 100 + int(month[2])
-    return None
+def period_of(text):
+    """Struct of the first and last month (counted from year 0) of the period in ``text``; null without one.
+
+    The rules are tried in order; a month has to lie in a year, else ``text`` counts as undated.
+    """
+    def by(pattern, months):
+        year, n = (F.regexp_extract(text, pattern, i).try_cast("int") for i in (1, 2))
+        last = year * 12 + n * months
+        named = F.rlike(text, F.lit(pattern)) & (n * months <= 12) & (n > 0)
+        return F.when(named, F.struct((last - months + 1).alias("first"), last.alias("last")))
+
+    return F.coalesce(*[by(*rule) for rule in PERIODS])
+
+
+def in_period(name, start=None, end=None):
+    """Whether a name's period begins within the inclusive bounds; undated names and bounds always fit."""
+    bound = lambda x: period_of(F.lit(x).cast("string"))
+    begins = period_of(name)["first"]
+    return F.coalesce(begins >= bound(start)["first"], F.lit(True)) & F.coalesce(begins <= bound(end)["last"], F.lit(True))
 
 
-def month_of_bound(text, is_end):
-    """A bound as ``year * 100 + month``; an end quarter reaches to its last month."""
-    quarter = QUARTER.match(text or "")
-    if quarter:
-        return int(quarter[1]) * 100 + int(quarter[2]) * 3 - (0 if is_end else 2)
-    month = MONTH.match(text or "")
-    if month:
-        return int(month[1]) * 100 + int(month[2])
-    return 999999 if is_end else 0
+def names_in_period(spark, names, start=None, end=None):
+    """The names of a folder's listing that :func:`in_period` keeps, sorted."""
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    return [r["name"] for r in table.where(in_period(F.col("name"), start, end)).orderBy("name").collect()]
 
 
-def names_in_period(names, start=None, end=None):
-    """Names dated within the inclusive bounds; undated names always stay."""
-    low, high = month_of_bound(start, False), month_of_bound(end, True)
-    kept = []
-    for name in names:
-        month = month_of_name(name)
-        if month is None or low <= month <= high:
-            kept.append(name)
-    return sorted(kept)
+def readable(name):
+    """Whether a name is a table of a known format, or a folder of one."""
+    return "=" in name or "." not in name or name[name.rindex(".") :].lower() in FORMATS
 
 
 def read_period(spark, folder, start=None, end=None, schema=None):
-    """Read only those children of ``folder`` (files, or one folder per month) in the period."""
-    names = names_in_period(list_names(spark, folder), start, end)
+    """Read only those children of ``folder`` (files, or one folder per month) in the period; files of other kinds are left."""
+    names = names_in_period(spark, [n for n in list_names(spark, folder) if readable(n)], start, end)
     if not names:
         raise FileNotFoundError(f"No file of the period in {folder}")
     paths = [f"{folder.rstrip('/')}/{n}" for n in names]

@@ -94,9 +94,9 @@ def test_failed_models_are_left_out(raw):
         models.train_all(raw, raw, COLUMNS, "Churn", [])
 
 
-def test_best_model_first_wins():
-    assert models.select_best({"a": {"f1": 0.5}, "b": {"f1": 0.5}, "c": {}}) == "a"
-    assert models.select_best({"a": {}, "b": {"f1": 0.0}}) == "a"
+@pytest.mark.parametrize("values", [{"a": {"f1": 0.5}, "b": {"f1": 0.5}, "c": {}}, {"a": {}, "b": {"f1": 0.0}}])
+def test_best_model_first_wins(spark, values):
+    assert metrics.best_model(models.metrics_table(spark, values)).first()["model"] == "a"
 
 
 def test_rebalanced_fit_scores_plain_rows(raw):

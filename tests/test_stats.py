@@ -34,13 +34,13 @@ def _by_hand(d, m, n):
 
 @pytest.mark.parametrize("d,m,n", [(0.8, 5, 5), (0.6, 5, 5), (0.5, 4, 6), (2 / 3, 3, 6), (0.35, 4, 5)])
 def test_exact_two_sample_by_enumeration(d, m, n):
-    assert stats.ks_two_sample_p(d, m, n) == pytest.approx(_by_hand(d, m, n), abs=1e-12)
+    assert stats.ks_two_sample_p(d, m, n, "exact") == pytest.approx(_by_hand(d, m, n), abs=1e-12)
 
 
 def test_exact_two_sample_published_value():
-    assert stats.ks_two_sample_p(0.6, 10, 10) == pytest.approx(0.052448, abs=1e-6)
+    assert stats.ks_two_sample_p(0.6, 10, 10, "exact") == pytest.approx(0.052448, abs=1e-6)
 
 
 def test_asymptotic_meets_exact():
-    exact = stats.ks_two_sample_p(0.06, 1500, 1700)
-    assert stats.ks_two_sample_p(0.06, 1500, 1700, exact_limit=0) == pytest.approx(exact, rel=0.05)
+    exact = stats.ks_two_sample_p(0.06, 1500, 1700, "exact")
+    assert stats.ks_two_sample_p(0.06, 1500, 1700) == pytest.approx(exact, rel=0.05)

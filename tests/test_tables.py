@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tallyforge.operators import clean, drift, explore, features, rules, transforms as t
+from tallyforge.operators import clean, drift, explore, features, monitor, rebalance, rules, transforms as t, versions
 from tallyforge.sources import io
 
 
@@ -39,12 +39,21 @@ def test_latest_pair(spark, tmp_path):
         io.latest_pair(spark, str(tmp_path / "none"))
 
 
-def test_periods_in_names():
+def test_periods_in_names(spark):
     names = ["d_2024_01.csv", "d_2024-03.csv", "d_202405.csv", "d_2024_Q3.csv", "d.csv", "d_2024_13.csv"]
-    assert [io.month_of_name(n) for n in names] == [202401, 202403, 202405, 202407, None, None]
-    assert io.names_in_period(names, "2024-02", "2024-Q2") == ["d.csv", "d_2024-03.csv", "d_202405.csv", "d_2024_13.csv"]
-    assert io.names_in_period(names, "2024-Q3") == ["d.csv", "d_2024_13.csv", "d_2024_Q3.csv"]
-    assert io.names_in_period(names, None, "2024-Q1") == ["d.csv", "d_2024-03.csv", "d_2024_01.csv", "d_2024_13.csv"]
+    table = spark.createDataFrame([(n,) for n in names], "n string").select(io.period_of(F.col("n")).alias("p"))
+    assert [r["p"] and (r["p"]["first"] - 2024 * 12, r["p"]["last"] - 2024 * 12) for r in table.collect()] == [(1, 1), (3, 3), (5, 5), (7, 9), None, None]
+    assert io.names_in_period(spark, names, "2024-02", "2024-Q2") == ["d.csv", "d_2024-03.csv", "d_202405.csv", "d_2024_13.csv"]
+    assert io.names_in_period(spark, names, "2024-Q3") == ["d.csv", "d_2024_13.csv", "d_2024_Q3.csv"]
+    assert io.names_in_period(spark, names, None, "2024-Q1") == ["d.csv", "d_2024-03.csv", "d_2024_01.csv", "d_2024_13.csv"]
+
+
+def test_other_files_in_a_folder_are_left(spark, tmp_path):
+    for month in ("2024-01", "2024-02"):
+        io.write_table(spark.range(3), str(tmp_path / f"t_{month}.parquet"))
+    (tmp_path / "notes.txt").write_text("x")
+    assert io.read_period(spark, str(tmp_path), "2024-02").count() == 3
+    assert io.read_period(spark, str(tmp_path)).count() == 6
 
 
 # ------------------------------------------------------------------ cleaning
@@ -223,14 +232,60 @@ def test_empty_side_is_tolerated(spark):
     (0, 0, True, "NONE"), (10, 0, True, "CRITICAL"), (10, 4, False, "CRITICAL"), (10, 3, False, "MODERATE"),
     (10, 2, False, "MODERATE"), (20, 3, False, "LOW"), (10, 0, False, "NONE"),
 ])
-def test_severity_steps(checked, drifted, broken, level):
-    assert drift.severity_of(checked, drifted, broken) == level
+def test_severity_steps(spark, checked, drifted, broken, level):
+    assert spark.range(1).select(drift.severity(F.lit(checked), F.lit(drifted), F.lit(broken))).first()[0] == level
 
 
 def test_sampled_drift_uses_fewer_rows(spark):
     df = spark.range(1000).select("id", F.col("id").cast("double").alias("x"))
-    report = drift.detect_drift(df, df, max_rows=100, key="id")
-    assert report.severity in ("NONE", "LOW", "MODERATE", "CRITICAL") and report.checked == 2
+    for options in ({"max_rows": 100, "key": "id"}, {"max_rows": 100}, {"sample_frac": 0.3}, {"sample_frac": 0.3, "max_rows": 50, "key": "id"}):
+        report = drift.detect_drift(df, df.repartition(7, "x"), **options)
+        assert report.severity == "NONE" and report.checked == 2
+        assert {r["value"] for r in report.details.where("statistic = 'ks'").collect()} == {0.0}
+    late = df.where("id >= 500")
+    assert drift.detect_drift(df, late, max_rows=100).severity == "CRITICAL"
+
+
+def test_many_new_categories_are_drift(spark):
+    old = spark.range(600).selectExpr("concat('old', id % 60) v")
+    new = spark.range(600).selectExpr("concat('new', id % 60) v")
+    assert drift.detect_drift(old, new).severity == "CRITICAL"
+    assert drift.detect_drift(old, new, max_values=50).severity == "CRITICAL"
+    assert drift.detect_drift(old, old).severity == "NONE"
+
+
+def test_lineage_has_every_ancestor_once(spark):
+    chain = [(f"d{i}", f"d{i + 1}", "step") for i in range(12)] + [("d12", "d0", "loop")]
+    diamond = [("a", "b", "x"), ("a", "c", "x"), ("b", "d", "y"), ("c", "d", "x"), ("d", "e", "x")]
+    edges = spark.createDataFrame(chain + diamond, "dataset string, parent string, transformation string")
+    got = {(r["dataset"], r["parent"]): (r["depth"], r["transformation"]) for r in versions.ancestors(edges).where("dataset in ('a', 'd0')").collect()}
+    assert len([k for k in got if k[0] == "d0"]) == 12 and got["d0", "d12"][0] == 12
+    assert {k[1]: v for k, v in got.items() if k[0] == "a"} == {"b": (1, "x"), "c": (1, "x"), "d": (2, "x"), "e": (3, "x")}
+
+
+def test_nothing_to_check_passes(spark):
+    report = rules.business_rules(spark.createDataFrame([(1,)], "other int"))
+    assert report.count() == 0 and rules.passed(report)
+
+
+def test_equal_times_keep_the_last_value(spark):
+    log = spark.createDataFrame([("r", "m", "old", 1, 1), ("r", "m", "new", 1, 2)], "run_id string, name string, value string, at int, seq long")
+    assert monitor.latest_values(log).first()["value"] == "new"
+
+
+def test_neighbours_hold_copies(spark):
+    rows = [(1, 0.0, 0.0), (2, 0.0, 0.0), (3, 1.0, 0.0), (4, 0.0, 2.0)]
+    got = rebalance.neighbours(spark.createDataFrame(rows, "k long, x double, y double"), ["x", "y"], "k", 2)
+    found = {(r["key"], r["rank"]): (r["neighbour"], r["distance"]) for r in got.collect()}
+    assert found == {(1, 1): (2, 0.0), (1, 2): (3, 1.0), (2, 1): (1, 0.0), (2, 2): (3, 1.0), (3, 1): (1, 1.0), (3, 2): (2, 1.0), (4, 1): (1, 2.0), (4, 2): (2, 2.0)}
+
+
+def test_synthetic_keys_are_unique(spark):
+    rows = spark.range(180).selectExpr("id", "cast(id % 13 as double) x", "cast(id % 7 as double) y", "case when id < 100 then 'a' when id < 150 then 'b' else 'c' end label")
+    out = rebalance.oversample(rows, ["x", "y"], "label", "id", k=3)
+    assert out.count() == 300 and out.select("id").distinct().count() == 300
+    with pytest.raises(ValueError, match="number the rows"):
+        rebalance.oversample(rows.withColumn("id", F.col("id") + (1 << 62)), ["x", "y"], "label", "id", k=3)
 
 
 # ------------------------------------------------------------------ exploration
@@ -244,7 +299,7 @@ def test_summary_counts_null_rows_as_equal(spark):
 
 def test_rate_by_category_skips_wide_columns(spark):
     df = spark.createDataFrame([(str(i), str(i % 2), i % 2) for i in range(20)], "wide string, narrow string, Churn int")
-    got = {(r["feature"], r["value"]): (r["rate"], r["overall"], r["above"]) for r in explore.target_rate_by_category(df, "Churn").collect()}
+    got = {(r["feature"], r["value"]): (r["rate"], r["overall"], r["above"]) for r in explore.target_rate_by_category(df, "Churn", max_values=8).collect()}
     assert got == {("narrow", "0"): (0.0, 50.0, False), ("narrow", "1"): (100.0, 50.0, True)}
 
 
