@@ -1,6 +1,8 @@
 """Exploratory aggregates: the tables behind every chart and summary."""
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, melt, missing_cells, numeric_columns, row_digest, string_columns
@@ -135,27 +137,41 @@ def correlations(df, columns=None):
     return _correlate(df, pairs)
 
 
+def _cross_products(columns, shifts):
+    """Per task the sums of products of every two columns over the rows where both are known, as (i, j, sums) lines."""
+    def add_up(batches):
+        p = len(columns)
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(p)]) - shifts
+            known = np.column_stack([batch.column(i).is_valid().to_numpy(zero_copy_only=False) for i in range(p)]).astype(float)
+            x = np.where(known > 0, x, 0.0)
+            total += np.stack([known.T @ known, x.T @ known, x.T @ x, (x * x).T @ known])
+        i, j = np.indices((p, p)).reshape(2, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *[pa.array(t.reshape(-1)) for t in total]], names=["i", "j", "n", "x", "xy", "xx"])
+
+    return add_up
+
+
 def _correlate(df, pairs):
-    """Rows are unfolded to one line per pair and combined on the map side, pair by pair.
+    """Correlation of column pairs from one pass: each task adds up its cross products, the shuffle carries their sums.
 
-    That keeps the generated code small however many pairs there are; the shuffle carries
-    one line per pair and task.
+    Values are taken from the middle of their range, so that a constant column has exactly no variance (a null result).
     """
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("pair"), c(a).cast("double").alias("x"), c(b).cast("double").alias("y"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    names = F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b")) for a, b in pairs])
-    # ``corr`` raises under ANSI rules when a side is constant; here that gives null
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
-    return (
-        df.select(F.inline(cells))
-        .groupBy("pair")
-        .agg(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias("correlation"))
-        .select(F.get(names, F.col("pair")).alias("_n"), "correlation")
-        .select("_n.column_a", "_n.column_b", "correlation")
-    )
+    columns = list(dict.fromkeys(n for p in pairs for n in p))
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
+    x = df.select(*[c(n).cast("double").alias(n) for n in columns])
+    middle = x.agg(*[F.coalesce((F.min(c(n)) + F.max(c(n))) / 2, F.lit(0.0)) for n in columns]).first()
+    task = _cross_products(columns, np.array(list(middle), float))
+    sums = x.mapInArrow(task, "i long, j long, n double, x double, xy double, xx double").groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in ("n", "x", "xy", "xx")])
+    wanted = df.sparkSession.createDataFrame([(columns.index(a), columns.index(b), a, b) for a, b in pairs], "i long, j long, column_a string, column_b string")
+    other = sums.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("x").alias("y"), F.col("xx").alias("yy"))
+    both = wanted.join(sums, ["i", "j"]).join(other, ["i", "j"])
+    mean = lambda k: F.try_divide(F.col(k), F.col("n"))
+    rest = lambda s, q: mean(q) - mean(s) * mean(s)
+    spread = lambda s, q: F.when(rest(s, q) > 1e-13 * mean(q), rest(s, q)).otherwise(0.0)
+    return both.select("column_a", "column_b", F.try_divide(mean("xy") - mean("x") * mean("y"), F.sqrt(spread("x", "xx") * spread("y", "yy"))).alias("correlation"))
 
 
 def target_correlations(df, target, top_n=15, columns=None):

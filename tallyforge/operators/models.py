@@ -230,6 +230,9 @@ class NamedClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         s = self.getOrDefault(self.settings)
         if s["name"] not in DEFAULTS:
             raise ValueError(f"Unknown model: {s['name']}")
+        foreign = set(s["params"]) - set(DEFAULTS[s["name"]]) - set(GRIDS[s["name"]])
+        if foreign:
+            raise ValueError(f"unknown settings of {s['name']}: {sorted(foreign)}")
         if s["sampler"]:
             df = SAMPLERS[s["sampler"]](df, s["columns"], s["label"], s["key"], seed=s["seed"])
         assembler = VectorAssembler(inputCols=s["columns"], outputCol="features", handleInvalid="error")

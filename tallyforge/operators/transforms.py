@@ -13,11 +13,12 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, clip, melt, numeric_columns, string_columns
+from ..functions.columns import c, clip, melt, nan_to_null, numeric_columns, string_columns
 from ..plans.quantiles import exact_quantiles
 from ..session import scratch_path, stored
 from .clean import constant_columns
 from .features import engineer
+from .split import MAX_CLASSES
 
 
 class _Options(Params):
@@ -41,7 +42,7 @@ class _Stage(Estimator, _Options, DefaultParamsReadable, DefaultParamsWritable):
         self._set(options={**self.DEFAULTS, **options})
 
     def _fit(self, df):
-        return self.MODEL()._learn(self.getOrDefault(self.options), self._learn(df))
+        return self.MODEL()._learn(self.getOrDefault(self.options), self._learn(nan_to_null(df)))
 
     def _learn(self, df):
         raise NotImplementedError
@@ -91,7 +92,7 @@ def top_values(df, columns):
 
 class MissingFillerModel(_Learned):
     def _transform(self, df):
-        new = {}
+        df, new = nan_to_null(df), {}
         for n, value in self.learned.items():
             if n in df.columns:
                 col = c(n).cast("double") if isinstance(value, float) else c(n)
@@ -138,6 +139,7 @@ class FeatureBuilder(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 class OutlierLimiterModel(_Learned):
     def _transform(self, df):
+        df = nan_to_null(df)
         if self.option("method") == "zscore":
             return _replace_far(df, self._present(df), self.option("threshold"))
         new = {
@@ -188,6 +190,8 @@ class OutlierLimiter(_Stage):
             else:
                 spread = q[0.75] - q[0.25]
                 learned[n] = {"low": q[0.25] - k * spread, "high": q[0.75] + k * spread}
+                if not all(map(math.isfinite, learned[n].values())):  # infinite quartiles bound nothing
+                    learned[n] = {"low": None, "high": None}
         return learned
 
 
@@ -319,7 +323,7 @@ class Scaler(_Stage):
 
 def _class_facts(df, columns, label):
     """Per class and feature: count, mean, variance and range; one pass, one line per class."""
-    return (
+    rows = (
         df.groupBy(c(label).alias("_class"))
         .agg(
             *[F.count(c(n)).alias(f"n{i}") for i, n in enumerate(columns)],
@@ -328,8 +332,12 @@ def _class_facts(df, columns, label):
             *[F.min(c(n)).alias(f"lo{i}") for i, n in enumerate(columns)],
             *[F.max(c(n)).alias(f"hi{i}") for i, n in enumerate(columns)],
         )
+        .limit(MAX_CLASSES + 1)
         .collect()
     )
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"'{label}' has more than {MAX_CLASSES} classes")
+    return rows
 
 
 def _constant(rows, i):
@@ -379,8 +387,11 @@ def information_scores(df, columns, label, bins=10):
         .where("value is not null and _label is not null")
         .groupBy("feature", "value", "_label")
         .count()
+        .limit(len(columns) * bins * MAX_CLASSES + 1)
         .collect()  # columns x bins x classes lines
     )
+    if len({r["_label"] for r in cells}) > MAX_CLASSES:
+        raise ValueError(f"'{label}' has more than {MAX_CLASSES} classes")
     scores = {}
     for n in columns:
         mine = [(r["value"], r["_label"], r["count"]) for r in cells if r["feature"] == n]

@@ -4,12 +4,13 @@ from __future__ import annotations
 import itertools
 import logging
 import random
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
-
 from ..functions.columns import c
+from ..session import stored
 from .models import GRIDS, NamedClassifier, train
+from .rebalance import SAMPLERS
 from .split import with_folds
 
 log = logging.getLogger(__name__)
@@ -52,17 +53,21 @@ def optimise(df, name, columns, label, key, grid=None, sampler=None, **search):
         log.warning("no grid for %s: plain training", name)
         return train(df, name, columns, label, seed=s["seed"]), {}, []
     settings = combinations(grid) if s["method"] == "grid" else draws(grid, s["n_iter"], s["seed"])
-    estimator = NamedClassifier(name=name, columns=list(columns), label=label, sampler=sampler, key=key, seed=s["seed"])
-    folded = with_folds(df.withColumn("label", c(label).cast("double")), label, key, s["folds"], s["seed"], column="_fold")
-    folded = folded.persist()
-    try:
-        search_ = CrossValidator(
-            estimator=estimator, evaluator=evaluator(s["scoring"]), foldCol="_fold", numFolds=s["folds"], parallelism=s["parallelism"],
-            estimatorParamMaps=[{estimator.settings: estimator.with_params(p)} for p in settings],
-        )
-        fitted = search_.fit(folded)
-    finally:
-        folded.unpersist()
-    scores = list(zip(settings, fitted.avgMetrics))
+    plain = NamedClassifier(name=name, columns=list(columns), label=label, key=key, seed=s["seed"])
+    measure = evaluator(s["scoring"])
+    folded = stored(with_folds(df.withColumn("label", c(label).cast("double")), label, key, s["folds"], s["seed"], column="_fold"), "folds")
+    totals = [0.0] * len(settings)
+    for fold in range(s["folds"]):
+        rows, held = folded.where(c("_fold") != fold), folded.where(c("_fold") == fold)
+        if sampler:  # does not depend on the settings: once for each fold
+            rows = stored(SAMPLERS[sampler](rows, list(columns), label, key, seed=s["seed"]), "resampled")
+
+        def score(params, rows=rows, held=held):
+            fitted = plain.copy({plain.settings: plain.with_params(params)}).fit(rows)
+            return measure.evaluate(fitted.transform(held))
+
+        with ThreadPool(s["parallelism"]) as pool:
+            totals = [a + b for a, b in zip(totals, pool.map(score, settings))]
+    scores = [(p, t / s["folds"]) for p, t in zip(settings, totals)]
     best = max(range(len(scores)), key=lambda i: scores[i][1])
-    return fitted.bestModel, settings[best], scores
+    return train(df, name, columns, label, settings[best], sampler, key, s["seed"]), settings[best], scores

@@ -253,3 +253,23 @@ def test_whole_flow(spark, raw_missing, tmp_path):
     with pytest.raises(FileNotFoundError):
         work.run("preprocess", raw_path=str(tmp_path / "absent.parquet"))
     assert {r["status"] for r in monitor.run_states(work.monitor.runs).collect()} == {"FINISHED", "FAILED"}
+
+
+def test_rows_are_rebalanced_once_for_each_fold(raw, monkeypatch):
+    from tallyforge.operators import rebalance
+
+    calls = []
+
+    def counted(df, *args, **kwargs):
+        calls.append(1)
+        return rebalance.oversample(df, *args, **kwargs)
+
+    monkeypatch.setitem(rebalance.SAMPLERS, "smote", counted)
+    _, best, scores = tuning.optimise(raw, "decision_tree", COLUMNS, "Churn", "CustomerID", {"max_depth": [2, 3], "min_samples_leaf": [1, 4]}, "smote", method="grid", folds=3)
+    assert len(scores) == 4 and best in [p for p, _ in scores]
+    assert len(calls) == 3 + 1  # the folds, and the fit on all rows
+
+
+def test_unknown_settings_are_refused(raw):
+    with pytest.raises(ValueError, match="unknown settings"):
+        models.train(raw, "decision_tree", COLUMNS, "Churn", {"min_samples_split": 2})

@@ -307,3 +307,25 @@ def test_histogram_top_edge_and_constant(spark):
     df = spark.createDataFrame([(0.0, 5), (5.0, 5), (10.0, 5)], "x double, same int")
     rows = {(r["feature"], r["bin"]): r["n"] for r in explore.histogram(df, bins=2).collect()}
     assert rows == {("x", 0): 1, ("x", 1): 2, ("same", 0): 3, ("same", 1): 0}
+
+
+def test_fitters_take_nan_and_infinity(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
+    assert t.MissingFiller().fit(df).learned["x"] == 2.0
+    assert sorted(r["x"] for r in t.MissingFiller().fit(df).transform(df).collect()) == [1.0, 2.0, 3.0]
+    wild = spark.createDataFrame([(float("inf"),), (1.0,), (2.0,), (float("inf"),)], "x double")
+    assert sorted(r["x"] for r in t.OutlierLimiter().fit(wild).transform(wild).collect()) == [1.0, 2.0, math.inf, math.inf]
+
+
+def test_correlations_take_gaps_and_constants(spark):
+    r = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": r.normal(1e6, 1, 300), "b": r.random(300), "same": 0.1})
+    pdf["c"] = pdf["a"] * 3 + r.random(300)
+    df = spark.createDataFrame(pdf).select(*[F.when(F.rand(i) > 0.2, F.col(n)).alias(n) for i, n in enumerate(pdf.columns)]).repartition(3)
+    got = {(x["column_a"], x["column_b"]): x["correlation"] for x in explore.correlations(df).collect()}
+    known = df.toPandas().corr()
+    for (a, b), value in got.items():
+        if "same" in (a, b):
+            assert value is None
+        else:
+            assert value == pytest.approx(known.loc[a, b], abs=1e-9)
