@@ -5,8 +5,8 @@ together as one packed string to the minimiser's bucket; every window of one con
 in ascending document order, and a window that an earlier document has started marks its words. Windows are
 compared as bytes, hashes only route.
 
-Most buckets belong to one document and hold nothing to remove. So positions travel first, without text; only the
-super-k-mers of buckets that two documents share are then cut out and sent.
+Most buckets belong to one document and hold nothing to remove. So (bucket, document) pairs travel first, without
+text; only the super-k-mers of buckets that two documents share are then cut out and sent.
 """
 from __future__ import annotations
 
@@ -47,31 +47,41 @@ def minimisers(sums, lengths, window=WINDOW, run=RUN):
     return least.astype(np.int64)
 
 
-def _runs(batches):
-    """Super-k-mers of documents by position. A bucket that two documents of this task share is known from then on."""
+def _cut(texts):
+    """Super-k-mers of some texts: (all words joined, byte position of each word, first word of each text, and per
+    super-k-mer its text, minimiser, first word and word after its last window's first word); None without a window."""
+    words, first = [], [0]
+    for t in texts:
+        words += (t or "").encode().split()
+        first.append(len(words))
+    if len(words) < WINDOW:
+        return None
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    key = minimisers(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), lengths)
+    first = np.asarray(first)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(key)]
+    valid = np.arange(len(key)) + WINDOW <= first[owner + 1]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]) | (valid[1:] != valid[:-1])
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(key))
+    begin, end = begin[valid[begin]], end[valid[begin]]
+    return b" ".join(words), np.concatenate(([0], np.cumsum(lengths + 1))), first, owner[begin], key[begin], begin, end
+
+
+def _owners(batches):
+    """(bucket, ord, known), once per bucket and document. A bucket that two documents of this task share is known from
+    then on: its pairs need no counting."""
     first_owner, shared = {}, object()
     for batch in batches:
-        ids, hashes, texts = (batch.column(i).to_pylist() for i in range(3))
-        for lo in range(0, len(ids), 256):
-            words, first = [], [0]
-            for t in texts[lo : lo + 256]:
-                words += (t or "").encode().split()
-                first.append(len(words))
-            if len(words) < WINDOW:
+        for lo in range(0, batch.num_rows, 256):
+            cut = _cut(batch.column(1).slice(lo, 256).to_pylist())
+            if cut is None:
                 continue
-            key = minimisers(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), np.fromiter(map(len, words), np.int64, len(words)))
-            first = np.asarray(first)
-            owner = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(key)]
-            valid = np.arange(len(key)) + WINDOW <= first[owner + 1]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]) | (valid[1:] != valid[:-1])
-            begin = np.flatnonzero(new)
-            end = np.append(begin[1:], len(key))
-            begin, end = begin[valid[begin]], end[valid[begin]]
-            who = owner[begin]
-            doc, text_hash, bucket = np.array(ids[lo : lo + 256])[who], np.array(hashes[lo : lo + 256])[who], key[begin]
-            known = np.zeros(len(begin), bool)
-            for i, (b, d) in enumerate(zip(bucket.tolist(), doc.tolist())):
+            doc = batch.column(0).slice(lo, 256).to_numpy()[cut[3]]
+            pairs = np.unique(np.stack((doc, cut[4])), axis=1)
+            known = np.zeros(pairs.shape[1], bool)
+            for i, (d, b) in enumerate(zip(*pairs.tolist())):
                 old = first_owner.get(b)
                 if old is None:
                     if len(first_owner) >= 2 * REMEMBERED:
@@ -80,16 +90,14 @@ def _runs(batches):
                 elif old is shared:
                     known[i] = True
                 elif old != d:
-                    first_owner[b] = shared  # this row still travels, so that the first owner's rows are met
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.where(known, text_hash, bucket)), pa.array(known), pa.array(bucket), pa.array(doc), pa.array(text_hash),
-                pa.array((begin - first[who]).astype(np.int32)), pa.array((end - first[who] + WINDOW - 1).astype(np.int32))], schema=_RUNS)
+                    first_owner[b] = shared  # this pair still travels, so that the first owner is met
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[1]), pa.array(pairs[0]), pa.array(known)], names=["bucket", "ord", "known"])
 
 
 def _shared(batches):
-    """The rows of buckets with two documents, and the known ones, from rows in the order of (known, bucket, ord).
+    """The pairs of buckets with two documents, and the known ones, from pairs in the order of (known, bucket, ord).
 
-    Holds rows of one document of one bucket between batches.
+    Holds pairs of one document and bucket between batches.
     """
     held, open_bucket = None, None
     for batch in batches:
@@ -110,21 +118,26 @@ def _shared(batches):
                 held = rows.take(own[start[-1] :])
         rows = rows.filter(pa.array(keep))
         if rows.num_rows:
-            yield from rows.select(["bucket", "ord", "text_hash", "start", "stop"]).combine_chunks().to_batches()
+            yield from rows.select(["ord", "bucket"]).combine_chunks().to_batches()
 
 
 def _packed(batches):
     """Packed strings of shared super-k-mers. A copy of one that a smaller document of this task has is settled at once."""
     seen = {}
     for batch in batches:
-        out = {k: [] for k in ("bucket", "packed", "ord", "text_hash", "start", "stop")}
-        for d, text_hash, text, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            words = text.encode().split()
-            joined = b" ".join(words)
-            at = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words]))).tolist()
-            for run in sorted(runs, key=lambda r: r["start"]):
-                b, s, e = run["bucket"], run["start"], run["stop"]
-                p = joined[at[s] : at[e] - 1]
+        for lo in range(0, batch.num_rows, 64):
+            ids, hashes, texts, wanted = (batch.column(c).slice(lo, 64).to_pylist() for c in ("ord", "text_hash", "text", "buckets"))
+            cut = _cut(texts)
+            if cut is None:
+                continue
+            joined, at, first, who, key, begin, end = cut
+            wanted = [set(w) for w in wanted]
+            out = {k: [] for k in ("bucket", "packed", "ord", "text_hash", "start", "stop")}
+            for i, b, s, e in zip(who.tolist(), key.tolist(), begin.tolist(), (end + WINDOW - 1).tolist()):
+                if b not in wanted[i]:
+                    continue
+                p, d, text_hash, offset = joined[at[s] : at[e] - 1], ids[i], hashes[i], int(first[i])
+                s, e = s - offset, e - offset
                 old = seen.get(p)
                 if old is not None and old < d:
                     if out["packed"] and out["packed"][-1] is None and out["ord"][-1] == d and out["text_hash"][-1] == text_hash and out["start"][-1] <= s <= out["stop"][-1]:
@@ -137,13 +150,9 @@ def _packed(batches):
                     seen[p] = d
                 for k, v in zip(out, (b, p, d, text_hash, s, e)):
                     out[k].append(v)
-            if len(out["ord"]) > 20_000:
-                yield pa.RecordBatch.from_pydict(out, schema=_PACKED)
-                out = {k: [] for k in out}
-        yield pa.RecordBatch.from_pydict(out, schema=_PACKED)
+            yield pa.RecordBatch.from_pydict(out, schema=_PACKED)
 
 
-_RUNS = pa.schema([("key", pa.int64()), ("known", pa.bool_()), ("bucket", pa.int64()), ("ord", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 _PACKED = pa.schema([("bucket", pa.int64()), ("packed", pa.binary()), ("ord", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 _MARKS = pa.schema([("ord", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 
@@ -193,7 +202,7 @@ def _marked(batches):
 
 
 def _kept(text, marks):
-    """(words, removed words, text that stays) of one whole text."""
+    """(words, removed words, text that stays) of one whole text; ``marks`` are its intervals."""
     words = (text or "").encode().split()
     if marks is None or not len(marks):
         return len(words), 0, b" ".join(words)
@@ -212,11 +221,12 @@ def _rows(docs, key, text):
 
 
 def marks(rows):
-    """Intervals of words (start, stop) to remove of each (ord, text_hash) of ``rows`` (:func:`_rows`)."""
-    runs = rows.select("ord", "text_hash", "text").mapInArrow(_runs, "key long, known boolean, bucket long, ord long, text_hash long, start int, stop int")
-    placed = runs.repartition("key").sortWithinPartitions("known", "bucket", "ord").mapInArrow(_shared, "bucket long, ord long, text_hash long, start int, stop int")
-    wanted = placed.groupBy("ord", "text_hash").agg(F.collect_list(F.struct("bucket", "start", "stop")).alias("runs"))
-    packed = rows.join(wanted, ["ord", "text_hash"]).select("ord", "text_hash", "text", "runs").mapInArrow(_packed, "bucket long, packed binary, ord long, text_hash long, start int, stop int")
+    """Intervals of words to remove from ``rows`` (:func:`_rows`): ord, text_hash, start, stop."""
+    pairs = rows.select("ord", "text").mapInArrow(_owners, "bucket long, ord long, known boolean")
+    dealt = pairs.repartition(F.when(F.col("known"), F.xxhash64("ord")).otherwise(F.col("bucket")))
+    wanted = dealt.sortWithinPartitions("known", "bucket", "ord").mapInArrow(_shared, "ord long, bucket long").groupBy("ord").agg(F.collect_set("bucket").alias("buckets"))
+    # All columns of ``rows`` on purpose: the shuffle of texts by ord then serves the join at the end, too.
+    packed = rows.join(wanted, "ord").mapInArrow(_packed, "bucket long, packed binary, ord long, text_hash long, start int, stop int")
     return packed.repartition("bucket").sortWithinPartitions("bucket", "ord").mapInArrow(_marked, "ord long, text_hash long, start int, stop int")
 
 
@@ -228,12 +238,12 @@ def dedup(docs, key="doc_id", text="text"):
     texts and never remove each other. Other columns are ignored.
     """
     rows = _rows(docs, key, text)
-    found = marks(rows).groupBy("ord", "text_hash").agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
+    found = marks(rows).groupBy("ord").agg(F.collect_list(F.struct("text_hash", "start", "stop")).alias("marks"))
 
     @F.pandas_udf("struct<n_words long, n_removed long, kept string>")
-    def stay(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        got = [_kept(t, m) for t, m in zip(texts, spans)]
+    def stay(texts: pd.Series, hashes: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        got = [_kept(t, None if m is None else [x for x in m if x["text_hash"] == h]) for t, h, m in zip(texts, hashes, spans)]
         return pd.DataFrame({"n_words": [g[0] for g in got], "n_removed": [g[1] for g in got], "kept": [g[2].decode() for g in got]})
 
-    joined = rows.join(found, ["ord", "text_hash"], "left").select("id", stay("text", "marks").alias("s"))
+    joined = rows.join(found, "ord", "left").select("id", stay("text", "text_hash", "marks").alias("s"))
     return joined.select(F.col("id").alias(key), "s.n_words", "s.n_removed", "s.kept")
