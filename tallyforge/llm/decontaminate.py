@@ -1,9 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become canonical: numbers, names and units turn into typed placeholders, all else is lower-cased and loses
-its outer punctuation. Windows of canonical words are hashed and joined between corpus and benchmark. Hits on one
-diagonal (same shift between text and item) form a run, and its slots must be consistent: equal values in the item
-stand for equal values in the text. A question with other numbers or names is therefore still found.
+its outer punctuation. Windows of canonical words are hashed and joined between corpus and benchmark, and so are windows
+whose names stay words, so that a copy in other case is found. Hits on one diagonal (same shift between text and item)
+form a run, and its slots must be consistent: equal values in the item stand for equal values in the text. A question
+with other numbers or names is therefore still found.
 """
 from __future__ import annotations
 
@@ -55,71 +56,136 @@ def canonical(tokens):
     return F.transform(F.array(F.struct(tokens.alias("w"), F.transform(tokens, _bare).alias("b"))), one)[0]
 
 
-def _windows(frame, k):
-    """One line per window: its hash and place, with the words and canonical words of the window."""
+def _literal(c):
+    """Whether a canonical word is no placeholder."""
+    return ~c.isin(NUMBER, NAME, UNIT)
+
+
+def _named(c, w):
+    """Canonical words whose names stay words: the same for a text in other case."""
+    return F.zip_with(c, w, lambda a, x: F.when(a == NAME, _bare(x)).otherwise(a))
+
+
+def _starts(k):
     n = F.size("c")
-    at = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
-    hashed = frame.withColumn("h", F.transform(at, lambda i: F.xxhash64(F.slice("c", i + 1, k))))
-    return hashed.select("*", F.posexplode_outer("h").alias("at", "hash")).drop("h").where(F.col("hash").isNotNull())
+    return F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
+
+
+def _windows(frame, k):
+    """One line per window and hash: of its canonical words, of those with names as words where it has names, and of
+    its plain words where it has but numbers and units."""
+    def hashes(box):
+        c, d, w = box["c"], box["d"], box["w"]
+        cut = lambda x, i: F.slice(x, i + 1, k)
+        line = lambda i, x: F.struct(i.alias("at"), F.xxhash64(x).alias("hash"))
+        has = lambda i, name: F.exists(cut(c, i), lambda x: x == name)
+        none = F.array().cast("array<struct<at:int,hash:bigint>>")
+        named = F.transform(F.filter(_starts(k), lambda i: has(i, NAME)), lambda i: line(i, cut(d, i)))
+        plain = F.transform(F.filter(_starts(k), lambda i: F.forall(cut(d, i), lambda x: ~_literal(x))), lambda i: line(i, F.transform(cut(w, i), _bare)))
+        return F.concat(
+            F.transform(_starts(k), lambda i: line(i, cut(c, i))),
+            F.when(F.array_contains(c, NAME), named).otherwise(none), F.when(F.array_contains(c, NUMBER), plain).otherwise(none))
+
+    box = F.array(F.struct("c", "w", _named(F.col("c"), F.col("w")).alias("d")))
+    return frame.withColumn("h", F.transform(box, hashes)[0]).select("*", F.explode("h").alias("_h")).select(*frame.columns, "_h.at", "_h.hash")
+
+
+def _lines(items, k):
+    """One line per window and hash of the items. A window without literal words is known by its plain words alone."""
+    placed = items.withColumn("usable", F.size(F.filter(_starts(k), lambda i: F.exists(F.slice("c", i + 1, k), _literal))))
+    placed = placed.withColumn("literals", F.size(F.filter("c", _literal))).select("item", "size", "usable", "literals", "c", "w", F.explode(_starts(k)).alias("item_at"))
+    cut = placed.select("item", "size", "usable", "literals", "item_at", F.slice("c", F.col("item_at") + 1, k).alias("item_c"), F.slice("w", F.col("item_at") + 1, k).alias("item_w"))
+    d = _named(F.col("item_c"), F.col("item_w"))
+    hashes = F.array_compact(F.array(
+        F.when(F.exists("item_c", _literal), F.xxhash64("item_c")),
+        F.when(F.exists(d, _literal), F.xxhash64(d)).otherwise(F.xxhash64(F.transform("item_w", _bare)))))
+    return cut.select("*", F.explode(F.array_distinct(hashes)).alias("hash")).dropDuplicates(["item", "size", "item_at", "item_c", "item_w", "hash"])
 
 
 def _slots(c, w):
     """(place in the window, value) of each placeholder."""
-    marked = F.transform(c, lambda x, i: F.when(x.isin(NUMBER, NAME, UNIT), F.struct(i.alias("o"), _bare(F.get(w, i)).alias("v"))))
+    marked = F.transform(c, lambda x, i: F.when(~_literal(x), F.struct(i.alias("o"), _bare(F.get(w, i)).alias("v"))))
     return F.filter(marked, lambda x: x.isNotNull())
 
 
-def find(docs, benchmark, key="doc_id", text="text", item="item_id", item_text="text", window=WINDOW, least_run=13, least_literal=5, most_broadcast=2_000_000):
-    """Pairs of document and benchmark item: key, item, n_windows, first_word, slots_changed.
-
-    A pair is reported when one shift has matching windows for a stretch of ``least_run`` words, or for the whole item
-    if that is shorter, and its slots are consistent. n_windows counts distinct places of the item that matched,
-    first_word is the first matching word of the text (from 0), slots_changed tells that some value differs.
-
-    Items shorter than ``window`` are searched as one window of their own length. Windows need ``least_literal``
-    words that are not placeholders (a shorter item: all but its placeholders, and one at least). Null or empty texts
-    and items match nothing; a null item id is an id like any other. Repeated documents are reported once per pair.
-    The table of benchmark windows is broadcast up to ``most_broadcast`` lines, else joined by shuffle.
-    """
-    spark = docs.sparkSession
+def _found(docs, benchmark, key, text, item, item_text, window=WINDOW, least_run=13, least_literal=5, most_broadcast=2_000_000, by_stretch=False):
+    """Runs that count: doc, text_hash, item, n_windows, first_word, changed; None without items. See ``find``."""
     items = benchmark.select(F.col(item).alias("item"), words(F.col(item_text)).alias("w")).dropDuplicates()
     # A text may lead up to the item in mid-sentence, where a capital makes a name: the first word counts both ways.
     inside = F.slice(canonical(F.concat(F.array(F.lit("x")), F.col("w"))), 2, F.size("w"))
     items = items.where(F.size("w") > 0).withColumn("size", F.size("w")).withColumn("c", F.explode(F.array_distinct(F.array(canonical(F.col("w")), inside))))
     sizes = sorted(r[0] for r in items.select(F.least("size", F.lit(window))).distinct().collect())  # at most ``window`` lines
     if not sizes:
-        return spark.createDataFrame([], f"{key} {docs.schema[key].dataType.simpleString()}, item_id {benchmark.schema[item].dataType.simpleString()}, n_windows long, first_word long, slots_changed boolean")
-    text_rows = docs.select(F.col(key).alias("doc"), words(F.col(text)).alias("w")).withColumn("c", canonical(F.col("w")))
+        return None
+    text_rows = docs.select(F.col(key).alias("doc"), F.xxhash64(whole(F.col(text))).alias("text_hash"), words(F.col(text)).alias("w")).withColumn("c", canonical(F.col("w")))
     found = None
     for k in sizes:
-        lines = _windows(items.where(F.least("size", F.lit(window)) == k), k).select(
-            "item", "size", "hash", F.col("at").alias("item_at"), F.slice("c", F.col("at") + 1, k).alias("item_c"), F.slice("w", F.col("at") + 1, k).alias("item_w"))
-        literal = F.size(F.filter("item_c", lambda x: ~x.isin(NUMBER, NAME, UNIT)))
-        # The bound on a short item follows its own placeholders; a window without any literal word proves nothing.
-        lines = lines.where(literal >= (least_literal if k == window else 1)).dropDuplicates(["item", "size", "item_at", "hash"])
+        lines = _lines(items.where(F.least("size", F.lit(window)) == k), k)
         if lines.count() <= most_broadcast:
             lines = F.broadcast(lines)
         hits = _windows(text_rows, k).join(lines, "hash").select(
-            "doc", "item", "size", "item_at", "at", "item_c", "item_w", F.slice("c", F.col("at") + 1, k).alias("c"), F.slice("w", F.col("at") + 1, k).alias("w"))
+            "doc", "text_hash", "item", "size", "usable", "literals", "item_at", "at", "item_c", "item_w", F.slice("c", F.col("at") + 1, k).alias("c"), F.slice("w", F.col("at") + 1, k).alias("w"))
         # The comparison is a column that the aggregate below reads: a filter here would move into the join, which then
         # would copy the words of a text for each of its windows.
-        same = F.forall(F.zip_with("c", "item_c", lambda a, b: a == b), lambda x: x)
-        hits = hits.select("doc", "item", "size", "item_at", "at", same.alias("same"), F.arrays_zip(_slots(F.col("c"), F.col("item_w")).alias("a"), _slots(F.col("c"), F.col("w")).alias("b")).alias("slots"))
+        c, w, item_c, item_w = (F.col(x) for x in ("c", "w", "item_c", "item_w"))
+        equal = lambda x, y: F.forall(F.zip_with(x, y, lambda a, b: a == b), lambda e: e)
+        same = equal(c, item_c) | equal(_named(c, w), _named(item_c, item_w)) | equal(F.transform(w, _bare), F.transform(item_w, _bare))
+        slots = F.zip_with(_slots(item_c, item_w), _slots(item_c, w), lambda a, b: F.struct(a["v"].alias("a"), b["v"].alias("b")))
+        kept = F.filter(F.transform(item_w, lambda x, i: F.when(_bare(x) == _bare(F.get(w, i)), F.col("item_at") + i)), lambda x: x.isNotNull())
+        hits = hits.select("doc", "text_hash", "item", "size", "usable", "literals", "item_at", "at", same.alias("same"), slots.alias("pairs"), kept.alias("kept"))
         hits = hits.withColumn("k", F.lit(k))
         found = hits if found is None else found.unionByName(hits)
     shift = F.col("at") - F.col("item_at")
-    by = ["doc", "item", "size", "shift", "k"]
-    # One text may stand in a row many times: places are counted once, and the slots of a window are a short list.
+    by = ["doc", "text_hash", "item", "size", "shift", "k"]
+    # One text may stand in a row many times: places are counted once. A run has no more windows than its item.
     runs = found.withColumn("shift", shift).groupBy(*by).agg(
         F.count_distinct(F.when(F.col("same"), F.col("item_at"))).alias("n_windows"), F.min(F.when(F.col("same"), F.col("at"))).alias("first_word"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("same"), F.col("slots"))))).alias("slots"))
-    pairs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["a"]["v"].alias("a"), s["b"]["v"].alias("b"))))
-    runs = runs.withColumn("pairs", pairs)
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")
-    enough = F.col("n_windows") >= F.least(F.col("size"), F.lit(max(least_run, window))) - F.col("k") + 1
-    return runs.where(consistent & enough).groupBy("doc", "item").agg(
-        F.max("n_windows").cast("long").alias("n_windows"), F.min("first_word").cast("long").alias("first_word"),
-        F.max(F.exists("pairs", lambda p: p["a"] != p["b"])).alias("slots_changed"),
+        F.max("usable").alias("usable"), F.min("literals").alias("literals"),
+        F.collect_set(F.when(F.col("same"), F.struct("item_at", "pairs", "kept"))).alias("hits"))
+    full = F.least(F.col("size"), F.lit(max(least_run, window))) - F.col("k") + 1
+    # Windows of placeholders alone match by their plain words only; a copy with other values can't have them.
+    need = F.when(F.col("usable") > 0, F.least(full, "usable")).otherwise(full)
+    runs = runs.withColumns({"full": full, "need": need})
+
+    def all_of(hits, name):
+        return F.array_distinct(F.flatten(F.transform(hits, lambda h: h[name])))
+
+    def counts(box):
+        """Enough places, enough equal words, and one value in the text for each value of the item."""
+        hits, pairs = box["hits"], all_of(box["hits"], "pairs")
+        consistent = F.size(F.array_distinct(F.transform(pairs, lambda p: p["a"]))) == F.size(pairs)
+        places = F.size(F.array_distinct(F.transform(hits, lambda h: h["item_at"])))
+        return (places >= F.col("need")) & (F.size(all_of(hits, "kept")) >= F.least(F.lit(least_literal), F.col("literals"))) & consistent
+
+    good = counts({"hits": F.col("hits")})
+    if by_stretch:
+        starts = F.array_distinct(F.transform("hits", lambda h: h["item_at"]))
+        part = F.transform(starts, lambda s: F.struct(F.filter("hits", lambda h: (h["item_at"] >= s) & (h["item_at"] < s + F.col("full"))).alias("hits")))
+        good = good | F.exists(part, counts)
+    changed = F.exists(all_of(F.col("hits"), "pairs"), lambda p: p["a"] != p["b"])
+    return runs.where((F.col("n_windows") >= F.col("need")) & good).select("doc", "text_hash", "item", "n_windows", "first_word", changed.alias("changed"))
+
+
+def find(docs, benchmark, key="doc_id", text="text", item="item_id", item_text="text", **options):
+    """Pairs of document and benchmark item: key, item, n_windows, first_word, slots_changed.
+
+    A pair is reported when one shift has matching windows for a stretch of ``least_run`` words (13), or for the whole
+    item if that is shorter, at least ``least_literal`` of their words (5; all literal words of an item with fewer) are
+    equal, and the slots are consistent: over all hits of the shift, or with ``by_stretch`` over one stretch of
+    ``least_run`` words. n_windows counts distinct places of the item that matched, first_word is the first matching
+    word of the text (from 0), slots_changed tells that some value differs.
+
+    Windows have ``window`` words (8); shorter items are searched as one window of their own length. Case never counts,
+    but a name is known as one only where it is capitalised. A window of placeholders alone matches by its plain words,
+    and copies with other values need not have it. Null or empty texts and items match nothing; a null item id is an id
+    like any other. Repeated documents are reported once per pair. The table of benchmark windows is broadcast up to
+    ``most_broadcast`` lines (2,000,000), else joined by shuffle.
+    """
+    runs = _found(docs, benchmark, key, text, item, item_text, **options)
+    if runs is None:
+        return docs.sparkSession.createDataFrame([], f"{key} {docs.schema[key].dataType.simpleString()}, item_id {benchmark.schema[item].dataType.simpleString()}, n_windows long, first_word long, slots_changed boolean")
+    return runs.groupBy("doc", "item").agg(
+        F.max("n_windows").cast("long").alias("n_windows"), F.min("first_word").cast("long").alias("first_word"), F.max("changed").alias("slots_changed"),
     ).select(F.col("doc").alias(key), F.col("item").alias("item_id"), "n_windows", "first_word", "slots_changed")
 
 

@@ -103,6 +103,22 @@ def test_without_items_or_documents(frame, bench, empty, hard):
     assert decontaminate.clean(frame(hard), bench.limit(0)).count() == len(hard)
 
 
+DENSE = [
+    (20, "A shop sells 3 pens for 12 dollars and 5 books for 40 dollars each"), (21, "What is 12 + 45 - 7 * 3 equal to in total?"),
+    (22, "Then Anna gave Ben 3 apples and Carla gave David 5 pears"), (23, "3 1 4 1 5 9 2 6 5 3 5 8 9 7"),
+]
+
+
+def test_items_dense_in_values_are_found(spark, frame):
+    bench = spark.createDataFrame(DENSE, "item_id long, text string")
+    rows = [(i, "so: " + t + " and on") for i, t in DENSE] + [
+        (30, "A shop sells 7 pens for 19 dollars and 6 books for 80 dollars each"), (32, "Then Ida gave Tom 8 apples and Rosa gave Karl 9 pears"),
+        (33, "2 7 1 8 2 8 1 8 2 8 4 5 9 0"), (34, "A shop sells 7 pens for 19 dollars"),
+    ]
+    got = pairs(decontaminate.find(frame(rows), bench))
+    assert set(got) == {(20, 20), (21, 21), (22, 22), (23, 23), (30, 20), (32, 22)}
+
+
 def brute_statistics(t):
     t = t or ""
     w = [x for x in SPACE.split(t) if x]
