@@ -20,7 +20,7 @@ def without_copies(spark, docs, sf_dir):
 
 def without_benchmark(spark, docs, sf_dir):
     """Documents without benchmark items."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), by_stretch=True)
 
 
 def mixed(spark, docs, sf_dir):

@@ -24,7 +24,12 @@ UNITS = (
 ).split()
 SENTENCE_END = ".!?:"
 WINDOW = 8
-SPELLED = "zero one two three four five six seven eight nine ten eleven twelve hundred thousand million".split()
+DIGITS = "one two three four five six seven eight nine".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+SPELLED = [
+    "zero", *DIGITS, *"ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(), *TENS,
+    *[f"{t}-{d}" for t in TENS for d in DIGITS], "hundred", "thousand", "million", "billion",
+]
 
 
 def _bare(word):
@@ -189,7 +194,14 @@ def find(docs, benchmark, key="doc_id", text="text", item="item_id", item_text="
     ).select(F.col("doc").alias(key), F.col("item").alias("item_id"), "n_windows", "first_word", "slots_changed")
 
 
-def clean(docs, benchmark, key="doc_id", **options):
-    """The documents without those that contain a benchmark item; all columns and repeated rows stay."""
-    bad = find(docs, benchmark, key, **options).select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("_bad")), "left_anti")
+def clean(docs, benchmark, key="doc_id", text="text", item="item_id", item_text="text", **options):
+    """The documents without those that contain a benchmark item; all columns and repeated rows stay.
+
+    Of rows with one key only the texts with an item go; rows without a key can't be told apart and go together.
+    """
+    runs = _found(docs, benchmark, key, text, item, item_text, **options)
+    if runs is None:
+        return docs
+    bad = runs.select(F.col("doc").alias("_bad"), F.col("text_hash").alias("_hash")).distinct()
+    held = F.col(key).eqNullSafe(F.col("_bad")) & (F.col(key).isNull() | (F.xxhash64(whole(F.col(text))) == F.col("_hash")))
+    return docs.join(bad, held, "left_anti")

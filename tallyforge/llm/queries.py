@@ -60,7 +60,7 @@ def op8_toxicity(spark, sf):
 
 
 def op9_decontaminate(spark, sf):
-    return decontaminate.find(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return decontaminate.find(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), by_stretch=True)
 
 
 def op10_quality_rules(spark, sf):

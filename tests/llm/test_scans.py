@@ -107,6 +107,7 @@ DENSE = [
     (20, "A shop sells 3 pens for 12 dollars and 5 books for 40 dollars each"), (21, "What is 12 + 45 - 7 * 3 equal to in total?"),
     (22, "Then Anna gave Ben 3 apples and Carla gave David 5 pears"), (23, "3 1 4 1 5 9 2 6 5 3 5 8 9 7"),
 ]
+NAMED = "Yesterday in town Anna met Ben and Carla while David told Erik about Frida who saw Gustav near the old stone bridge"
 
 
 def test_items_dense_in_values_are_found(spark, frame):
@@ -119,6 +120,25 @@ def test_items_dense_in_values_are_found(spark, frame):
     assert set(got) == {(20, 20), (21, 21), (22, 22), (23, 23), (30, 20), (32, 22)}
 
 
+def test_copies_in_other_case_and_with_spelled_numbers_are_found(spark, frame):
+    spelled = "The farmer sold twelve brown cows and bought eight young goats at the autumn market"
+    bench = spark.createDataFrame([(1, NAMED), (2, spelled)], "item_id long, text string")
+    rows = [(1, NAMED.lower()), (2, NAMED.upper()), (3, NAMED.title()), (4, spelled.replace("twelve", "twenty").replace("eight", "fifteen")), (5, spelled.replace("twelve", "twenty-one"))]
+    assert set(pairs(decontaminate.find(frame(rows), bench))) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2)}
+
+
+def test_one_altered_value_does_not_clear_a_long_item(frame, bench):
+    rows = [(1, ITEM.replace("travels 120", "travels 350")), (2, ITEM[: ITEM.index(" before")].replace("120", "350"))]
+    assert set(pairs(decontaminate.find(frame(rows), bench, by_stretch=True))) == {(1, 1)}
+
+
+def test_texts_of_one_key_are_judged_apart(frame, bench):
+    half = ITEM.split()
+    rows = [(1, ITEM), (1, "a clean text"), (2, " ".join(half[:10])), (2, "x " * 7 + " ".join(half[7:17])), (3, ITEM), (3, ITEM.replace("120", "350"))]
+    assert set(pairs(decontaminate.find(frame(rows), bench))) == {(1, 1), (3, 1)}
+    assert sorted((r.doc_id, r.text) for r in decontaminate.clean(frame(rows), bench).collect()) == sorted([rows[1], rows[2], rows[3]])
+
+
 def brute_statistics(t):
     t = t or ""
     w = [x for x in SPACE.split(t) if x]
