@@ -1,11 +1,13 @@
 """License scan by diagonal voting.
 
-Every run of k words of every text is hashed and joined to the runs of the templates. A hit votes for its diagonal
-(position in the text minus position in the template); votes add up by diagonal, neighbouring diagonals merge, and
-each span is then compared word by word with its template.
+Runs of words of every text are hashed and joined to the runs of the templates. A hit votes for its diagonal (position
+in the text minus position in the template); one vote makes a candidate, each candidate is compared word by word with
+its template, and neighbouring diagonals merge.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -29,26 +31,53 @@ NOTICES = {
     "licensed under a creative commons attribution 4 0 international license": "cc-by",
     "subject to the terms of the mozilla public license v 2 0": "mpl",
 }
-SHORT, LONG = 2, 4  # words in a run: for base phrases, for notices
-SLACK = 3  # diagonals that merge, and words of margin kept around a hit
+SHORT, LONG = 2, 4  # words in a run: fewest (base phrases), most
+SLACK = 3  # diagonals that merge, and least words of margin kept around a hit
+
+
+def _edits(n, least):
+    """Words out of ``n`` that may differ."""
+    return int((1 - least) * n + 1e-9)
+
+
+def _run(n, least):
+    """Words in a run of a notice of ``n`` words: whichever words differ, one such run is left, unless SHORT is more."""
+    e = _edits(n, least)
+    return max(SHORT, min(LONG, -(-(n - e) // (e + 1))))
+
+
+def _changes(near, wanted):
+    """Fewest words to change, put in or leave out to make ``wanted`` from some stretch of ``near``."""
+    def step(state, x):
+        old = state["row"]
+
+        def cell(row, j):
+            swap = F.get(old, j) + F.when(F.get(wanted, j) == x, 0).otherwise(1)
+            return F.concat(row, F.array(F.least(swap, F.get(old, j + 1) + 1, F.element_at(row, -1) + 1)))
+
+        row = F.aggregate(F.sequence(F.lit(0), F.size(wanted) - 1), F.array(F.lit(0)), cell)
+        return F.struct(row.alias("row"), F.least(state["best"], F.element_at(row, -1)).alias("best"))
+
+    start = F.struct(F.sequence(F.lit(0), F.size(wanted)).alias("row"), F.size(wanted).alias("best"))
+    return F.aggregate(near, start, step, lambda state: state["best"])
 
 
-def _templates(spark, phrases, notices):
+def _templates(spark, phrases, notices, least):
     """One line per run of each template; as many as the templates have words, so it is always small."""
     texts = [(t, label, True) for t, label in phrases.items()] + [(t, label, False) for t, label in notices.items()]
-    frame = spark.createDataFrame([(i, t, label, base) for i, (t, label, base) in enumerate(texts)], "template int, phrase string, label string, base boolean")
-    w = F.split("phrase", " ")
-    lines = frame.select("template", "label", "base", w.alias("wanted"), F.when(F.col("base"), SHORT).otherwise(LONG).alias("k"))
-    both = [lines.where(F.col("k") == k).select("*", F.posexplode(grams(F.col("wanted"), k)).alias("at", "gram")) for k in (SHORT, LONG)]
-    return both[0].unionByName(both[1])
+    rows = [(i, t.split(), label, base, SHORT if base else _run(len(t.split()), least), 0 if base else max(SLACK, _edits(len(t.split()), least))) for i, (t, label, base) in enumerate(texts)]
+    lines = spark.createDataFrame(rows, "template int, wanted array<string>, label string, base boolean, k int, margin int")
+    parts = [lines.where(F.col("k") == k).select("*", F.posexplode(grams(F.col("wanted"), k)).alias("at", "gram")) for k in range(SHORT, LONG + 1)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def scan(docs, key="doc_id", text="text", phrases=None, notices=None, least=0.8):
     """Spans of license phrases and notices: key, text_hash, template, label, base, first, score.
 
     ``first`` is the word the span starts at, from 0. A base span holds the phrase word for word (score 1). A notice
-    span has at least the share ``least`` of the template's runs on merged diagonals, and at least that share of its
-    words in the text beside it. Equal rows (same key and text) are reported once.
+    span differs from its template by words changed, put in or left out; they are at most 1 - ``least`` of the
+    template's words, and the score is one minus their share. Of notices that start at most SLACK words apart, those
+    with the fewest such words are kept. Equal rows (same key and text) are reported once.
 
     Phrases need two words or more, notices four or more. Null and empty texts have no spans.
     """
@@ -58,32 +87,28 @@ def scan(docs, key="doc_id", text="text", phrases=None, notices=None, least=0.8)
     tokens = docs.select(F.col(key).alias("doc_id"), F.xxhash64(whole(F.col(text))).alias("text_hash"), words(F.col(text), SEPARATOR).alias("w"))
     # lower() also changes other letters; that can only add hits, and the comparison below uses A-Z alone.
     lowered = tokens.withColumn("v", F.transform("w", lambda x: F.lower(x)))
-    runs = lowered.select("doc_id", "text_hash", "w", F.array(grams(F.col("v"), SHORT), grams(F.col("v"), LONG)).alias("g"))
-    pieces = runs.select("doc_id", "text_hash", "w", F.posexplode_outer(F.concat(F.col("g")[0], F.col("g")[1])).alias("i", "gram"), F.size(F.col("g")[0]).alias("_n"))
-    placed = pieces.withColumn("pos", F.when(F.col("i") < F.col("_n"), F.col("i")).otherwise(F.col("i") - F.col("_n")))
-    hits = placed.join(F.broadcast(_templates(docs.sparkSession, phrases, notices)), "gram")
+    sizes = sorted({SHORT, *[_run(len(n.split()), least) for n in notices]})
+    runs = lowered.select("doc_id", "text_hash", "w", F.concat(*[F.transform(grams(F.col("v"), k), lambda g, i: F.struct(i.alias("pos"), g.alias("gram"))) for k in sizes]).alias("g"))
+    placed = runs.select("doc_id", "text_hash", "w", F.explode("g").alias("g")).select("doc_id", "text_hash", "w", "g.pos", "g.gram")
+    hits = placed.join(F.broadcast(_templates(docs.sparkSession, phrases, notices, least)), "gram")
     start = F.col("pos") - F.col("at")
-    margin = F.when(F.col("base"), 0).otherwise(SLACK)
-    begin = F.greatest(start - margin, F.lit(0))
+    begin = F.greatest(start - F.col("margin"), F.lit(0))
     votes = hits.select(
-        "doc_id", "text_hash", "template", "label", "base", "wanted", "k", "at", start.alias("diagonal"),
-        F.transform(F.slice("w", begin + 1, F.size("wanted") + 2 * margin), lambda x: F.translate(x, UPPER, LOWER)).alias("near"),
+        "doc_id", "text_hash", "template", "label", "base", "wanted", start.alias("diagonal"),
+        F.transform(F.slice("w", begin + 1, F.size("wanted") + 2 * F.col("margin")), lambda x: F.translate(x, UPPER, LOWER)).alias("near"),
     )
     by = ["doc_id", "text_hash", "template"]
-    diagonals = votes.groupBy(*by, "diagonal").agg(
-        F.count_distinct("at").alias("n"), *[F.first(c).alias(c) for c in ("label", "base", "wanted", "k", "near")])
+    diagonals = votes.groupBy(*by, "diagonal").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("label", "base", "wanted", "near")])
+    changes = F.when(F.col("base"), (F.col("near") != F.col("wanted")).cast("int")).otherwise(_changes(F.col("near"), F.col("wanted")))
+    good = diagonals.withColumn("changes", changes).withColumn("score", 1 - F.col("changes") / F.size("wanted")).where(F.when(F.col("base"), F.col("score") == 1).otherwise(F.col("score") >= least - 1e-9))
     order = Window.partitionBy(*by).orderBy("diagonal")
     jump = F.when((F.col("diagonal") - F.lag("diagonal").over(order) <= SLACK) & ~F.col("base"), 0).otherwise(1)
-    grouped = diagonals.withColumn("jump", jump).withColumn("island", F.sum("jump").over(order))
-    best = F.max_by(F.struct("diagonal", "near"), F.struct("n", -F.col("diagonal")))
+    grouped = good.withColumn("jump", jump).withColumn("island", F.sum("jump").over(order))
     spans = grouped.groupBy(*by, "island").agg(
-        F.sum("n").alias("n"), best.alias("best"), *[F.first(c).alias(c) for c in ("label", "base", "wanted", "k")])
-    score = F.least(F.lit(1.0), F.col("n") / (F.size("wanted") - F.col("k") + 1))
-    wanted = F.array_distinct("wanted")
-    found = F.size(F.array_intersect(wanted, F.col("best.near"))) / F.size(wanted)
-    return spans.withColumns({"score": score, "found": found}).where(
-        F.when(F.col("base"), F.col("best.near") == F.col("wanted")).otherwise((F.col("score") >= least) & (F.col("found") >= least))
-    ).select(*by, "label", "base", F.greatest(F.col("best.diagonal"), F.lit(0)).cast("long").alias("first"), "score")
+        F.max_by("diagonal", F.struct("score", "n", -F.col("diagonal"))).alias("diagonal"), F.max("score").alias("score"), F.min("changes").alias("changes"), *[F.first(c).alias(c) for c in ("label", "base")])
+    spans = spans.withColumn("first", F.greatest("diagonal", F.lit(0)).cast("long"))
+    beside = Window.partitionBy("doc_id", "text_hash", "base").orderBy("first").rangeBetween(-SLACK, SLACK)
+    return spans.withColumn("fewest", F.min("changes").over(beside)).where(F.col("changes") == F.col("fewest")).select(*by, "label", "base", "first", "score")
 
 
 def label_documents(docs, key="doc_id", text="text", **options):

@@ -52,6 +52,19 @@ def test_notices_with_changes_are_found(frame):
     assert got[None] == got[209] == ("mit", 1.0)
 
 
+def test_one_changed_or_added_word_never_hides_a_notice(frame):
+    """At every place of every notice."""
+    rows, want = [], {}
+    for phrase, label in license_scan.NOTICES.items():
+        w = phrase.split()
+        for i in range(len(w)):
+            for text in ([*w[:i], "zzz", *w[i + 1 :]], [*w[:i], "zzz", *w[i:]]):
+                want[len(rows)] = label
+                rows.append((len(rows), "so it is " + " ".join(text) + " then"))
+    got = {r.doc_id: r.labels.split(",") for r in license_scan.label_documents(frame(rows)).collect()}
+    assert [rows[k] for k, label in want.items() if label not in got[k]] == []
+
+
 def test_scan_limits(empty, docs):
     assert license_scan.label_documents(empty).count() == 0
     with pytest.raises(ValueError):
