@@ -40,7 +40,7 @@ def op5_token_files(spark, sf):
     import public_tokenizers
 
     path = token_files.new_folder(spark)
-    token_files.write(_table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), vocabulary=50257)
+    token_files.write(_table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), vocabulary=50257, added=True)
     return token_files.digest(spark, path, vocabulary=50257)
 
 

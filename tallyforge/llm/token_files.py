@@ -40,15 +40,18 @@ class _Pieces:
     The byte-level pattern never joins characters across a single space between two other characters: a token may
     begin with that space but not contain it. Texts are cut there, and the pieces (but the first) keep the space. New
     pieces are cut by the pattern, and the tokenizer's model merges what is new. A file with another pre-tokenizer
-    encodes whole texts.
+    encodes whole texts. With ``added`` a text that holds an added token's string is encoded by the library's own call,
+    which gives that token; else such strings are ordinary text.
     """
 
-    def __init__(self, path, end, width):
+    def __init__(self, path, end, width, added=False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        before = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        self.tokenizer.encode_special_tokens = not added
+        settings = json.loads(self.tokenizer.to_str())
+        before = settings["pre_tokenizer"] or {}
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in settings["added_tokens"])) if added and settings["added_tokens"] else None
         self.plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         self.merge, self.pattern, self.letters = self.tokenizer.model.tokenize, regex.compile(PATTERN), _byte_letters()
         self.space, self.code = chr(self.letters[32]), {"<u2": "H", "<u4": "I"}[width]
@@ -82,6 +85,9 @@ class _Pieces:
             return [np.array(e.ids, self.width).tobytes() + self.end for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         known, out = self.known, []
         for t in texts:
+            if self.added and self.added.search(t):
+                out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.width).tobytes() + self.end)
+                continue
             pieces = t.split(" ")
             if "" in pieces or " \n" in t or "\n " in t or ODD.search(t):
                 pieces = CUT.split(t)
@@ -105,15 +111,16 @@ def _byte_letters():
     return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
 
 
-def tokens(docs, tokenizer, end=0, key="doc_id", text="text", vocabulary=1 << 16):
+def tokens(docs, tokenizer, end=0, key="doc_id", text="text", vocabulary=1 << 16, added=False):
     """Per row: doc, n and ids (little-endian, 2 bytes each up to 65,536 ids, else 4), with the end id; null is empty.
 
-    ``tokenizer`` is the path of a byte-level tokenizer file that every executor has.
+    ``tokenizer`` is the path of a byte-level tokenizer file that every executor has. ``added``: the strings of its
+    added tokens stand for these tokens, as in the library's encode(text, add_special_tokens=False); else they are text.
     """
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def encode(batches):
-        pieces = _Pieces(tokenizer, end, width)
+        pieces = _Pieces(tokenizer, end, width, added)
         for batch in batches:
             keys = batch.column(0)
             for lo in range(0, batch.num_rows, 256):
@@ -146,14 +153,14 @@ def _counts(coded, width, vocabulary):
 _BLOCKS = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("ids", pa.int64()), ("docs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("checkpoints", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
-def write(docs, path, tokenizer, end=0, key="doc_id", text="text", vocabulary=1 << 16, limit=LIMIT, block=BLOCK):
+def write(docs, path, tokenizer, end=0, key="doc_id", text="text", vocabulary=1 << 16, limit=LIMIT, block=BLOCK, added=False):
     """Write the token files of ``docs`` to the folder ``path``, in ascending order of the key (nulls first).
 
     Rows with one key follow each other in a fixed order. A block holds whole documents, ``block`` ids at most unless one
     document has more. An empty table gives empty tables.
     """
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    coded = stored(tokens(docs, tokenizer, end, key, text, vocabulary), "tokens")
+    coded = stored(tokens(docs, tokenizer, end, key, text, vocabulary, added), "tokens")
     lengths = huffman.code_lengths(_counts(coded, width, vocabulary), limit)
     spark = docs.sparkSession
     spark.createDataFrame(pd.DataFrame({"id": np.flatnonzero(lengths), "length": lengths[lengths > 0]}), "id long, length long").coalesce(1).write.parquet(f"{path}/codes")

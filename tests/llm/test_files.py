@@ -87,6 +87,17 @@ def test_pieces_are_encoded_like_whole_texts(text):
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [i for _, i in expected([(0, text), (1, text + " " + text)])]
 
 
+def test_added_tokens_are_encoded_as_by_the_library(spark, frame):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(BPE)
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "x<|endoftext|><|endoftext|>  y <|endoftext"), (4, "no token here"), (5, None)]
+    want = {k: plain.encode(x or "", add_special_tokens=False).ids + [0] for k, x in rows}
+    assert 50256 in want[1]
+    got = token_files.tokens(frame(rows), BPE, vocabulary=50257, added=True).collect()
+    assert {r.doc: np.frombuffer(r.ids, "<u2").tolist() for r in got} == want
+
+
 def test_pieces_forget_and_still_encode(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 3)
     texts = ["a b c d e f", "b c d x y z", "a b c d e f"]
