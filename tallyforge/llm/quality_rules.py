@@ -122,29 +122,36 @@ def _gain(p, n, p0, n0):
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p and p0 else 0.0
 
 
-def learn(labelled, label="bad", features=FEATURES, cuts=24, max_rules=8, max_conditions=4, least_precision=0.9, least_cover=5):
+def _cuts(frame, features, cuts):
+    """Thresholds of each feature: quantiles of all rows and of each class, the ends of both, and the tails of the good rows."""
+    inner = [(i + 1) / (cuts + 1) for i in range(cuts)]
+    wanted = {"all": (F.lit(True), inner), "bad": (F.col("y") == 1, [0.0, *inner, 1.0]), "good": (F.col("y") == 0, [0.0, 0.001, 0.01, *inner, 0.99, 0.999, 1.0])}
+    got = frame.agg(*[F.percentile_approx(F.when(rows, F.col(f)), at, 10000).alias(f"{name} {f}") for f in features for name, (rows, at) in wanted.items()]).first()
+    # The first value below all good rows: "at most this" then means "less than the least good row".
+    below = {f: [math.nextafter(got[f"good {f}"][0], -math.inf)] if got[f"good {f}"] else [] for f in features}
+    return {f: sorted({*below[f], *[x for name in wanted for x in got[f"{name} {f}"] or []]}) for f in features}
+
+
+def learn(labelled, label="bad", features=FEATURES, cuts=24, max_rules=None, max_conditions=4, least_precision=0.9, least_cover=5):
     """Learn a DecisionList from rows with ``features`` and a 0/1 ``label`` (1: reject).
 
     Rows with a null label or feature are left out. One class only, or no rows, gives an empty list (keep all).
-    Thresholds are ``cuts`` quantiles of each feature, so a step collects at most features x (cuts + 1) counts,
-    whatever the number of rows. A rule needs ``least_precision`` and ``least_cover`` rows on the pruning part.
+    Thresholds are taken anew from the rows left in each round: ``cuts`` quantiles of all, bad and good rows, their ends
+    and tails. So a step collects at most features x (3 cuts + 10) counts, whatever the number of rows. A rule needs
+    ``least_precision`` and ``least_cover`` rows on the pruning part; if it fails, rules that start with another
+    feature or direction are tried. The list ends when none is left, or at ``max_rules``.
     """
     rows = labelled.dropna(subset=[label, *features]).select(F.col(label).cast("int").alias("y"), *[F.col(f).cast("double").alias(f) for f in features])
-    edges = rows.agg(*[F.percentile_approx(f, [(i + 1) / (cuts + 1) for i in range(cuts)], 10000).alias(f) for f in features]).first()
-    if edges is None or edges[0] is None:
-        return DecisionList([])
-    cut = {f: sorted(set(edges[f])) for f in features}
-
-    def bin_of(f):
-        """How many cuts lie below the value."""
-        return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cut[f]]), lambda c: F.col(f) > c))
-
     fold = F.pmod(F.xxhash64("y", *features), F.lit(3))
-    binned = stored(rows.select("y", *features, (fold == 0).alias("prune"), F.array(*[bin_of(f) for f in features]).alias("bins")), "rules")
+    left, rules = stored(rows.select("y", *features, (fold == 0).alias("prune")), "rules"), []
+
+    def tally(frame, cut):
+        """Counts by feature, bin (how many cuts lie below the value) and class; bounded by features x cuts."""
+        def bin_of(f):
+            return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cut[f]]), lambda c: F.col(f) > c))
 
-    def tally(frame):
-        """Counts by feature, bin and class; bounded by features x cuts."""
-        got = frame.select("y", F.posexplode("bins").alias("f", "b")).groupBy("f", "b").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
+        bins = F.array(*[bin_of(f) for f in features])
+        got = frame.select("y", F.posexplode(bins).alias("f", "b")).groupBy("f", "b").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
         return {(r["f"], r["b"]): (r["p"], r["n"] - r["p"]) for r in got.collect()}
 
     def holds(conditions):
@@ -153,38 +160,45 @@ def learn(labelled, label="bad", features=FEATURES, cuts=24, max_rules=8, max_co
             out = out & c.column()
         return out
 
-    left, rules = binned, []
-    while len(rules) < max_rules:
-        grown, frame = [], left.where(~F.col("prune"))
-        while len(grown) < max_conditions:
-            counts = tally(frame)
-            p0 = sum(v[0] for k, v in counts.items() if k[0] == 0)
-            n0 = sum(v[1] for k, v in counts.items() if k[0] == 0)
-            if not p0 or not n0:
-                break
-            best = (0.0, None)
+    def best_condition(counts, cut, tried=()):
+        p0 = sum(v[0] for k, v in counts.items() if k[0] == 0)
+        n0 = sum(v[1] for k, v in counts.items() if k[0] == 0)
+        best = (0.0, None)
+        if p0 and n0:
             for i, f in enumerate(features):
                 p = n = 0
                 for b in range(len(cut[f])):
                     p, n = p + counts.get((i, b), (0, 0))[0], n + counts.get((i, b), (0, 0))[1]
                     for above, pp, nn in ((False, p, n), (True, p0 - p, n0 - n)):
-                        if (g := _gain(pp, nn, p0, n0)) > best[0]:
+                        if (f, above) not in tried and (g := _gain(pp, nn, p0, n0)) > best[0]:
                             best = (g, Condition(f, above, cut[f][b]))
-            if best[1] is None:
-                break
-            grown.append(best[1])
-            frame = frame.where(best[1].column())
-        if not grown:
-            break
-        # Prune: the shortest head of the rule with the best (p - n) / (p + n) on rows it was not grown on.
+        return best[1]
+
+    def pruned(grown):
+        """The shortest head of the rule with the best share of bad rows among those it was not grown on; None if it fails."""
         heads = [holds(grown[: i + 1]) for i in range(len(grown))]
         got = left.where("prune").agg(*[F.sum(F.when(h, F.col("y")).otherwise(0)).alias(f"p{i}") for i, h in enumerate(heads)], *[F.sum(h.cast("int")).alias(f"m{i}") for i, h in enumerate(heads)]).first()
         value = [((got[f"p{i}"] or 0) / got[f"m{i}"] if got[f"m{i}"] else 0.0, got[f"m{i}"] or 0) for i in range(len(grown))]
-        at = max(range(len(grown)), key=lambda i: (round(value[i][0], 3), -i))
-        if value[at][0] < least_precision or value[at][1] < least_cover:
+        fit = [i for i, v in enumerate(value) if v[0] >= least_precision and v[1] >= least_cover]
+        return grown[: max(fit, key=lambda i: (round(value[i][0], 3), -i)) + 1] if fit else None
+
+    while max_rules is None or len(rules) < max_rules:
+        grow = left.where(~F.col("prune"))
+        cut = _cuts(grow, features, cuts)
+        if not all(cut.values()):
+            break
+        first, tried, rule = tally(grow, cut), set(), None
+        while rule is None and (start := best_condition(first, cut, tried)):
+            grown, frame = [start], grow.where(start.column())
+            while len(grown) < max_conditions and (more := best_condition(tally(frame, cut), cut)):
+                grown.append(more)
+                frame = frame.where(more.column())
+            rule = pruned(grown)
+            tried.add((start.feature, start.above))
+        if rule is None:
             break
-        rules.append(grown[: at + 1])
-        left = left.where(~holds(rules[-1]))
+        rules.append(rule)
+        left = left.where(~holds(rule))
     return DecisionList(rules)
 
 

@@ -184,6 +184,16 @@ def test_rules_are_learned_and_ordered(spark):
     assert all(c.feature in "abc" for c in first) and "reject if" in str(found)
 
 
+def test_rare_defects_and_rules_behind_a_failed_one_are_learned(spark):
+    """1 % of the rows have a low b; 5 % are bad without a cause, which a rule on a follows but can't reach the precision."""
+    rows = spark.range(6000).selectExpr("id", "rand(4) r", "rand(5) u").selectExpr(
+        "id", "r < 0.01 rare", "if(r < 0.01, 0.1 + u / 5, 0.5 + u / 2) b", "rand(6) a").selectExpr("*", "cast(rare or (a > 0.9 and rand(7) < 0.5) as int) bad")
+    found = quality_rules.learn(rows, features=("a", "b"))
+    judged = rows.withColumn("no", found.rule_index().isNotNull())
+    assert judged.where("rare and not no").count() <= 1
+    assert judged.where("no and bad = 0").count() <= 6
+
+
 def test_one_class_or_nothing_keeps_all(spark):
     rows = spark.range(50).selectExpr("cast(id as double) a", "0 bad")
     for frame_ in (rows, rows.withColumn("bad", F.lit(1)).limit(0), rows.withColumn("bad", F.lit(None).cast("int"))):
