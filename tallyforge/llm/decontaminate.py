@@ -91,7 +91,8 @@ def _windows(frame, k):
             F.transform(_starts(k), lambda i: line(i, cut(c, i))),
             F.when(F.array_contains(c, NAME), named).otherwise(none), F.when(F.array_contains(c, NUMBER), plain).otherwise(none))
 
-    box = F.array(F.struct("c", "w", _named(F.col("c"), F.col("w")).alias("d")))
+    # A slice of an array as stored in a row first decodes all of it; the result of a transform is sliced in place.
+    box = F.array(F.struct(F.transform("c", lambda x: x).alias("c"), F.transform("w", lambda x: x).alias("w"), _named(F.col("c"), F.col("w")).alias("d")))
     return frame.withColumn("h", F.transform(box, hashes)[0]).select("*", F.explode("h").alias("_h")).select(*frame.columns, "_h.at", "_h.hash")
 
 
