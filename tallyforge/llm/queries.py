@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontaminate, language_id, license_scan, mixing, quality_rules, sharding, simhash, substring_dedup, token_files, toxicity, url_filter
+from tallyforge.llm import decontaminate, language_id, license_scan, mixing, quality_rules, sharding, simhash, spelling, substring_dedup, token_files, toxicity, url_filter
 
 SHARDS = 40
 
@@ -74,7 +74,11 @@ def op11_language_id(spark, sf):
     return profiles.predict(docs.select("doc_id", "text", language_id.held_out("doc_id").alias("held_out"))).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_license_scan, op4_mixing, op5_token_files, op6_sharding, op7_simhash, op8_toxicity, op9_decontaminate, op10_quality_rules, op11_language_id)}
+def op12_spelling(spark, sf):
+    return spelling.variants(_table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_license_scan, op4_mixing, op5_token_files, op6_sharding, op7_simhash, op8_toxicity, op9_decontaminate, op10_quality_rules, op11_language_id, op12_spelling)}
 
 SUBSTRING_SQL = """
 WITH w AS (
