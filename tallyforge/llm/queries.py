@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontaminate, language_id, license_scan, mixing, quality_rules, sharding, simhash, spelling, substring_dedup, token_files, toxicity, url_filter
+from tallyforge.llm import collocations, decontaminate, language_id, license_scan, mixing, quality_rules, sharding, simhash, spelling, substring_dedup, token_files, toxicity, url_filter
 
 SHARDS = 40
 
@@ -78,7 +78,11 @@ def op12_spelling(spark, sf):
     return spelling.variants(_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_license_scan, op4_mixing, op5_token_files, op6_sharding, op7_simhash, op8_toxicity, op9_decontaminate, op10_quality_rules, op11_language_id, op12_spelling)}
+def op13_collocations(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_substring_dedup, op3_license_scan, op4_mixing, op5_token_files, op6_sharding, op7_simhash, op8_toxicity, op9_decontaminate, op10_quality_rules, op11_language_id, op12_spelling, op13_collocations)}
 
 SUBSTRING_SQL = """
 WITH w AS (
@@ -98,4 +102,35 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n
 FROM w LEFT JOIN k USING (doc_id)
 """
 
-ORACLES = {"op2_substring_dedup": SUBSTRING_SQL}
+COLLOCATION_SQL = """
+WITH low AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+piece AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS p FROM low),
+w AS (SELECT lang, list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM piece),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+k AS (SELECT unnest(range(1, 6)) AS k),
+gram AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM w, k WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 100),
+inner_part AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[i : i + m - 1], ' ') AS part, f
+  FROM (SELECT lang, phrase, f, k, m, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT lang, phrase, f, k, unnest(range(2, k)) AS m FROM f WHERE k > 2))),
+held AS (SELECT lang, part, max(f) AS longer FROM inner_part GROUP BY ALL),
+kept AS (
+  SELECT f.lang, f.phrase, f.k, f.f AS a FROM f LEFT JOIN held ON held.lang = f.lang AND held.part = f.phrase
+  WHERE f.k > 1 AND (longer IS NULL OR 100 * longer < 100 * f.f)),
+cut AS (
+  SELECT lang, phrase, a, c, array_to_string(string_split(phrase, ' ')[1 : c], ' ') AS lp, array_to_string(string_split(phrase, ' ')[c + 1 : k], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM kept)),
+line AS (
+  SELECT cut.lang, cut.phrase, a, c, l.f AS l, r.f AS r, n, ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = cut.lp JOIN f r ON r.lang = cut.lang AND r.phrase = cut.rp JOIN total ON total.lang = cut.lang),
+best AS (SELECT * FROM line QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+ORACLES = {"op2_substring_dedup": SUBSTRING_SQL, "op13_collocations": COLLOCATION_SQL}
