@@ -89,7 +89,9 @@ def scan(docs, key="doc_id", text="text", phrases=None, notices=None, least=0.8)
     lowered = tokens.withColumn("v", F.transform("w", lambda x: F.lower(x)))
     sizes = sorted({SHORT, *[_run(len(n.split()), least) for n in notices]})
     runs = lowered.select("doc_id", "text_hash", "w", F.concat(*[F.transform(grams(F.col("v"), k), lambda g, i: F.struct(i.alias("pos"), g.alias("gram"))) for k in sizes]).alias("g"))
-    placed = runs.select("doc_id", "text_hash", "w", F.explode("g").alias("g")).select("doc_id", "text_hash", "w", "g.pos", "g.gram")
+    # Outer on purpose: for a plain explode Spark adds a filter on the size of the array, below the projections, which then
+    # splits and hashes every text once more for each run. The join drops the line of a text without runs.
+    placed = runs.select("doc_id", "text_hash", "w", F.explode_outer("g").alias("g")).select("doc_id", "text_hash", "w", "g.pos", "g.gram")
     hits = placed.join(F.broadcast(_templates(docs.sparkSession, phrases, notices, least)), "gram")
     start = F.col("pos") - F.col("at")
     begin = F.greatest(start - F.col("margin"), F.lit(0))
