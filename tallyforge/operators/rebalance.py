@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
-from ..plans.neighbours import BLOCK_ROWS, merge_equal, nearest
+from ..plans.neighbours import BLOCK_ROWS, PROBES, merge_equal, nearest
 from ..session import stored
 from .split import class_sizes, values_at_ranks
 
@@ -14,17 +14,17 @@ def _vectors(df, columns, key):
     return df.select(c(key).cast("long").alias("key"), F.array(*[c(n).cast("double") for n in columns]).alias("vec"))
 
 
-def neighbours(df, columns, key, k=5, block_rows=BLOCK_ROWS):
+def neighbours(df, columns, key, k=5, block_rows=BLOCK_ROWS, probes=None):
     """The ``k`` nearest other rows of each row, copies included: ``(key, rank, neighbour, distance)``.
 
     Ties go to the lower key. The search runs over distinct vectors; of the rows that share a vector only the k + 1 lowest
-    keys can be among the answers of others.
+    keys can be among the answers of others. It is exact unless ``probes`` bounds the leaves that a vector visits.
     """
     rows = _vectors(df, columns, key)
     points = stored(merge_equal(rows, "key", "vec"), "points")
     members = stored(rows.join(points.select("vec", "id"), "vec").select("id", "key"), "members")
     lowest = members.withColumn("_r", F.row_number().over(Window.partitionBy("id").orderBy("key"))).where(F.col("_r") <= k + 1).select(F.col("id").alias("near"), F.col("key").alias("neighbour"))
-    reach = nearest(points, k, block_rows).select("id", F.col("neighbour").alias("near"), "distance2").unionByName(
+    reach = nearest(points, k, block_rows, probes).select("id", F.col("neighbour").alias("near"), "distance2").unionByName(
         points.select("id", F.col("id").alias("near"), F.lit(0.0).alias("distance2")))
     found = F.slice(F.array_sort(F.collect_list(F.struct("distance2", "neighbour"))), 1, (k + 1) * (k + 1))
     lists = reach.join(lowest, "near").groupBy("id").agg(found.alias("found"))
@@ -33,7 +33,7 @@ def neighbours(df, columns, key, k=5, block_rows=BLOCK_ROWS):
     return picked.select("key", (F.col("rank") + 1).alias("rank"), F.col("f.neighbour").alias("neighbour"), F.sqrt("f.distance2").alias("distance"))
 
 
-def _synthesise(rows, columns, key, label, value, wanted, k, seed, block_rows, stride):
+def _synthesise(rows, columns, key, label, value, wanted, k, seed, block_rows, stride, probes):
     """``wanted`` synthetic rows of one class, each on the line between a row and a near row of its class.
 
     Their keys are ``-(key * stride + copy)``; ``stride`` is larger than any number of copies, in all classes.
@@ -50,7 +50,7 @@ def _synthesise(rows, columns, key, label, value, wanted, k, seed, block_rows, s
     copies = F.lit(each) + (F.lit(0) if cut is None else (order <= F.lit(cut)).cast("int"))
 
     if k_eff > 0:
-        near = nearest(points, k_eff, block_rows).join(
+        near = nearest(points, k_eff, block_rows, probes).join(
             points.select(F.col("id").alias("neighbour"), F.col("vec").alias("nvec"), F.col("copies").alias("ncopies")), "neighbour"
         )
         # at most k lines per vector
@@ -81,11 +81,12 @@ def _synthesise(rows, columns, key, label, value, wanted, k, seed, block_rows, s
     return made.select(c(key), *[F.get("_v", F.lit(i)).alias(n) for i, n in enumerate(columns)], F.lit(value).alias(label))
 
 
-def oversample(df, columns, label, key, k=5, seed=42, block_rows=BLOCK_ROWS):
+def oversample(df, columns, label, key, k=5, seed=42, block_rows=BLOCK_ROWS, probes=PROBES):
     """Add synthetic rows until every class is as large as the largest.
 
     ``key`` must be a unique, non-negative whole number. The result holds the key, the
-    numeric ``columns`` and the label; synthetic rows carry negative keys.
+    numeric ``columns`` and the label; synthetic rows carry negative keys. The near rows that synthetic rows lean on are
+    searched in ``probes`` leaves (None: exactly).
     """
     sizes = class_sizes(df, label)
     most = max(sizes.values(), default=0)
@@ -97,23 +98,24 @@ def oversample(df, columns, label, key, k=5, seed=42, block_rows=BLOCK_ROWS):
         raise ValueError(f"keys up to {top} leave no room for {stride} synthetic keys each; number the rows first")
     for value, size in sorted(sizes.items(), key=lambda e: str(e[0])):
         if size < most:
-            made = _synthesise(base.where(c(label) == F.lit(value)), columns, key, label, value, most - size, k, seed, block_rows, stride)
+            made = _synthesise(base.where(c(label) == F.lit(value)), columns, key, label, value, most - size, k, seed, block_rows, stride, probes)
             if made is not None:
                 out = out.unionByName(made.withColumn(label, c(label).cast(dict(base.dtypes)[label])))
     return out
 
 
-def tomek_links(df, columns, label, key, block_rows=BLOCK_ROWS):
+def tomek_links(df, columns, label, key, block_rows=BLOCK_ROWS, probes=PROBES):
     """Pairs of rows of different classes that are each other's nearest row: ``(a, b)`` with a < b.
 
     Rows with the same vector are nearest to each other; of these only the two with the
-    lowest keys can be a mutual pair.
+    lowest keys can be a mutual pair. A pair that ``probes`` leaves bring together is checked against both sides' nearest
+    rows in these leaves; ``probes=None`` searches all leaves that can matter.
     """
     rows = stored(_vectors(df, columns, key).join(df.select(c(key).cast("long").alias("key"), c(label).alias("y")), "key"), "rows")
     points = stored(merge_equal(rows, "key", "vec"), "points")
     # vectors that occur once: the nearest other vector, represented by its lowest key
     single = points.where("copies = 1").select("id")
-    ones = nearest(points, 1, block_rows).select(F.col("id").alias("a"), F.col("neighbour").alias("b")).join(
+    ones = nearest(points, 1, block_rows, probes).select(F.col("id").alias("a"), F.col("neighbour").alias("b")).join(
         single.select(F.col("id").alias("a")), "a", "left_semi"
     )
     mutual = ones.alias("p").join(ones.alias("q"), (F.col("p.a") == F.col("q.b")) & (F.col("p.b") == F.col("q.a"))).where("p.a < p.b").select("p.a", "p.b")
@@ -126,17 +128,17 @@ def tomek_links(df, columns, label, key, block_rows=BLOCK_ROWS):
     return pairs.join(left, "a").join(right, "b").where("ya <> yb").select("a", "b")
 
 
-def drop_tomek(df, columns, label, key, block_rows=BLOCK_ROWS):
+def drop_tomek(df, columns, label, key, block_rows=BLOCK_ROWS, probes=PROBES):
     """Remove both rows of every Tomek link."""
-    links = tomek_links(df, columns, label, key, block_rows)
+    links = tomek_links(df, columns, label, key, block_rows, probes)
     gone = links.select(F.explode(F.array("a", "b")).alias("_gone")).distinct()
     return df.join(gone, c(key).cast("long") == F.col("_gone"), "left_anti")
 
 
-def oversample_then_clean(df, columns, label, key, k=5, seed=42, block_rows=BLOCK_ROWS):
+def oversample_then_clean(df, columns, label, key, k=5, seed=42, block_rows=BLOCK_ROWS, probes=PROBES):
     """Synthetic rows first, then removal of Tomek links."""
-    grown = stored(oversample(df, columns, label, key, k, seed, block_rows), "grown")
-    return drop_tomek(grown, columns, label, key, block_rows)
+    grown = stored(oversample(df, columns, label, key, k, seed, block_rows, probes), "grown")
+    return drop_tomek(grown, columns, label, key, block_rows, probes)
 
 
 # The names a configuration may use.

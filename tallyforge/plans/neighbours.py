@@ -1,10 +1,11 @@
-"""Exact k nearest neighbours as a partitioned join.
-
-Equal vectors are merged first, so copies cost nothing. The distinct vectors are cut into
-blocks of bounded size along their widest dimensions. Each block is searched on its own;
-that gives every vector an upper bound for its k-th distance, and only the blocks whose
-bounding box lies within the bound are visited afterwards. No pair leaves a task unless it
-is among the k best of its block.
+"""k nearest neighbours as a partitioned join over a tree of projections.
+
+Equal vectors are merged first, so copies cost nothing. The distinct vectors are turned onto the principal directions of a
+bounded sample, and a tree cuts them by quantiles, one direction after the other, into leaves of a fixed size; only the
+number of leaves grows with the data. The slabs that lead to a leaf bound the distance to all its vectors from below.
+With ``probes`` every vector visits the leaves with the smallest bounds: a constant number, whatever the size of the table,
+and an approximate answer. Without it, a vector visits every leaf that its k-th distance so far reaches: the exact answer.
+No pair leaves a task unless it is among the k best of its leaf.
 """
 from __future__ import annotations
 
@@ -22,10 +23,13 @@ from ..session import stored
 # the helpers below travel to the executors with the task: the package need not be installed there
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 2_000
-MAX_BLOCKS = 20_000
-VISITORS = 5_000
-FAN_OUT = 64
+BLOCK_ROWS = 2_000  # vectors aimed at in a leaf
+PROBES = 16  # leaves that a vector visits unless the caller asks for the exact answer
+VISITORS = 5_000  # vectors that visit a leaf in one task
+FAN_OUT = 4
+SAMPLE = 20_000  # vectors the directions and the top of the tree are fitted on
+LEAST = 20  # sampled vectors in a leaf of the top
+DIRECTIONS = 32  # directions the tree may use
 
 
 def merge_equal(df, key, vector):
@@ -33,76 +37,134 @@ def merge_equal(df, key, vector):
     return df.groupBy(F.col(vector).alias("vec")).agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("copies"))
 
 
-class _Cuts:
-    """The block tree: node -> (dimension, edges, first child); nodes without an entry are blocks."""
+def _matrix(vectors):
+    return np.array(vectors.tolist(), dtype=float)
 
-    def __init__(self):
-        self.splits, self.size = {}, 1
 
-    def split(self, node, dim, edges):
-        self.splits[node] = (dim, np.asarray(edges, dtype=float), self.size)
-        self.size += len(edges) + 1
+class _Tree:
+    """node -> (direction, edges, first child); nodes without an entry are leaves. ``axes`` has orthonormal columns."""
 
-    def assign(self, x):
-        at = np.zeros(len(x), dtype=np.int64)
-        todo = [0]
-        while todo:
-            node = todo.pop()
-            if node not in self.splits:
-                continue
-            dim, edges, first = self.splits[node]
-            rows = np.flatnonzero(at == node)
-            if len(rows):
-                at[rows] = first + np.searchsorted(edges, x[rows, dim], side="left")
-                todo.extend(range(first, first + len(edges) + 1))
-        return at
+    def __init__(self, axes):
+        self.axes, self.splits, self.depth, self.size = axes, {}, {0: 0}, 1
 
+    def turned(self, vectors):
+        return _matrix(vectors) @ self.axes
 
-def _matrix(vectors):
-    return np.array(vectors.tolist(), dtype=float)
-
+    def direction(self, node):
+        return self.depth[node] % self.axes.shape[1]
 
-def _with_block(points, cuts):
-    def assign(batches):
-        for pdf in batches:
-            if len(pdf):
-                yield pdf.assign(block=cuts.assign(_matrix(pdf["vec"])))
-
-    return points.mapInPandas(assign, points.schema.simpleString()[7:-1] + ", block bigint")
+    def split(self, node, edges):
+        children = range(self.size, self.size + len(edges) + 1)
+        self.splits[node] = (self.direction(node), np.asarray(edges, dtype=float), self.size)
+        self.depth.update(dict.fromkeys(children, self.depth[node] + 1))
+        self.size += len(children)
+        return children
 
+    def grow(self, x, leaf):
+        """Split until no leaf has over ``leaf`` of the vectors ``x``."""
+        todo = [(0, np.arange(len(x)))]
+        while todo:
+            node, rows = todo.pop()
+            if len(rows) > leaf:
+                v = x[rows, self.direction(node)]
+                edges = np.unique(np.quantile(v, np.arange(1, FAN_OUT) / FAN_OUT))
+                edges = edges[edges < v.max()]
+                if len(edges):
+                    at = np.searchsorted(edges, v, side="left")
+                    todo += [(child, rows[at == i]) for i, child in enumerate(self.split(node, edges))]
+
+    def leaf(self, x):
+        """The leaf of each line of ``x``."""
+        at, todo = np.zeros(len(x), np.int64), [(0, np.arange(len(x)))]
+        while todo:
+            node, rows = todo.pop()
+            if node not in self.splits:
+                at[rows] = node
+            elif len(rows):
+                direction, edges, first = self.splits[node]
+                child = np.searchsorted(edges, x[rows, direction], side="left")
+                todo += [(first + i, rows[child == i]) for i in range(len(edges) + 1)]
+        return at
 
-def _split_blocks(points, dims, block_rows):
-    """Grow the tree until no block exceeds ``block_rows``; returns it with the boxes of the blocks."""
-    cuts = _Cuts()
+    def visits(self, x, probes, reach):
+        """(lines of ``x``, leaves): for each line the ``probes`` leaves of smallest bound, or all with a bound up to ``reach``.
+
+        Level by level the bound of a child is the squared distance to its slabs; with ``probes`` only so many children of
+        the smallest bounds go on.
+        """
+        done_rows, done_leaves, done_bounds = [], [], []
+        rows, nodes, gaps = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros((len(x), self.axes.shape[1]))
+        while len(rows):
+            inner = np.array([n in self.splits for n in nodes.tolist()], bool)
+            bounds = (gaps**2).sum(1)
+            for store, a in ((done_rows, rows), (done_leaves, nodes), (done_bounds, bounds)):
+                store.append(a[~inner])
+            parts = []
+            for node in np.unique(nodes[inner]).tolist():
+                direction, edges, first = self.splits[node]
+                mine = np.flatnonzero(nodes == node)
+                v = x[rows[mine], direction]
+                ends = np.concatenate([[-np.inf], edges, [np.inf]])
+                for i in range(len(edges) + 1):
+                    g = gaps[mine].copy()
+                    g[:, direction] = np.maximum(g[:, direction], np.maximum(np.maximum(ends[i] - v, v - ends[i + 1]), 0.0))
+                    parts.append((rows[mine], np.full(len(mine), first + i), g))
+            if not parts:
+                break
+            rows, nodes, gaps = (np.concatenate([p[i] for p in parts]) for i in range(3))
+            bounds = (gaps**2).sum(1)
+            if probes is None:
+                keep = bounds <= reach[rows] * (1 + 1e-9) + 1e-12  # slack, so that rounding never hides a tie
+            else:
+                keep = _smallest(rows, bounds, nodes, probes)
+            rows, nodes, gaps = rows[keep], nodes[keep], gaps[keep]
+        rows, leaves, bounds = np.concatenate(done_rows), np.concatenate(done_leaves), np.concatenate(done_bounds)
+        if probes is not None:
+            keep = _smallest(rows, bounds, leaves, probes)
+            rows, leaves = rows[keep], leaves[keep]
+        return rows, leaves
+
+
+def _smallest(rows, bounds, nodes, n):
+    """Places of the ``n`` smallest bounds of each row; ties go to the smaller node."""
+    order = np.lexsort((nodes, bounds, rows))
+    ordered = rows[order]
+    return order[np.arange(len(ordered)) - np.searchsorted(ordered, ordered) < n]
+
+
+def _fit_tree(points, n, block_rows):
+    """The tree over ``points``: its top from a bounded sample, and further levels where leaves still hold too many vectors."""
+    share = min(1.0, SAMPLE / n)
+    drawn = points.select("vec").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < math.ceil(share * (1 << 30))).limit(2 * SAMPLE)
+    sample = np.array([r["vec"] for r in drawn.collect()], dtype=float)
+    if not len(sample):
+        sample = np.array([points.first()["vec"]], dtype=float)
+    spread = np.cov(sample.T).reshape(sample.shape[1], -1) if len(sample) > 1 else np.eye(sample.shape[1])
+    tree = _Tree(np.linalg.eigh(spread)[1][:, ::-1][:, :DIRECTIONS])
+    tree.grow(sample @ tree.axes, max(LEAST if share < 1 else 1, int(block_rows * share)))
+    probs = [i / FAN_OUT for i in range(1, FAN_OUT)]
+    whole = set()
     while True:
-        tagged = _with_block(points, cuts)
-        stats = tagged.groupBy("block").agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.min(F.get("vec", F.lit(i))).alias(f"lo{i}") for i in range(dims)],
-            *[F.max(F.get("vec", F.lit(i))).alias(f"hi{i}") for i in range(dims)],
-        ).collect()  # one line per block, at most MAX_BLOCKS in total
-        large = [r for r in stats if r["n"] > block_rows]
-        if not large:
-            boxes = {r["block"]: ([r[f"lo{i}"] for i in range(dims)], [r[f"hi{i}"] for i in range(dims)]) for r in stats}
-            return cuts, boxes
-        widest = {}
-        for r in large:
-            spread = [r[f"hi{i}"] - r[f"lo{i}"] for i in range(dims)]
-            widest[r["block"]] = (int(np.argmax(spread)), min(FAN_OUT, math.ceil(r["n"] / block_rows) + 1), r)
-        parts = max(p for _, p, _ in widest.values())
-        chosen = points.sparkSession.createDataFrame([(b, d) for b, (d, _, _) in widest.items()], "block bigint, dim int")
-        edges = (
-            tagged.join(F.broadcast(chosen), "block")
-            .groupBy("block")
-            .agg(F.percentile_approx(F.get("vec", F.col("dim")), [i / parts for i in range(1, parts)], 1000).alias("e"))
-            .collect()
-        )
-        for r in edges:
-            dim, want, box = widest[r["block"]]
-            step = max(1, len(r["e"]) // max(1, want - 1))
-            # an edge at the top value would leave the block whole; distinct vectors always differ somewhere
-            inner = sorted({e for e in r["e"][::step] if e < box[f"hi{dim}"]}) or [box[f"lo{dim}"]]
-            cuts.split(r["block"], dim, inner)
+        def place(batches, tree=tree):
+            for pdf in batches:
+                if len(pdf):
+                    x = tree.turned(pdf["vec"])
+                    leaf = tree.leaf(x)
+                    way = np.array([tree.direction(a) for a in leaf.tolist()])
+                    yield pd.DataFrame({"leaf": leaf, "v": x[np.arange(len(x)), way]})
+
+        placed = points.select("vec").mapInPandas(place, "leaf bigint, v double")
+        full = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", probs, 1000).alias("e"), F.min("v").alias("low"), F.max("v").alias("high"))
+        split = False
+        for r in full.where(F.col("n") > 2 * block_rows).collect():  # one line per leaf to split
+            edges = sorted({e for e in r["e"] if e < r["high"]}) or ([r["low"]] if r["low"] < r["high"] else [])
+            if r["leaf"] not in whole and edges:
+                tree.split(r["leaf"], edges)
+                split = True
+            else:  # equal in this direction: only one of its own can divide it
+                whole.add(r["leaf"])
+        if not split:
+            return tree
 
 
 def _k_best(x, ids, p, pids, k):
@@ -126,61 +188,14 @@ def _k_best(x, ids, p, pids, k):
     return np.concatenate(rows), np.concatenate(found), np.concatenate(dist)
 
 
-def nearest(points, k, block_rows=BLOCK_ROWS):
-    """The ``k`` nearest other vectors of each line of ``merge_equal``: ``(id, neighbour, distance2)``.
+_RESULT = "id bigint, neighbour bigint, distance2 double"
 
-    Ties in distance go to the smaller id.
-    """
-    spark = points.sparkSession
-    points = stored(points.select("id", "vec"), "vectors")
-    facts = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-    n, dims = facts["n"], facts["d"]
-    if not n:
-        return spark.createDataFrame([], "id bigint, neighbour bigint, distance2 double")
-    block_rows = max(block_rows, math.ceil(4 * n / MAX_BLOCKS))
-    cuts, boxes = _split_blocks(points, dims, block_rows)
-    blocked = stored(_with_block(points, cuts), "blocks")
-    result = "id bigint, neighbour bigint, distance2 double"
-
-    def inside(pdf):
-        x, ids = _matrix(pdf["vec"]), pdf["id"].to_numpy()
-        r, near, d2 = _k_best(x, ids, x, ids, k)
-        return pd.DataFrame({"id": ids[r], "neighbour": near, "distance2": d2})
 
-    own = stored(blocked.groupBy("block").applyInPandas(inside, result), "near")
-    bound = own.groupBy("id").agg(F.count(F.lit(1)).alias("found"), F.max("distance2").alias("far"))
-    bounded = blocked.join(bound, "id", "left").withColumn(
-        "reach", F.when(F.col("found") >= k, F.col("far")).otherwise(F.lit(float("inf")))
-    )
-
-    # at most MAX_BLOCKS boxes
-    names = np.array(sorted(boxes))
-    low = np.array([boxes[b][0] for b in names], dtype=float)
-    high = np.array([boxes[b][1] for b in names], dtype=float)
-    shared = spark.sparkContext.broadcast((names, low, high))
-
-    def visits(batches):
-        names_, low_, high_ = shared.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x, reach, home = _matrix(pdf["vec"]), pdf["reach"].to_numpy(), pdf["block"].to_numpy()
-            step = max(1, 4_000_000 // max(1, low_.size))
-            for s in range(0, len(x), step):
-                part = x[s : s + step, None, :]
-                gap = np.maximum(np.maximum(low_[None] - part, part - high_[None]), 0.0)
-                d2 = (gap**2).sum(axis=2)
-                # a hair of slack so that rounding never hides a tie
-                go = (d2 <= reach[s : s + step, None] * (1 + 1e-9)) & (names_[None, :] != home[s : s + step, None])
-                r, b = np.nonzero(go)
-                if len(r):
-                    yield pd.DataFrame({"id": pdf["id"].to_numpy()[s + r], "vec": pdf["vec"].to_numpy()[s + r], "block": names_[b]})
-
-    guests = stored(bounded.select("id", "vec", "block", "reach").mapInPandas(visits, "id bigint, vec array<double>, block bigint"), "visits")
-    # a block that many vectors visit is searched by several tasks
+def _visited(guests, blocked, k):
+    """The k best of each leaf for each of its guests. A leaf that many vectors visit is searched by several tasks."""
     rooms = guests.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("rooms"))
-    guests = guests.join(F.broadcast(rooms), "block").withColumn("room", F.pmod(F.xxhash64("id"), F.col("rooms")).cast("int"))
-    hosts = blocked.join(F.broadcast(rooms), "block").withColumn("room", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)))
+    guests = guests.toDF(*guests.columns).join(rooms, "block").withColumn("room", F.pmod(F.xxhash64("id"), F.col("rooms")).cast("int"))
+    hosts = blocked.join(rooms, "block").withColumn("room", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)))
 
     def visit(g, h):
         if not len(g) or not len(h):
@@ -189,10 +204,56 @@ def nearest(points, k, block_rows=BLOCK_ROWS):
         r, near, d2 = _k_best(_matrix(g["vec"]), ids, _matrix(h["vec"]), h["id"].to_numpy(), k)
         return pd.DataFrame({"id": ids[r], "neighbour": near, "distance2": d2})
 
-    away = (
-        guests.select("block", "room", "id", "vec").groupBy("block", "room")
-        .cogroup(hosts.select("block", "room", "id", "vec").groupBy("block", "room"))
-        .applyInPandas(visit, result)
-    )
+    sides = [df.select("block", "room", "id", "vec").groupBy("block", "room") for df in (guests, hosts)]
+    return sides[0].cogroup(sides[1]).applyInPandas(visit, _RESULT)
+
+
+def _k_of_all(found, k):
     best = Window.partitionBy("id").orderBy("distance2", "neighbour")
-    return own.unionAll(away).withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
+    return found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
+
+
+def nearest(points, k, block_rows=BLOCK_ROWS, probes=None):
+    """The ``k`` nearest other vectors of each line of ``merge_equal``: ``(id, neighbour, distance2)``.
+
+    Ties in distance go to the smaller id. ``probes=None`` is exact; a number of probes bounds the leaves that a vector
+    visits and may miss neighbours in leaves beyond. A tree of no more leaves than probes gives the exact answer.
+    """
+    spark = points.sparkSession
+    points = stored(points.select("id", "vec"), "vectors")
+    n = points.count()
+    if not n:
+        return spark.createDataFrame([], _RESULT)
+    tree = _fit_tree(points, n, block_rows)
+
+    def settle(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.assign(block=tree.leaf(tree.turned(pdf["vec"])))
+
+    blocked = stored(points.mapInPandas(settle, "id bigint, vec array<double>, block bigint"), "blocks")
+    if not tree.splits:
+        probes = 1
+
+    def go(batches):
+        for pdf in batches:
+            for start in range(0, len(pdf), 2000):
+                part = pdf.iloc[start : start + 2000]
+                x = tree.turned(part["vec"])
+                rows, leaves = tree.visits(x, probes, part["reach"].to_numpy())
+                if probes is None:
+                    away = leaves != part["block"].to_numpy()[rows]
+                    rows, leaves = rows[away], leaves[away]
+                if len(rows):
+                    yield pd.DataFrame({"id": part["id"].to_numpy()[rows], "vec": part["vec"].to_numpy()[rows], "block": leaves})
+
+    def visits(frame):
+        return stored(frame.select("id", "vec", "block", "reach").mapInPandas(go, "id bigint, vec array<double>, block bigint"), "visits")
+
+    if probes is not None:
+        return _k_of_all(_visited(visits(blocked.withColumn("reach", F.lit(0.0))), blocked, k), k)
+    own = stored(_visited(blocked, blocked, k), "near")
+    bound = own.groupBy("id").agg(F.count(F.lit(1)).alias("found"), F.max("distance2").alias("far"))
+    reach = F.when(F.col("found") >= k, F.col("far")).otherwise(F.lit(float("inf")))
+    away = _visited(visits(blocked.join(bound, "id", "left").withColumn("reach", reach)), blocked, k)
+    return _k_of_all(own.unionAll(away), k)

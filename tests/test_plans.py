@@ -83,6 +83,29 @@ def test_neighbours_over_many_blocks(spark, shape, monkeypatch):
     assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
 
 
+def test_probes_visit_a_constant_number_of_leaves(spark, monkeypatch):
+    """Lines of visits per vector do not grow with the table, leaves keep their size, and few neighbours are missed."""
+    seen = {}
+    plain = neighbours.stored
+    def keep(df, label):
+        seen[label] = plain(df, label)
+        return seen[label]
+
+    monkeypatch.setattr(neighbours, "stored", keep)
+    monkeypatch.setattr(neighbours, "SAMPLE", 1000)
+    for n in (1500, 6000):
+        r = np.random.default_rng(n)
+        x = r.normal(size=(n, 8)) * [5, 3, 2, 1, 0.3, 0.2, 0.1, 0.1] + r.integers(0, 3, (n, 1)) * 4
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vec array<double>").repartition(4)
+        got = {(r_["id"], r_["neighbour"]) for r_ in neighbours.nearest(df, 5, block_rows=60, probes=12).collect()}
+        want = {(a, b) for a, b, _ in _brute(x, list(range(n)), 5)}
+        assert len(got & want) >= 0.9 * len(want)
+        assert seen["visits"].count() == 12 * n
+        assert seen["blocks"].groupBy("block").count().agg(F.max("count")).first()[0] <= 120
+        exact = {(r_["id"], r_["neighbour"]) for r_ in neighbours.nearest(df, 5, block_rows=60).collect()} if n == 1500 else want
+        assert exact == want
+
+
 def test_oversampling_balances_and_stays_between_parents(spark):
     r = np.random.default_rng(3)
     x = r.normal(size=(220, 2))
