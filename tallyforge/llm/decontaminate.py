@@ -8,11 +8,12 @@ with other numbers or names is therefore still found.
 """
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from tallyforge.llm.text import whole, words
+from tallyforge.session import stored
 
 # Placeholders, outer punctuation, units, and marks that end a sentence.
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
@@ -36,29 +37,48 @@ def _bare(word):
     return F.lower(F.btrim(word, F.lit(PUNCTUATION)))
 
 
+def _let(function, **columns):
+    """``function`` of named columns that are computed once, however often it reads them."""
+    return F.transform(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])), function)[0]
+
+
+def _numeric(bare):
+    """A word with a digit in front, or behind one sign or currency, or a spelled-out number."""
+    first = F.ascii(bare)
+    return F.when(first.between(97, 122), bare.isin(SPELLED)).when(first.between(48, 57), True).when(first.isin(*map(ord, "-+$€£")), bare.rlike(r"^[-+$€£]\d")).otherwise(bare.isin(SPELLED))
+
+
 def canonical(tokens):
     """Canonical words, at the places of the words. Several words of one name stay several placeholders.
 
     A number has a digit, sign or currency in front, or is spelled out; a unit is a listed word after a number; a name
     starts with a capital, goes on in small letters, and does not start a sentence.
     """
-    def one(box):
-        w, b = box["w"], box["b"]
+    return _canonical_and_bare(tokens, lambda x: x)["c"]
+
+
+def _canonical_and_bare(tokens, of):
+    """``of`` each canonical word as ``c``, and the words ``b`` without case and outer punctuation."""
+    number_, unit_, name_ = (of(F.lit(x)) for x in (NUMBER, UNIT, NAME))
 
-        def place(bare, i):
-            before, old = F.get(b, i - 1), F.get(w, i - 1)
-            numeric = lambda x: x.rlike(r"^[-+$€£]?\d") | x.isin(SPELLED)
-            raw = F.btrim(F.get(w, i), F.lit(PUNCTUATION))
-            first = F.ascii(raw)
-            plain = first.between(97, 122)
-            named = (F.substring(raw, 1, 1) != F.substring(bare, 1, 1)) & (F.substring(raw, 2, 100) == F.substring(bare, 2, 100)) & (F.length(raw) > 1) & (i > 0) & ~F.right(old, F.lit(1)).isin(*SENTENCE_END) & ~numeric(F.coalesce(before, F.lit("")))
-            return (F.when(numeric(bare), NUMBER)
-                    .when(bare.isin(UNITS) & numeric(F.coalesce(before, F.lit(""))), UNIT)
-                    .when(plain, bare).when(named, NAME).otherwise(bare))
+    def place(box):
+        w, raw, b, number = box["x"]["w"], box["x"]["raw"], box["x"]["b"], box["number"]
 
-        return F.transform(b, place)
+        def one(bare, i):
+            old, own = F.get(w, i - 1), F.get(raw, i)
+            before = F.coalesce(F.get(number, i - 1), F.lit(False))
+            named = (i > 0) & ~before & (F.length(own) > 1) & (F.substring(own, 1, 1) != F.substring(bare, 1, 1)) & (F.substring(own, 2, 100) == F.substring(bare, 2, 100)) & ~F.right(old, F.lit(1)).isin(*SENTENCE_END)
+            return (F.when(F.get(number, i), number_)
+                    .when(before & bare.isin(UNITS), unit_)
+                    .when((own != bare) & named, name_).otherwise(of(bare)))
 
-    return F.transform(F.array(F.struct(tokens.alias("w"), F.transform(tokens, _bare).alias("b"))), one)[0]
+        return F.struct(F.transform(b, one).alias("c"), b.alias("b"))
+
+    lowered = lambda box: F.struct(box["w"].alias("w"), box["raw"].alias("raw"), F.transform(box["raw"], lambda x: F.lower(x)).alias("b"))
+    # btrim() once for each word: both forms follow from it.
+    forms = _let(lowered, w=tokens, raw=F.transform(tokens, lambda x: F.btrim(x, F.lit(PUNCTUATION))))
+    counted = _let(lambda box: F.struct(box["x"].alias("x"), F.transform(box["x"]["b"], _numeric).alias("number")), x=forms)
+    return _let(lambda box: place(box["y"]), y=counted)
 
 
 def _literal(c):
@@ -71,41 +91,60 @@ def _named(c, w):
     return F.zip_with(c, w, lambda a, x: F.when(a == NAME, _bare(x)).otherwise(a))
 
 
-def _starts(k):
-    n = F.size("c")
+def _starts(n, k):
     return F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
 
 
-def _windows(frame, k):
-    """One line per window and hash: of its canonical words, of those with names as words where it has names, and of
-    its plain words where it has but numbers and units."""
-    def hashes(box):
-        c, d, w = box["c"], box["d"], box["w"]
-        cut = lambda x, i: F.slice(x, i + 1, k)
-        line = lambda i, x: F.struct(i.alias("at"), F.xxhash64(x).alias("hash"))
-        has = lambda i, name: F.exists(cut(c, i), lambda x: x == name)
-        none = F.array().cast("array<struct<at:int,hash:bigint>>")
-        named = F.transform(F.filter(_starts(k), lambda i: has(i, NAME)), lambda i: line(i, cut(d, i)))
-        plain = F.transform(F.filter(_starts(k), lambda i: F.forall(cut(d, i), lambda x: ~_literal(x))), lambda i: line(i, F.transform(cut(w, i), _bare)))
-        return F.concat(
-            F.transform(_starts(k), lambda i: line(i, cut(c, i))),
-            F.when(F.array_contains(c, NAME), named).otherwise(none), F.when(F.array_contains(c, NUMBER), plain).otherwise(none))
+def _joined(h, k):
+    """Hash of every ``k`` neighbours of an array of hashes that has at least ``k``."""
+    return _let(lambda box: F.transform(F.sequence(F.lit(0), F.size(box["h"]) - k), lambda i: F.xxhash64(F.slice(box["h"], i + 1, k))), h=h)
 
-    # A slice of an array as stored in a row first decodes all of it; the result of a transform is sliced in place.
-    box = F.array(F.struct(F.transform("c", lambda x: x).alias("c"), F.transform("w", lambda x: x).alias("w"), _named(F.col("c"), F.col("w")).alias("d")))
-    return frame.withColumn("h", F.transform(box, hashes)[0]).select("*", F.explode("h").alias("_h")).select(*frame.columns, "_h.at", "_h.hash")
+
+def _hash(tokens):
+    """Hash of a window of words."""
+    return F.xxhash64(F.transform(tokens, lambda x: F.xxhash64(x)))
+
+
+def _windows(tokens, sizes):
+    """Array of (k, m, hashes) of a text: ``m`` windows of ``k`` words, at 0, 1, ...; and the hashes of their canonical words,
+    then (where the text has names) of those with names as words, then (where it has so many numbers or units in a row)
+    of plain words. Each part has ``m`` places; null where it adds nothing."""
+    def of(box):
+        c, b = box["x"]["c"], box["x"]["b"]
+        n, none = F.size(c), F.array().cast("array<bigint>")
+        name, number, unit = (F.xxhash64(F.lit(x)) for x in (NAME, NUMBER, UNIT))
+
+        def with_names(own, k):
+            d = F.zip_with(c, b, lambda a, x: F.when(a == name, F.xxhash64(x)).otherwise(a))
+            return F.when(F.array_contains(c, name), F.zip_with(_joined(d, k), own, lambda x, y: F.when(x != y, x))).otherwise(none)
+
+        def of_numbers(k):
+            counted = lambda x: (x == number) | (x == unit)
+            first = F.filter(F.transform(c, lambda x, i: F.when(counted(x), i)), lambda i: i.isNotNull())
+            starts = F.filter(first, lambda p: (p <= n - k) & F.forall(F.slice(c, p + 1, k), counted))
+            lines = lambda box: F.transform(F.sequence(F.lit(0), n - k), lambda i: F.when(F.array_contains(box["s"], i), _hash(F.slice(b, i + 1, k))))
+            return F.when(F.array_contains(c, number), _let(lambda box: F.when(F.size(box["s"]) > 0, lines(box)).otherwise(none), s=starts)).otherwise(none)
+
+        def all_of(k):
+            parts = F.when(n >= k, _let(lambda box: F.concat(box["own"], with_names(box["own"], k), of_numbers(k)), own=_joined(c, k))).otherwise(none)
+            return F.struct(F.lit(k).alias("k"), F.greatest(n - k + 1, F.lit(0)).alias("m"), parts.alias("hashes"))
+
+        return F.array(*[all_of(k) for k in sizes])
+
+    return _let(of, x=_canonical_and_bare(tokens, lambda x: F.xxhash64(x)))
 
 
 def _lines(items, k):
     """One line per window and hash of the items. A window without literal words is known by its plain words alone."""
-    placed = items.withColumn("usable", F.size(F.filter(_starts(k), lambda i: F.exists(F.slice("c", i + 1, k), _literal))))
-    placed = placed.withColumn("literals", F.size(F.filter("c", _literal))).select("item", "size", "usable", "literals", "c", "w", F.explode(_starts(k)).alias("item_at"))
+    starts = _starts(F.size("c"), k)
+    placed = items.withColumn("usable", F.size(F.filter(starts, lambda i: F.exists(F.slice("c", i + 1, k), _literal))))
+    placed = placed.withColumn("literals", F.size(F.filter("c", _literal))).select("item", "size", "usable", "literals", "c", "w", F.explode(starts).alias("item_at"))
     cut = placed.select("item", "size", "usable", "literals", "item_at", F.slice("c", F.col("item_at") + 1, k).alias("item_c"), F.slice("w", F.col("item_at") + 1, k).alias("item_w"))
     d = _named(F.col("item_c"), F.col("item_w"))
     hashes = F.array_compact(F.array(
-        F.when(F.exists("item_c", _literal), F.xxhash64("item_c")),
-        F.when(F.exists(d, _literal), F.xxhash64(d)).otherwise(F.xxhash64(F.transform("item_w", _bare)))))
-    return cut.select("*", F.explode(F.array_distinct(hashes)).alias("hash")).dropDuplicates(["item", "size", "item_at", "item_c", "item_w", "hash"])
+        F.when(F.exists("item_c", _literal), _hash(F.col("item_c"))),
+        F.when(F.exists(d, _literal), _hash(d)).otherwise(_hash(F.transform("item_w", _bare)))))
+    return cut.select("*", F.lit(k).alias("k"), F.explode(F.array_distinct(hashes)).alias("hash")).dropDuplicates(["item", "size", "item_at", "item_c", "item_w", "hash"])
 
 
 def _slots(c, w):
@@ -114,33 +153,55 @@ def _slots(c, w):
     return F.filter(marked, lambda x: x.isNotNull())
 
 
+def _hit_windows(docs, known, key, text, most_broadcast):
+    """The windows of texts whose hash is among ``known`` (k, hash), with their words: doc, text_hash, k, hash, at, c, w.
+
+    All texts give their hashes only; texts that have a hit are read once more for the words.
+    """
+    rows = docs.select(F.col(key).alias("doc"), F.xxhash64(whole(F.col(text))).alias("text_hash"), F.col(text).alias("text"))
+    sizes = sorted(r[0] for r in known.select("k").distinct().collect())  # at most ``window`` lines
+    # Outer on purpose: for a plain explode Spark adds a filter on the size of the array, below the projections, which then
+    # computes all windows of a text once more. The join drops the line of a text without windows.
+    sized = rows.select("doc", "text_hash", F.explode_outer(_windows(words(F.col("text")), sizes)).alias("_h")).select("doc", "text_hash", "_h.*")
+    lines = sized.select("doc", "text_hash", "k", "m", F.posexplode_outer("hashes").alias("place", "hash"))
+    lines = lines.select("doc", "text_hash", "k", "hash", (F.col("place") % F.greatest("m", F.lit(1))).alias("at"))
+    wanted = known.select("k", "hash").distinct()
+    if known.count() <= most_broadcast:
+        wanted = F.broadcast(wanted)
+    hits = stored(lines.join(wanted, ["k", "hash"], "left_semi"), "hits")
+    of_text = hits.groupBy("doc", "text_hash").agg(F.collect_set(F.struct("k", "hash", "at")).alias("hits")).withColumnsRenamed({"doc": "_doc", "text_hash": "_hash"})
+    held = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
+
+    def cut(box):
+        c, w = box["c"], box["w"]
+        piece = lambda x, h: F.slice(x, h["at"] + 1, h["k"])
+        return F.transform(box["hits"], lambda h: F.struct(h["k"].alias("k"), h["hash"].alias("hash"), h["at"].alias("at"), piece(c, h).alias("c"), piece(w, h).alias("w")))
+
+    # A slice of an array as stored in a row first decodes all of it; the result of a transform is sliced in place.
+    split = lambda box: _let(cut, hits=box["hits"], w=box["w"], c=canonical(box["w"]))
+    found = rows.join(of_text, held).select("doc", "text_hash", F.explode_outer(_let(split, hits=F.col("hits"), w=words(F.col("text")))).alias("_h"))
+    return found.select("doc", "text_hash", "_h.*")
+
+
 def _found(docs, benchmark, key, text, item, item_text, window=WINDOW, least_run=13, least_literal=5, most_broadcast=2_000_000, by_stretch=False):
     """Runs that count: doc, text_hash, item, n_windows, first_word, changed; None without items. See ``find``."""
     items = benchmark.select(F.col(item).alias("item"), words(F.col(item_text)).alias("w")).dropDuplicates()
     # A text may lead up to the item in mid-sentence, where a capital makes a name: the first word counts both ways.
     inside = F.slice(canonical(F.concat(F.array(F.lit("x")), F.col("w"))), 2, F.size("w"))
     items = items.where(F.size("w") > 0).withColumn("size", F.size("w")).withColumn("c", F.explode(F.array_distinct(F.array(canonical(F.col("w")), inside))))
+    items = stored(items, "items")
     sizes = sorted(r[0] for r in items.select(F.least("size", F.lit(window))).distinct().collect())  # at most ``window`` lines
     if not sizes:
         return None
-    text_rows = docs.select(F.col(key).alias("doc"), F.xxhash64(whole(F.col(text))).alias("text_hash"), words(F.col(text)).alias("w")).withColumn("c", canonical(F.col("w")))
-    found = None
-    for k in sizes:
-        lines = _lines(items.where(F.least("size", F.lit(window)) == k), k)
-        if lines.count() <= most_broadcast:
-            lines = F.broadcast(lines)
-        hits = _windows(text_rows, k).join(lines, "hash").select(
-            "doc", "text_hash", "item", "size", "usable", "literals", "item_at", "at", "item_c", "item_w", F.slice("c", F.col("at") + 1, k).alias("c"), F.slice("w", F.col("at") + 1, k).alias("w"))
-        # The comparison is a column that the aggregate below reads: a filter here would move into the join, which then
-        # would copy the words of a text for each of its windows.
-        c, w, item_c, item_w = (F.col(x) for x in ("c", "w", "item_c", "item_w"))
-        equal = lambda x, y: F.forall(F.zip_with(x, y, lambda a, b: a == b), lambda e: e)
-        same = equal(c, item_c) | equal(_named(c, w), _named(item_c, item_w)) | equal(F.transform(w, _bare), F.transform(item_w, _bare))
-        slots = F.zip_with(_slots(item_c, item_w), _slots(item_c, w), lambda a, b: F.struct(a["v"].alias("a"), b["v"].alias("b")))
-        kept = F.filter(F.transform(item_w, lambda x, i: F.when(_bare(x) == _bare(F.get(w, i)), F.col("item_at") + i)), lambda x: x.isNotNull())
-        hits = hits.select("doc", "text_hash", "item", "size", "usable", "literals", "item_at", "at", same.alias("same"), slots.alias("pairs"), kept.alias("kept"))
-        hits = hits.withColumn("k", F.lit(k))
-        found = hits if found is None else found.unionByName(hits)
+    lines = reduce(lambda a, b: a.unionByName(b), [_lines(items.where(F.least("size", F.lit(window)) == k), k) for k in sizes])
+    lines = stored(lines, "item-windows")
+    hits = _hit_windows(docs, lines, key, text, most_broadcast).join(lines, ["k", "hash"])
+    c, w, item_c, item_w = (F.col(x) for x in ("c", "w", "item_c", "item_w"))
+    equal = lambda x, y: F.forall(F.zip_with(x, y, lambda a, b: a == b), lambda e: e)
+    same = equal(c, item_c) | equal(_named(c, w), _named(item_c, item_w)) | equal(F.transform(w, _bare), F.transform(item_w, _bare))
+    slots = F.zip_with(_slots(item_c, item_w), _slots(item_c, w), lambda a, b: F.struct(a["v"].alias("a"), b["v"].alias("b")))
+    kept = F.filter(F.transform(item_w, lambda x, i: F.when(_bare(x) == _bare(F.get(w, i)), F.col("item_at") + i)), lambda x: x.isNotNull())
+    found = hits.select("doc", "text_hash", "item", "size", "usable", "literals", "item_at", "at", "k", same.alias("same"), slots.alias("pairs"), kept.alias("kept"))
     shift = F.col("at") - F.col("item_at")
     by = ["doc", "text_hash", "item", "size", "shift", "k"]
     # One text may stand in a row many times: places are counted once. A run has no more windows than its item.
@@ -184,8 +245,8 @@ def find(docs, benchmark, key="doc_id", text="text", item="item_id", item_text="
     Windows have ``window`` words (8); shorter items are searched as one window of their own length. Case never counts,
     but a name is known as one only where it is capitalised. A window of placeholders alone matches by its plain words,
     and copies with other values need not have it. Null or empty texts and items match nothing; a null item id is an id
-    like any other. Repeated documents are reported once per pair. The table of benchmark windows is broadcast up to
-    ``most_broadcast`` lines (2,000,000), else joined by shuffle.
+    like any other. Repeated documents are reported once per pair. The hashes of benchmark windows (12 bytes
+    each) are broadcast up to ``most_broadcast`` lines (2,000,000), else joined by shuffle.
     """
     runs = _found(docs, benchmark, key, text, item, item_text, **options)
     if runs is None:

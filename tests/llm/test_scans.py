@@ -65,6 +65,28 @@ def test_one_changed_or_added_word_never_hides_a_notice(frame):
     assert [rows[k] for k, label in want.items() if label not in got[k]] == []
 
 
+def filters(df):
+    """Conditions of the filters of the optimised plan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if "Filter" in line]
+
+
+def test_plans_compute_runs_once(docs, bench):
+    """No filter splits or hashes whole texts once more below the lines of their runs."""
+    frames = [license_scan.label_documents(docs), decontaminate.find(docs, bench), decontaminate.clean(docs, bench)]
+    assert [x for f in frames for x in filters(f) if re.search(r"split\(|lower\(", x)] == []
+
+
+def test_very_long_texts(frame):
+    """20,000 words, with a notice and an item at the end."""
+    body = " ".join(f"wort{i % 977}" for i in range(20_000))
+    rows = [(1, f"{body} Released under the MIT License. {ITEM}"), (2, body)]
+    items = frame(rows[:1]).sparkSession.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert [(r.doc_id, r.first_word) for r in decontaminate.find(frame(rows), items).collect()] == [(1, 20_005)]
+    got = {r.doc_id: (r.n_words, r.n_base, r.labels) for r in license_scan.label_documents(frame(rows)).collect()}
+    assert got == {1: (brute_base(rows[0][1])[0], 1, "mit"), 2: (20_000, 0, "")}
+
+
 def test_scan_limits(empty, docs):
     assert license_scan.label_documents(empty).count() == 0
     with pytest.raises(ValueError):
@@ -75,7 +97,7 @@ ITEM = "A train from Paris travels 120 km in 2 hours before it stops, then Anna
 BENCH = [(1, ITEM), (2, None), (3, ""), (4, "short question about seven stones"), (None, "the quick brown fox jumps over the lazy dog again and again today"), (6, "1 2 3 4 5 6 7 8 9 10 11 12 13 14"), (7, "Nobody knew how many green bottles were hanging there on the wall")]
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture(scope="session")
 def bench(spark):
     return spark.createDataFrame(BENCH, "item_id long, text string").withColumn("doc", F.lit("x"))
 
