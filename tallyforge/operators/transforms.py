@@ -9,8 +9,8 @@ import math
 
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.param import Param, Params
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Window
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, clip, melt, nan_to_null, numeric_columns, string_columns
@@ -197,28 +197,18 @@ class OutlierLimiter(_Stage):
 
 # --------------------------------------------------------------------------- categories
 
-INLINE_LABELS = 100
+def ranked_labels(labels):
+    """``feature`` and ``label`` (distinct lines) with the code of each label: its rank within the feature, from 0.
 
-
-def ranked_labels(df, column):
-    """Distinct non-null labels with their rank in sorted order, as a stored table.
-
-    The sort is spread over ranges; each range numbers its own labels, and the sizes of
-    the ranges (a few rows) shift them to global ranks.
+    The sort is spread over ranges; each range numbers its own lines, and the sizes of the ranges (a few rows) shift them
+    to ranks over all features, from which the first rank of the feature is taken.
     """
-    labels = (
-        df.select(c(column).cast("string").alias("label")).where("label is not null").distinct()
-    )
-    numbered = stored(labels.orderBy("label").withColumn("_id", F.monotonically_increasing_id()), "labels")
-    part = F.shiftright("_id", 33)
-    sizes = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = stored(labels.orderBy("feature", "label").withColumn("_id", F.monotonically_increasing_id()), "labels")
+    numbered = numbered.select("feature", "label", F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    return (
-        numbered.withColumn("_part", part)
-        .join(F.broadcast(shifts), "_part")
-        .select("label", (F.col("_shift") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).alias("code"))
-    )
+    shifts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    ranks = numbered.join(shifts, "_part").select("feature", "label", (F.col("_shift") + F.col("_at")).alias("_rank"))
+    return ranks.join(ranks.groupBy("feature").agg(F.min("_rank").alias("_first")), "feature").select("feature", "label", (F.col("_rank") - F.col("_first")).alias("code"))
 
 
 def _label_text(col, missing):
@@ -227,53 +217,66 @@ def _label_text(col, missing):
     return text if missing is None else F.coalesce(text, F.lit(missing))
 
 
+class _CodesWriter(DefaultParamsWriter):
+    """Saves the code table inside the model's folder."""
+
+    def saveImpl(self, path):
+        super().saveImpl(path)
+        self.instance.codes(SparkSession.active()).write.parquet(f"{path}/codes")
+
+
+class _CodesReader(DefaultParamsReader):
+    def load(self, path):
+        model = super().load(path)
+        return model._learn(model.getOrDefault(model.options), {n: {**v, "table": f"{path}/codes"} for n, v in model.learned.items()})
+
+
 class CategoryCoderModel(_Learned):
+    """The codes are a table whatever their number: written when fitted, copied into the folder of a saved model."""
+
+    def write(self):
+        return _CodesWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _CodesReader(cls)
+
+    def codes(self, spark):
+        """``(feature, label, code)`` of all columns."""
+        for known in self.learned.values():
+            return spark.read.parquet(known["table"])
+        return spark.createDataFrame([], "feature string, label string, code bigint")
+
     def _transform(self, df):
-        spark = df.sparkSession
+        codes = self.codes(df.sparkSession)
         for n, known in self.learned.items():
             if n not in df.columns:
                 continue
             unseen = -1 if self.option("unseen") == "minus_one" else known["size"]
-            text = _label_text(c(n), self.option("missing"))
-            if known["table"]:
-                # left to the optimiser: broadcast when the code table is small, else sort-merge
-                codes = spark.read.parquet(known["table"]).withColumnsRenamed({"label": "_label", "code": "_code"})
-                df = df.join(codes, text == F.col("_label"), "left").select(
-                    *[F.coalesce("_code", F.lit(unseen)).cast("int").alias(n) if k == n else c(k) for k in df.columns]
-                )
-            else:
-                at = F.array_position(F.array(*[F.lit(v) for v in known["labels"]]).cast("array<string>"), text)
-                df = df.withColumn(n, F.when(at > 0, at - 1).otherwise(F.lit(unseen)).cast("int"))
+            # left to the optimiser: broadcast when the codes are few, else sort-merge
+            own = codes.where(F.col("feature") == n).select(F.col("label").alias("_label"), F.col("code").alias("_code"))
+            df = df.join(own, _label_text(c(n), self.option("missing")) == F.col("_label"), "left").select(
+                *[F.coalesce("_code", F.lit(unseen)).cast("int").alias(n) if k == n else c(k) for k in df.columns]
+            )
         return df
 
 
 class CategoryCoder(_Stage):
     """Codes by sorted order from 0; unseen values become -1, or the number of known values."""
 
-    DEFAULTS = {"unseen": "minus_one", "missing": "nan", "columns": None, "skip": [], "inline_labels": INLINE_LABELS}
+    DEFAULTS = {"unseen": "minus_one", "missing": "nan", "columns": None, "skip": []}
     MODEL = CategoryCoderModel
 
     def _learn(self, df):
         columns = list(self.option("columns") or string_columns(df, set(self.option("skip"))))
-        limit = self.option("inline_labels")
         if not columns:
             return {}
         as_text = df.select(*[_label_text(c(n), self.option("missing")).alias(n) for n in columns])
-        distinct = melt(as_text, columns, "string").where("value is not null").distinct()
-        sizes = {r["feature"]: r["n"] for r in distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-        short = [n for n in columns if sizes.get(n, 0) <= limit]
-        words = {n: [] for n in columns}
-        if short:  # at most ``limit`` values of each of these columns
-            for r in distinct.where(F.col("feature").isin(short)).collect():
-                words[r["feature"]].append(r["value"])
-        learned = {}
-        for n in columns:
-            path = None
-            if n not in short:
-                path = scratch_path(df.sparkSession, f"codes-{n}")
-                ranked_labels(as_text, n).write.parquet(path)
-            learned[n] = {"labels": sorted(words[n]), "size": sizes.get(n, 0), "table": path}
-        return learned
+        labels = melt(as_text, columns, "string").where("value is not null").distinct().select("feature", F.col("value").alias("label"))
+        path = scratch_path(df.sparkSession, "codes")
+        ranked_labels(labels).write.parquet(path)
+        sizes = {r["feature"]: r["n"] for r in df.sparkSession.read.parquet(path).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return {n: {"size": sizes.get(n, 0), "table": path} for n in columns}
 
 
 def dense_codes(df, columns=None):

@@ -1,56 +1,36 @@
 """Running totals over an ordered column, spread over many tasks.
 
-A plain ``sum over (partition by g order by v)`` sends a whole group to one task.
-Here each group is cut into value ranges; totals of the ranges (a few rows) give
-the offset of every range, and the window only runs inside a range.
+A plain ``sum over (partition by g order by v)`` sends a whole group to one task. Here the table is range-partitioned by
+group and value, so that the ranges follow the data and a large group takes as many as it needs; a window runs inside
+each range, and the totals of the ranges, one line per group and range, give the offsets.
 """
 from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 
-def running_totals(df, by, order, sums, descending=False, ranges=32, few_groups=True):
+
+def running_totals(df, by, order, sums, descending=False):
     """Add ``run_<c>`` (inclusive running sum) and ``all_<c>`` (group total) for each ``c`` in ``sums``.
 
-    ``df`` must hold one row per (``by``, ``order``). With ``few_groups`` the groups are
-    known to be few (columns of a table, models of one evaluation) and their totals, one line
-    per group and range, are broadcast; otherwise the optimiser picks the joins by size.
+    ``df`` must hold one row per (``by``, ``order``). Null groups are groups; a null order comes first, last if descending.
     """
-    small = F.broadcast if few_groups else (lambda frame: frame)
-    probs = [i / ranges for i in range(1, ranges)]
-    # reading the sums here too keeps this branch on the same shuffle as the rows below
-    per_group = df.groupBy(*by).agg(
-        F.percentile_approx(order, probs, 1000).alias("_edges"),
-        *[F.sum(c).alias(f"all_{c}") for c in sums],
-    )
-    if by:
-        tagged = df.join(small(per_group), by)
-    else:
-        one = per_group.select(F.struct(*per_group.columns).alias("g")).scalar()
-        tagged = df.withColumn("_g", one).select(
-            *df.columns, "_g._edges", *[f"_g.all_{c}" for c in sums]
-        )
-    tagged = tagged.withColumn(
-        "_range", F.size(F.filter("_edges", lambda e: e < F.col(order)))
-    ).drop("_edges")
-
-    range_order = F.col("_range").desc() if descending else F.col("_range").asc()
-    value_order = F.col(order).desc() if descending else F.col(order).asc()
-    earlier = Window.partitionBy(*by).orderBy(range_order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        tagged.groupBy(*by, "_range")
-        .agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-        .select(*by, "_range", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums])
-    )
-    inner = Window.partitionBy(*by, "_range").orderBy(value_order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    joined = tagged.join(small(offsets), [*by, "_range"])
-    return joined.select(
-        *df.columns,
-        *[f"all_{c}" for c in sums],
-        *[(F.col(f"_o_{c}") + F.sum(c).over(inner)).alias(f"run_{c}") for c in sums],
-    )
+    # stored, so that rows and totals read the very same ranges
+    ranged = stored(df.repartitionByRange(*by, order).withColumn("_range", F.spark_partition_id()), "ranges")
+    way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy(way("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], F.col("_range").alias("_of"),
+        *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        *[F.sum(f"_t_{c}").over(group).alias(f"all_{c}") for c in sums])
+    inner = Window.partitionBy(*by, "_range").orderBy(way(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = ranged.select("*", *[F.sum(c).over(inner).alias(f"_i_{c}") for c in sums])
+    same = F.col("_range") == F.col("_of")
+    for i, b in enumerate(by):
+        same &= F.col(b).eqNullSafe(F.col(f"_by{i}"))
+    return inside.join(offsets, same).select(
+        *df.columns, *[f"all_{c}" for c in sums], *[(F.col(f"_o_{c}") + F.col(f"_i_{c}")).alias(f"run_{c}") for c in sums])

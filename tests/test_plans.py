@@ -52,7 +52,7 @@ def test_ranks_with_a_coarse_sketch(numbers):
 def test_running_totals_equal_a_plain_window(spark, numbers, descending, by):
     _, df = numbers
     steps = df.withColumn("g", F.col("k") % 3).groupBy(*by, "hot").agg(F.count(F.lit(1)).alias("a"), F.sum("few").alias("b"))
-    got = running_totals(steps, by, "hot", ["a", "b"], descending, ranges=5)
+    got = running_totals(steps, by, "hot", ["a", "b"], descending)
     order = F.col("hot").desc() if descending else F.col("hot")
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     want = steps.select(*by, "hot", F.sum("a").over(w).alias("wa"), F.sum("b").over(w).alias("wb"))
@@ -61,6 +61,21 @@ def test_running_totals_equal_a_plain_window(spark, numbers, descending, by):
     assert both.where("run_a <> wa or abs(run_b - wb) > 1e-6").count() == 0
 
 
+def test_running_totals_of_many_groups_and_a_hot_one(spark):
+    """10,000 small groups, a null one, and one with a third of all lines, whose ranges are several."""
+    small = spark.range(30_000).select((F.col("id") % 10_000).cast("string").alias("g"), F.col("id").cast("double").alias("v"), F.lit(1).alias("a"))
+    hot = spark.range(15_000).select(F.lit("hot").alias("g"), (F.col("id") * 0.5).alias("v"), F.lit(2).alias("a"))
+    none = spark.range(7).select(F.lit(None).cast("string").alias("g"), F.col("id").cast("double").alias("v"), F.lit(3).alias("a"))
+    got = running_totals(small.unionAll(hot).unionAll(none), ["g"], "v", ["a"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "ResolvedHint" not in plan and "strategy=broadcast" not in plan
+    checks = got.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("run_a").alias("top"), F.max("all_a").alias("all"), F.count_distinct("run_a").alias("different")).collect()
+    assert len(checks) == 10_002
+    for r in checks:
+        n, each = (15_000, 2) if r["g"] == "hot" else (7, 3) if r["g"] is None else (3, 1)
+        assert (r["n"], r["top"], r["all"], r["different"]) == (n, n * each, n * each, n)
+
+
 def _brute(x, keys, k):
     out = []
     d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)

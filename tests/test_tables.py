@@ -1,8 +1,10 @@
 """Sources, cleaning, features, fitted transforms, rules, drift."""
 import math
+import shutil
 
 import numpy as np
 import pandas as pd
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -119,19 +121,33 @@ def test_constant_column_scales_to_zero(spark):
 def test_unseen_and_missing_categories(spark):
     train = spark.createDataFrame([("b",), ("a",), (None,)], "v string")
     new = spark.createDataFrame([("a",), ("z",), (None,)], "v string")
-    for limit in (100, 1):  # literal codes, and codes from a stored table
-        model = t.CategoryCoder(inline_labels=limit).fit(train)
-        assert sorted(r[0] for r in model.transform(new).collect()) == [-1, 0, 2]
-        last = t.CategoryCoder(unseen="size", inline_labels=limit).fit(train)
-        assert sorted(r[0] for r in last.transform(new).collect()) == [0, 2, 3]
+    model = t.CategoryCoder().fit(train)
+    assert sorted(r[0] for r in model.transform(new).collect()) == [-1, 0, 2]
+    last = t.CategoryCoder(unseen="size").fit(train)
+    assert sorted(r[0] for r in last.transform(new).collect()) == [0, 2, 3]
     assert sorted(r[0] for r in t.dense_codes(new, ["v"]).collect()) == [-1, 0, 1]
 
 
 def test_ranked_labels_over_ranges(spark):
     words = [f"w{i:04d}" for i in range(500)]
-    df = spark.createDataFrame([(w,) for w in words] * 2, "v string").repartition(8)
-    got = {r["label"]: r["code"] for r in t.ranked_labels(df, "v").collect()}
-    assert got == {w: i for i, w in enumerate(words)}
+    rows = [("a", w) for w in words] + [("b", w) for w in words[::3]] + [("c", "x")]
+    got = {(r["feature"], r["label"]): r["code"] for r in t.ranked_labels(spark.createDataFrame(rows, "feature string, label string").repartition(8)).collect()}
+    assert got == {("a", w): i for i, w in enumerate(words)} | {("b", w): i for i, w in enumerate(words[::3])} | {("c", "x"): 0}
+
+
+def test_saved_codes_need_no_scratch_folder(spark, tmp_path):
+    """A chain with 150 labels transforms after the folder it was fitted in is gone; its model folder holds the codes."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    train = spark.createDataFrame([(f"v{i:03d}", f"s{i % 3}") for i in range(150)], "v string, s string")
+    fitted = Pipeline(stages=[t.CategoryCoder()]).fit(train)
+    fitted.write().overwrite().save(str(tmp_path / "model"))
+    shutil.move(fitted.stages[0].learned["v"]["table"], tmp_path / "gone")
+    new = spark.createDataFrame([("v149", "s2"), ("v007", "s0"), ("none", "s9")], "v string, s string")
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    assert [tuple(r) for r in loaded.transform(new).collect()] == [(149, 2), (7, 0), (-1, -1)]
+    loaded.write().overwrite().save(str(tmp_path / "copy"))
+    assert PipelineModel.load(str(tmp_path / "copy")).transform(new).count() == 3
 
 
 def test_outliers_use_train_bounds(spark):
