@@ -7,7 +7,7 @@ from ..session import stored
 from . import query
 from .exploring import QUARTILES, _rounded, union
 
-NUMS = ["Tenure", "WarehouseToHome", "HourSpendOnApp", "OrderCount", "CashbackAmount", "CouponUsed", "SatisfactionScore"]
+NUMS = NUMERIC
 
 HALVES = """, half AS (SELECT avg("CustomerID") AS h FROM cp),
 ref AS (SELECT cp.* FROM cp, half WHERE "CustomerID" < h),
@@ -27,23 +27,23 @@ def halves(spark, sf):
     return cp.where(key < half), new
 
 
-@query("h1_numeric_reference", with_profile(HALVES + union(
+@query("h1_numeric_reference", with_profile(union(
     f"""SELECT '{n}' AS feature, round(avg("{n}"), 5) AS mean, round(stddev_samp("{n}"), 5) AS std, round(min("{n}")::DOUBLE, 5) AS min, round(max("{n}")::DOUBLE, 5) AS max,
-    round(quantile_cont("{n}"::DOUBLE, 0.25), 7) AS q1, round(quantile_cont("{n}"::DOUBLE, 0.5), 7) AS median, round(quantile_cont("{n}"::DOUBLE, 0.75), 7) AS q3 FROM ref""" for n in NUMS)))
+    round(quantile_cont("{n}"::DOUBLE, 0.25), 7) AS q1, round(quantile_cont("{n}"::DOUBLE, 0.5), 7) AS median, round(quantile_cont("{n}"::DOUBLE, 0.75), 7) AS q3 FROM cp""" for n in NUMS)))
 def h1(spark, sf):
-    return _rounded(drift.numeric_reference(halves(spark, sf)[0].select(*NUMS)), 5, **QUARTILES)
+    return _rounded(drift.numeric_reference(stored(customer_profile(spark, sf), "profile").select(*NUMS)), 5, **QUARTILES)
 
 
-@query("h1_category_reference", with_profile(HALVES + union(
-    f"""SELECT '{n}' AS feature, "{n}" AS value, count(*) AS n, round(count(*) / (SELECT count("{n}") FROM ref), 6) AS frequency FROM ref WHERE "{n}" IS NOT NULL GROUP BY 2""" for n in CATEGORICAL)))
+@query("h1_category_reference", with_profile(union(
+    f"""SELECT '{n}' AS feature, "{n}" AS value, count(*) AS n, round(count(*) / (SELECT count("{n}") FROM cp), 6) AS frequency FROM cp WHERE "{n}" IS NOT NULL GROUP BY 2""" for n in CATEGORICAL)))
 def h1_words(spark, sf):
-    return _rounded(drift.category_reference(halves(spark, sf)[0]))
+    return _rounded(drift.category_reference(stored(customer_profile(spark, sf), "profile")))
 
 
-@query("h1_missing_rates", with_profile(HALVES + union(
-    f"""SELECT '{n}' AS "column", round(count(*) FILTER (WHERE "{n}" IS NULL) / count(*), 6) AS missing_rate FROM ref""" for n in NUMS)))
+@query("h1_missing_rates", with_profile(union(
+    f"""SELECT '{n}' AS "column", round(count(*) FILTER (WHERE "{n}" IS NULL) / count(*), 6) AS missing_rate FROM cp""" for n in NUMS)))
 def h1_missing(spark, sf):
-    return _rounded(drift.missing_rates(halves(spark, sf)[0].select(*NUMS)).drop("type"))
+    return _rounded(drift.missing_rates(stored(customer_profile(spark, sf), "profile").select(*NUMS)).drop("type"))
 
 
 @query("h2_h3_schema_drift", """SELECT * FROM (VALUES ('Tenure', 'missing_column', 'double', NULL), ('Age', 'new_column', NULL, 'int'), ('CityTier', 'type_change', 'bigint', 'string'))

@@ -7,7 +7,6 @@ from ..session import stored
 from . import query
 
 ALL = ["CustomerID", *FEATURES, "Churn", "ChurnPlanted"]
-FEW = ["Tenure", "WarehouseToHome", "HourSpendOnApp", "OrderCount", "DaySinceLastOrder", "CashbackAmount", "CouponUsed"]
 
 
 # Quartiles of numbers with four decimals end after six: seven places cannot meet a rounding tie.
@@ -52,24 +51,24 @@ def f3(spark, sf):
 
 
 def _hist(n):
-    width = f"""((SELECT max("{n}") - min("{n}") FROM cp) / 10.0::DOUBLE)"""
-    return f"""SELECT '{n}' AS feature, least(CAST(floor(("{n}" - (SELECT min("{n}") FROM cp)) / {width}) AS INTEGER), 9) AS bin, count(*) AS n
+    width = f"""nullif((SELECT max("{n}") - min("{n}") FROM cp) / 10.0::DOUBLE, 0)"""
+    return f"""SELECT '{n}' AS feature, least(coalesce(CAST(floor(("{n}" - (SELECT min("{n}") FROM cp)) / {width}) AS INTEGER), 0), 9) AS bin, count(*) AS n
     FROM cp WHERE "{n}" IS NOT NULL GROUP BY 2"""
 
 
-@query("f4_histogram", with_profile(union(_hist(n) for n in FEW)))
+@query("f4_histogram", with_profile(union(_hist(n) for n in NUMERIC)))
 def f4(spark, sf):
-    cp = stored(customer_profile(spark, sf).select(*FEW), "profile")
+    cp = stored(customer_profile(spark, sf).select(*NUMERIC), "profile")
     return explore.histogram(cp, bins=10).where("n > 0").select("feature", "bin", "n")
 
 
-@query("f4_density", with_profile(f""", h AS ({union(_hist(n) for n in FEW)}),
- w AS ({union(f'''SELECT '{n}' AS feature, (max("{n}") - min("{n}")) / 10.0::DOUBLE AS width, count("{n}") AS total FROM cp''' for n in FEW)}),
+@query("f4_density", with_profile(f""", h AS ({union(_hist(n) for n in NUMERIC)}),
+ w AS ({union(f'''SELECT '{n}' AS feature, (max("{n}") - min("{n}")) / 10.0::DOUBLE AS width, count("{n}") AS total FROM cp''' for n in NUMERIC)}),
  g AS (SELECT feature, width, total, CAST(b AS INTEGER) AS bin FROM w, range(10) r(b))
- SELECT g.feature, g.bin, round(1e6 * sum(h.n * exp(-0.5 * pow(g.bin - h.bin, 2))) / (sqrt(2 * pi()) * any_value(total) * any_value(width)), 4) AS density_ppm
+ SELECT g.feature, g.bin, round(1e6 * sum(h.n * exp(-0.5 * pow(g.bin - h.bin, 2))) / (sqrt(2 * pi()) * any_value(total) * nullif(any_value(width), 0)), 4) AS density_ppm
  FROM g JOIN h ON h.feature = g.feature GROUP BY g.feature, g.bin"""))
 def f4_density(spark, sf):
-    cp = stored(customer_profile(spark, sf).select(*FEW), "profile")
+    cp = stored(customer_profile(spark, sf).select(*NUMERIC), "profile")
     return explore.histogram(cp, bins=10).select("feature", "bin", F.round(F.col("density") * 1e6, 4).alias("density_ppm"))
 
 
@@ -82,9 +81,9 @@ def _box(n):
     GROUP BY q1, q2, q3"""
 
 
-@query("f5_box_statistics", with_profile(union(_box(n) for n in FEW)))
+@query("f5_box_statistics", with_profile(union(_box(n) for n in NUMERIC)))
 def f5(spark, sf):
-    return _rounded(explore.box_statistics(stored(customer_profile(spark, sf).select(*FEW), "profile")), 5, **QUARTILES)
+    return _rounded(explore.box_statistics(stored(customer_profile(spark, sf).select(*NUMERIC), "profile")), 5, **QUARTILES)
 
 
 def _corr(a, b):
@@ -152,9 +151,9 @@ def f11(spark, sf):
 @query("f12_describe_numeric", with_profile(union(
     f"""SELECT '{n}' AS feature, count("{n}") AS count, round(avg("{n}"), 5) AS mean, round(stddev_samp("{n}"), 5) AS std, round(min("{n}")::DOUBLE, 5) AS min,
     round(quantile_cont("{n}"::DOUBLE, 0.25), 7) AS q1, round(quantile_cont("{n}"::DOUBLE, 0.5), 7) AS median, round(quantile_cont("{n}"::DOUBLE, 0.75), 7) AS q3,
-    round(max("{n}")::DOUBLE, 5) AS max FROM cp""" for n in FEW)))
+    round(max("{n}")::DOUBLE, 5) AS max FROM cp""" for n in NUMERIC)))
 def f12(spark, sf):
-    return _rounded(explore.describe_numeric(stored(customer_profile(spark, sf).select(*FEW), "profile")), 5, **QUARTILES)
+    return _rounded(explore.describe_numeric(stored(customer_profile(spark, sf).select(*NUMERIC), "profile")), 5, **QUARTILES)
 
 
 _COUNTS = union(f"""SELECT '{n}' AS feature, "{n}" AS value, count(*) AS n FROM cp WHERE "{n}" IS NOT NULL GROUP BY 2""" for n in CATEGORICAL)

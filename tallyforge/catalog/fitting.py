@@ -2,12 +2,12 @@
 from pyspark.sql import functions as F
 
 from ..operators import split, transforms as t
-from ..plans.profile import customer_profile, with_profile
+from ..plans.profile import NUMERIC, customer_profile, with_profile
 from ..session import stored
 from . import query
 from .cleaning import rounded
 
-NUMS = ["Tenure", "WarehouseToHome", "HourSpendOnApp", "OrderCount", "DaySinceLastOrder", "CashbackAmount", "CouponUsed"]
+NUMS = NUMERIC
 
 
 def _cp(spark, sf, *columns):
@@ -86,10 +86,11 @@ def d5_bounds(spark, sf):
 
 
 @query("d6_zscore_replace", with_profile(f"""SELECT "CustomerID",
- {_each('round(CASE WHEN abs((@ - (SELECT avg(@) FROM cp)) / (SELECT stddev_samp(@) FROM cp)) <= 2.0 THEN @ ELSE (SELECT avg(@) FROM cp) END, 6) AS @')} FROM cp"""))
+ {_each('round(CASE WHEN (SELECT stddev_samp(@) FROM cp) = 0 THEN @::DOUBLE WHEN abs((@ - (SELECT avg(@) FROM cp)) / (SELECT stddev_samp(@) FROM cp)) <= 2.0 THEN @ ELSE (SELECT avg(@) FROM cp) END, 6) AS @')} FROM cp"""))
 def d6(spark, sf):
     df = _nums(spark, sf)
-    return rounded(t.OutlierLimiter(method="zscore", threshold=2.0, skip=["CustomerID"]).fit(df).transform(df), NUMS, 6)
+    near = t.OutlierLimiter(method="zscore", threshold=2.0, skip=["CustomerID"]).fit(df).transform(df)
+    return rounded(near.withColumns({n: F.col(n).cast("double") for n in NUMS}), NUMS, 6)  # a constant column stays as it is
 
 
 _CODES = """, train AS (SELECT DISTINCT "PreferredLoginDevice" AS v FROM cp WHERE "PreferredLoginDevice" <> 'MACHINERY'),
@@ -136,14 +137,14 @@ def d10(spark, sf):
 
 
 @query("d11_robust_scale", with_profile(f"""SELECT "CustomerID",
- {_each('round((@ - (SELECT quantile_cont(@, 0.5) FROM cp)) / (SELECT quantile_cont(@, 0.75) - quantile_cont(@, 0.25) FROM cp), 6) AS @')} FROM cp"""))
+ {_each('round((@ - (SELECT quantile_cont(@, 0.5) FROM cp)) / (SELECT coalesce(nullif(quantile_cont(@, 0.75) - quantile_cont(@, 0.25), 0), 1) FROM cp), 6) AS @')} FROM cp"""))
 def d11(spark, sf):
     df = _nums(spark, sf)
     return rounded(t.Scaler(kind="robust", skip=["CustomerID"]).fit(df).transform(df), NUMS, 6)
 
 
 _F = " UNION ALL ".join(f"""
-SELECT '{n}' AS feature, round((sum(nc * (mc - mean) * (mc - mean)) / (count(*) - 1)) / (sum(nc * vc) / (sum(nc) - count(*))), 4) AS f_value FROM (
+SELECT '{n}' AS feature, round((sum(nc * (mc - mean) * (mc - mean)) / (count(*) - 1)) / nullif(sum(nc * vc) / (sum(nc) - count(*)), 0), 4) AS f_value FROM (
  SELECT count("{n}") AS nc, avg("{n}") AS mc, var_pop("{n}") AS vc, (SELECT avg("{n}") FROM cp) AS mean FROM cp GROUP BY "ChurnPlanted")""" for n in NUMS)
 
 
@@ -153,7 +154,7 @@ def d12(spark, sf):
     return spark.createDataFrame([(n, v) for n, v in scores.items()], "feature string, f_value double").select("feature", F.round("f_value", 4).alias("f_value"))
 
 
-@query("d12_top_features", with_profile("SELECT feature FROM (" + _F + ") ORDER BY f_value DESC LIMIT 3"))
+@query("d12_top_features", with_profile("SELECT feature FROM (" + _F + ") ORDER BY f_value DESC NULLS LAST LIMIT 3"))
 def d12_top(spark, sf):
     df = _cp(spark, sf, "CustomerID", "ChurnPlanted", *NUMS)
     model = t.FeaturePicker(label="ChurnPlanted", k=3, keep=["CustomerID"]).fit(df)
@@ -161,7 +162,8 @@ def d12_top(spark, sf):
 
 
 def _bin(n):
-    return f"""least(CAST(floor(("{n}" - (SELECT min("{n}") FROM cp)) / (((SELECT max("{n}") FROM cp) - (SELECT min("{n}") FROM cp)) / 10.0::DOUBLE)) AS INTEGER), 9)"""
+    width = f"""nullif(((SELECT max("{n}") FROM cp) - (SELECT min("{n}") FROM cp)) / 10.0::DOUBLE, 0)"""
+    return f"""least(coalesce(CAST(floor(("{n}" - (SELECT min("{n}") FROM cp)) / {width}) AS INTEGER), 0), 9)"""
 
 
 _MI = " UNION ALL ".join(f"""

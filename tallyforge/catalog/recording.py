@@ -173,8 +173,8 @@ def l12_values(spark, sf):
 _ENDS = """, f AS (SELECT model_name, count(*) AS n, arg_min(struct_pack(x := @), day).x AS a, arg_max(struct_pack(x := @), day).x AS b FROM r GROUP BY 1)
 SELECT model_name, n, CASE WHEN n >= 2 AND a IS NOT NULL AND b IS NOT NULL THEN round(a, 6) END AS baseline, CASE WHEN n >= 2 AND a IS NOT NULL AND b IS NOT NULL THEN round(b, 6) END AS current,
  CASE WHEN n >= 2 THEN round(abs(b - a), 6) END AS drift, coalesce(n >= 2 AND abs(b - a) > 0.005, false) AS drift_detected,
- CASE WHEN n < 2 THEN 'Not enough data' WHEN a IS NULL OR b IS NULL THEN 'Missing metric values' ELSE
-  'Drift: ' || printf('%.4f', round(abs(b - a), 4)) || CASE WHEN abs(b - a) > 0.005 THEN ' (ALERT)' ELSE ' (OK)' END END AS message FROM f"""
+ CASE WHEN n < 2 THEN 'fewer than two values' WHEN a IS NULL OR b IS NULL THEN 'a value is missing' ELSE
+  'moved by ' || printf('%.4f', round(abs(b - a), 4)) || CASE WHEN abs(b - a) > 0.005 THEN ', too far' ELSE '' END END AS message FROM f"""
 
 
 def _history(spark, sf):

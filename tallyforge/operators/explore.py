@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c, melt, missing_cells, numeric_columns, row_digest, string_columns
 from ..plans.quantiles import exact_quantiles
+from ..session import stored
 
 
 def _table(spark, rows, schema):
@@ -161,10 +162,12 @@ def _correlate(df, pairs):
     columns = list(dict.fromkeys(n for p in pairs for n in p))
     if not columns:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
-    x = df.select(*[c(n).cast("double").alias(n) for n in columns])
+    # stored, as two passes read it; so are the sums, one line per pair of columns, which meet themselves below
+    x = stored(df.select(*[c(n).cast("double").alias(n) for n in columns]), "numbers")
     middle = x.agg(*[F.coalesce((F.min(c(n)) + F.max(c(n))) / 2, F.lit(0.0)) for n in columns]).first()
     task = _cross_products(columns, np.array(list(middle), float))
-    sums = x.mapInArrow(task, "i long, j long, n double, x double, xy double, xx double").groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in ("n", "x", "xy", "xx")])
+    sums = x.mapInArrow(task, "i long, j long, n double, x double, xy double, xx double")
+    sums = stored(sums.groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in ("n", "x", "xy", "xx")]), "sums")
     wanted = df.sparkSession.createDataFrame([(columns.index(a), columns.index(b), a, b) for a, b in pairs], "i long, j long, column_a string, column_b string")
     other = sums.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("x").alias("y"), F.col("xx").alias("yy"))
     both = wanted.join(sums, ["i", "j"]).join(other, ["i", "j"])

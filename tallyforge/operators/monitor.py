@@ -114,8 +114,8 @@ def performance_drift(history, metric="f1", threshold=0.05):
     return ends.select(
         "model_name", "n", F.when(usable, F.col("a.x")).alias("baseline"), F.when(usable, F.col("b.x")).alias("current"),
         F.when(usable, gap).alias("drift"), F.coalesce(usable & (gap > threshold), F.lit(False)).alias("drift_detected"),
-        F.when(few, "Not enough data").when(~known, "Missing metric values")
-        .otherwise(F.concat(F.lit("Drift: "), F.format_number(gap, 4), F.when(gap > threshold, " (ALERT)").otherwise(" (OK)"))).alias("message"),
+        F.when(few, "fewer than two values").when(~known, "a value is missing")
+        .otherwise(F.concat(F.lit("moved by "), F.format_number(gap, 4), F.when(gap > threshold, ", too far").otherwise(""))).alias("message"),
     )
 
 

@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 BUFFER_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 SEARCHES_PER_PASS = 16
@@ -136,8 +138,10 @@ def exact_quantiles(df, columns, probs, buffer_rows=BUFFER_ROWS):
             out += [math.floor(h), math.ceil(h)]
         return out
 
-    wanted = {c: (F.col(f"`{c}`").cast("double"), ranks) for c in columns}
-    found = values_at_ranks(df, wanted, buffer_rows)
+    wanted = {c: (F.col(f"_{i}"), ranks) for i, c in enumerate(columns)}
+    # the passes read the wanted columns alone, not the plan that leads to them
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    found = values_at_ranks(stored(numbers, "numbers") if columns else df, wanted, buffer_rows)
     result = {}
     for c in columns:
         n, at = found[c]

@@ -178,11 +178,11 @@ def test_monitor_store(spark, raw, tmp_path):
     assert store.run_info(run) == {"metrics": {"f1": "0.2", "acc": "1"}}
 
     store.log_performance("tree", {"f1": 0.9}, now=at)
-    assert monitor.performance_drift(store.history("tree")).first()["message"] == "Not enough data"
+    assert monitor.performance_drift(store.history("tree")).first()["message"] == "fewer than two values"
     store.log_performance("tree", {"f1": 0.8}, now=at + dt.timedelta(days=1))
     found = monitor.performance_drift(store.history("tree")).first()
     assert found["drift_detected"] and found["drift"] == pytest.approx(0.1)
-    assert monitor.performance_drift(store.history("tree"), "recall").first()["message"] == "Missing metric values"
+    assert monitor.performance_drift(store.history("tree"), "recall").first()["message"] == "a value is missing"
 
     assert store.create_alert("tree", "drift", "m") and not store.create_alert("tree", "drift", "m")
     assert store.create_alert("tree", "drift", "other") and store.alerts.count() == 2
