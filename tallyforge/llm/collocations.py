@@ -3,17 +3,22 @@
 A task numbers the words of its texts, sorts the places of the sequence by the words that follow (as many as a phrase may
 have), and keeps the words in front of the sorted places: the Burrows-Wheeler transform, once for the sequence and once
 for its reverse. A phrase is an interval of each. Extending an interval to the left reads the transform of the sequence,
-to the right that of the reverse, and both ends stay in step. Local counts are summed across shards; only phrases that
-are frequent everywhere together are extended again.
+to the right that of the reverse, and both ends stay in step.
+
+Local counts are summed across shards twice. First by 32-bit hash of the phrase, for pairs and then for longer phrases all
+of whose pairs may be frequent; hashes with enough occurrences become bits of a table of fixed size. A phrase whose bit is
+not set is not frequent; the others are enumerated again and summed by their words, which decides.
 """
 from __future__ import annotations
 
 import sys
 import zlib
 from array import array
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -22,8 +27,9 @@ from tallyforge.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SHARD = 1 << 21  # words of a shard; it ends with a piece of text
+SHARD = 1 << 20  # words of a shard; it ends with a piece of text. So three numbers below twice that fit into 63 bits (_order)
 LINES = 1 << 16  # lines that leave a task at once
+BITS = 1 << 27  # bits of the table of hashes: 16 MB, whatever the size of the corpus
 # Fixed value: characters that end a piece of text. Words are separated by spaces and tabs.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _LINE = bytes.maketrans(ENDS, b"\n" * len(ENDS))
@@ -42,21 +48,30 @@ class _Numbers(dict):
         return n
 
 
+def _order(high, low):
+    """Places in the order of (high, low, place). One number holds all three, as sorting numbers is far cheaper than places."""
+    bits = [max(1, int(x).bit_length()) for x in (low.max(initial=0), len(low))]
+    if int(high.max(initial=0)).bit_length() + sum(bits) > 63:
+        return np.lexsort((low, high))
+    key = (high.astype(np.int64) << sum(bits)) | (low.astype(np.int64) << bits[1]) | np.arange(len(low))
+    key.sort()
+    return key & ((1 << bits[1]) - 1)
+
+
 def sorted_places(s, depth):
     """Places of ``s`` in the order of the next ``depth`` symbols; symbol 0 is the smallest and follows the end."""
     rank, width = s, 1
-    while width < depth:
+    while True:
         step = min(width, depth - width)
-        after = np.concatenate([rank[step:], np.zeros(min(step, len(rank)), rank.dtype)])
-        key = rank.astype(np.int64) * (int(rank.max()) + 1) + after
-        order = np.argsort(key, kind="stable")
+        after = np.concatenate([rank[step:], np.zeros(min(step, len(rank)), rank.dtype)]) if step else np.zeros(len(rank), rank.dtype)
+        order = _order(rank, after)
         if width + step >= depth:
             return order
-        new = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
+        first, second = rank[order], after[order]
+        new = np.cumsum(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
         rank = np.empty(len(s), np.int64)
-        rank[order] = new + 1  # the end, 0, stays below all
+        rank[order] = new  # from 1: the end, 0, stays below all
         width += step
-    return np.argsort(rank, kind="stable")
 
 
 def transform(s, depth):
@@ -66,8 +81,8 @@ def transform(s, depth):
 
 def steps(bwt):
     """Where the place in front of each sorted place is sorted itself: counts of smaller symbols and ranks among equals in one."""
-    out = np.empty(len(bwt), np.int64)
-    out[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
+    out = np.empty(len(bwt), np.int32 if len(bwt) < 1 << 31 else np.int64)
+    out[_order(bwt, np.zeros(len(bwt), np.int32))] = np.arange(len(bwt))
     return out
 
 
@@ -81,11 +96,10 @@ def extended(bwt, step, low, n):
     owner = np.repeat(np.arange(len(n)), n)
     place = np.arange(len(owner)) - np.repeat(first - low, n)
     symbol = bwt[place].astype(np.int64)
-    key = owner * (int(bwt.max(initial=0)) + 1) + symbol
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.append(start, len(key)))
+    order = _order(owner, symbol)
+    by_owner, by_symbol = owner[order], symbol[order]
+    start = np.flatnonzero(np.concatenate([[len(order) > 0], (by_owner[1:] != by_owner[:-1]) | (by_symbol[1:] != by_symbol[:-1])]))
+    count = np.diff(np.append(start, len(order)))
     at = order[start]
     kept = symbol[at] > 0
     start, count, at = start[kept], count[kept], at[kept]
@@ -144,96 +158,170 @@ def index(docs, text="text", lang="lang", depth=5):
     return rows.mapInArrow(build, "shard long, vocabulary array<struct<lang string, word string, n long>>, bwt binary, reverse binary")
 
 
-def _with_index(blobs, lines):
-    """One order for each shard in a task: its index, then its lines. ``blobs``: shard, bwt, reverse; ``lines``: shard and numbers."""
-    spark = blobs.sparkSession
-    both = blobs.withColumn("kind", F.lit(0)).unionByName(lines.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return both.repartition(parts, "shard").sortWithinPartitions("shard", "kind").drop("kind")
+def _word_hash(salt, lang, word):
+    """The hash that Spark's xxhash64 gives of the three strings."""
+    seed = 42
+    for x in (salt, lang, word):
+        seed = xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), seed)
+    return seed
+
+
+def _folded(h, words):
+    """Hash of phrases from the hash of all but their last word and the hash of that word."""
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+
+
+class _Shard:
+    """The index of one shard, and the phrases in it."""
+
+    def __init__(self, vocabulary, bwt, reverse, salt):
+        self.bwt, self.reverse = _unpacked(bwt), _unpacked(reverse)
+        langs, words = vocabulary.flatten()
+        self.hashes = np.array([0, *[_word_hash(salt, a, b) for a, b in zip(langs.to_pylist(), words.to_pylist())]], np.uint64)
+
+    def phrases(self, depth, wanted):
+        """(symbols, count, hash) of the phrases of 2 to ``depth`` words, size by size.
+
+        ``wanted`` tells which hashes go on; a phrase is extended only where both the phrase without its first word and
+        that without its last one went on.
+        """
+        size = np.bincount(self.bwt, minlength=len(self.hashes))
+        low = (np.cumsum(size) - size)[1:]
+        symbols, n, back = np.arange(1, len(self.hashes))[:, None], size[1:], low
+        h = _folded(np.zeros(len(n), np.uint64), self.hashes[1:])
+        step = steps(self.bwt)
+        other = steps(self.reverse) if depth > 2 else None
+        for k in range(2, depth + 1):
+            end, first, count, new, offset = extended(self.bwt, step, low, n)
+            if k == 2:
+                symbols, h = np.stack([first, symbols[end, 0]], 1), _folded(h[first - 1], self.hashes[symbols[end, 0]])
+                n, low, back = count, new, back[end] + offset
+            else:
+                start, last, count, back_new, offset = extended(self.reverse, other, back, n)
+                # A longer phrase is both the start that goes on and the end that is led up to: its interval is the same.
+                _, r, e = np.intersect1d(low[start] + offset, new, assume_unique=True, return_indices=True)
+                symbols, h = np.concatenate([symbols[start[r]], last[r, None]], 1), _folded(h[start[r]], self.hashes[last[r]])
+                n, low, back = count[r], new[e], back_new[r]
+            keep = wanted(h)
+            symbols, n, low, back, h = symbols[keep], n[keep], low[keep], back[keep], h[keep]
+            yield symbols, n, h
+            if not len(n):
+                return
 
 
-def _shards(batches, names):
-    """(shard, bwt, reverse, numbers of its lines as columns) of each shard that has lines, from rows in order."""
-    shard, blobs, parts = None, (None, None), []
+def _shards(batches, salt):
     for batch in batches:
-        at = batch.column("shard").to_numpy()
-        cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
-        for lo, hi in zip(cuts, cuts[1:]):
-            if at[lo] != shard:
-                if parts:
-                    yield (shard, *blobs, np.concatenate(parts, 1))
-                shard, parts = at[lo], []
-                blobs = batch.column("bwt")[lo].as_py(), batch.column("reverse")[lo].as_py()
-                lo += 1
-            if hi > lo:
-                parts.append(np.stack([batch.column(c).slice(lo, hi - lo).to_numpy() for c in names]))
-    if parts:
-        yield (shard, *blobs, np.concatenate(parts, 1))
-
-
-def _pairs(batches):
-    """Pairs of neighbours that are both among the shard's lines (symbol, id): their ids, local count and intervals."""
-    for shard, blob, _, (symbol, ids) in _shards(batches, ("symbol", "id")):
-        bwt = _unpacked(blob)
-        size = np.bincount(bwt, minlength=int(symbol.max()) + 1)
-        low = np.cumsum(size) - size
-        known = np.full(len(size), -1, np.int64)
-        known[symbol] = ids
-        owner, left, n, new, offset = extended(bwt, steps(bwt), low[symbol], size[symbol])
-        good = known[left] >= 0
-        owner, left, n, new, offset = owner[good], left[good], n[good], new[good], offset[good]
-        columns = [np.full(len(n), shard), known[left], ids[owner], n, new, low[symbol][owner] + offset]
-        for lo in range(0, len(n), LINES):
-            yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + LINES], pa.int64()) for c in columns], names=["shard", "first", "second", "n", "low", "reverse_low"])
-
-
-def _longer(depth):
-    def longer(batches):
-        """Phrases of 3 to ``depth`` words all of whose pairs are among the shard's lines: their ids and local count."""
-        for _, blob, other, (first, second, n, low, reverse_low) in _shards(batches, ("first", "second", "n", "low", "reverse_low")):
-            bwt, reverse = _unpacked(blob), _unpacked(other)
-            step, back = steps(bwt), steps(reverse)
-            ids = np.stack([first, second], 1)
-            for size in range(3, depth + 1):
-                start, _, count, reverse_new, offset = extended(reverse, back, reverse_low, n)
-                end, _, _, new, _ = extended(bwt, step, low, n)
-                # A longer phrase is both the start that goes on and the end that is led up to: its interval is the same.
-                right_low = low[start] + offset
-                new, r, e = np.intersect1d(right_low, new, assume_unique=True, return_indices=True)
-                ids = np.concatenate([ids[start[r]], ids[end[e], -1:]], 1)
-                n, low, reverse_low = count[r], new, reverse_new[r]
+        for i in range(batch.num_rows):
+            yield _Shard(batch.column(0)[i].values, batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), salt)
+
+
+def _bucket(h):
+    return (h >> np.uint64(32)).astype(np.uint32)
+
+
+@contextmanager
+def _few_shards(spark):
+    """Jobs inside hand a task two shards at once, not the default number of rows: the line of a shard has megabytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
+def _table(hashed, least):
+    """Which hashes have enough occurrences: one bit for all that are equal modulo BITS, broadcast as an array.
+
+    ``hashed``: bucket and n. At most BITS / 64 numbers come to the driver.
+    """
+    spark = hashed.sparkSession
+    often = hashed.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    slot = F.pmod(F.col("bucket"), F.lit(BITS))
+    cells = often.groupBy((slot / 64).cast("int").alias("cell")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(bucket, {BITS}) % 64 as int))")).alias("bits"))
+    with _few_shards(spark):
+        cells = stored(cells, "cells")
+    cells, table = cells.toArrow(), np.zeros(BITS // 64, np.int64)
+    table[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+    return spark.sparkContext.broadcast(table)
+
+
+def _in_table(table, h):
+    slot = _bucket(h).astype(np.int64) % (64 * len(table))
+    return (table[slot >> 6] >> (slot & 63)) & 1 == 1
+
+
+def _everything(h):
+    return np.ones(len(h), bool)
+
+
+def _hashed(shards, depth, salt, pairs=None):
+    """Local counts by hash, of pairs, or of the phrases of 3 to ``depth`` words whose pairs are in the table ``pairs``."""
+    def enumerate_(batches):
+        allowed = pairs.value if pairs else None
+        for shard in _shards(batches, salt):
+            if allowed is not None:
+                # Only pairs are looked up: longer phrases are all of unknown frequency.
+                level = iter([lambda h: _in_table(allowed, h)])
+                found = list(shard.phrases(depth, lambda h: next(level, _everything)(h)))[1:]
+            else:
+                found = shard.phrases(2, _everything)
+            for _, n, h in found:
+                for lo in range(0, len(n), LINES):
+                    yield pa.RecordBatch.from_arrays([pa.array(_bucket(h[lo : lo + LINES]).view(np.int32)), pa.array(n[lo : lo + LINES], pa.int64())], names=["bucket", "n"])
+
+    return _read(shards).mapInArrow(enumerate_, "bucket int, n long")
+
+
+def _read(shards):
+    """What the enumeration needs of the index; word counts stay in the files."""
+    return shards.select("vocabulary.lang", "vocabulary.word", "bwt", "reverse").select(F.arrays_zip("lang", "word"), "bwt", "reverse")
+
+
+def _exact(shards, depth, salt, pairs, longer):
+    """Local counts of the phrases whose hashes are in the tables: key (hashes of the words) and n."""
+    def enumerate_(batches):
+        allowed = [pairs.value, *[longer.value if longer else None] * (depth - 2)]
+        for shard in _shards(batches, salt):
+            level = iter(allowed)
+            for symbols, n, _ in shard.phrases(depth, lambda h: _in_table(next(level), h)):
+                words, size = shard.hashes[symbols].view(np.int64), symbols.shape[1]
                 for lo in range(0, len(n), LINES):
-                    some = ids[lo : lo + LINES]
+                    some = words[lo : lo + LINES]
                     key = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * size, pa.int32()), pa.array(some.ravel(), pa.int64()))
                     yield pa.RecordBatch.from_arrays([key, pa.array(n[lo : lo + LINES], pa.int64())], names=["key", "n"])
-                if not len(n):
-                    break
-    return longer
+
+    return _read(shards).mapInArrow(enumerate_, "key array<long>, n long")
 
 
 def frequent_phrases(docs, text="text", lang="lang", least=100, longest=5):
     """(phrases, words, totals) of each language.
 
     phrases: key (ids of its words) and f, for phrases of one to ``longest`` words with at least ``least`` occurrences
-    inside pieces, overlaps included; words: id, lang, word; totals: lang and n, all word occurrences.
+    inside pieces, overlaps included; words: id, lang, word, f; totals: lang and n, all word occurrences.
     """
     shards = stored(index(docs, text, lang, longest), "fm-index")
-    local = shards.select("shard", F.posexplode("vocabulary").alias("at", "w")).select("shard", (F.col("at") + 1).cast("long").alias("symbol"), "w.lang", "w.word", "w.n")
-    totals = stored(local.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    words = local.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words = stored(words.withColumn("id", F.monotonically_increasing_id()), "frequent-words")
+    local = shards.select(F.explode("vocabulary").alias("w")).select("w.lang", "w.word", "w.n")
+    counts = stored(local.groupBy("lang", "word").agg(F.sum("n").alias("f")), "word-counts")
+    totals = stored(counts.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    salt = 0
+    while True:  # ends: another salt, other hashes
+        hashed = counts.withColumn("id", F.xxhash64(F.lit(str(salt)), "lang", "word"))
+        if hashed.groupBy("id").count().where("count > 1").isEmpty():
+            break
+        salt += 1
+    words = stored(hashed.where(F.col("f") >= least), "frequent-words")
     phrases = words.select(F.array("id").alias("key"), "f")
     if longest > 1:
-        blobs = shards.select("shard", "bwt", F.lit(None).cast("binary").alias("reverse"))
-        known = local.join(words.select("lang", "word", "id"), ["lang", "word"]).select("shard", "symbol", "id")
-        pairs = _with_index(blobs, known).mapInArrow(_pairs, "shard long, first long, second long, n long, low long, reverse_low long")
-        all_of = F.sum("n").over(Window.partitionBy("first", "second"))
-        pairs = stored(pairs.withColumn("f", all_of).where(F.col("f") >= least), "frequent-pairs")
-        phrases = phrases.unionByName(pairs.groupBy("first", "second").agg(F.first("f").alias("f")).select(F.array("first", "second").alias("key"), "f"))
-    if longest > 2:
-        lines = _with_index(shards.select("shard", "bwt", "reverse"), pairs.drop("f")).mapInArrow(_longer(longest), "key array<long>, n long")
-        phrases = phrases.unionByName(lines.groupBy("key").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
-    return stored(phrases, "phrases"), words, totals
+        pairs = _table(_hashed(shards, 2, str(salt)), least)
+        longer = _table(_hashed(shards, longest, str(salt), pairs), least) if longest > 2 else None
+        exact = _exact(shards, longest, str(salt), pairs, longer).groupBy("key").agg(F.sum("n").alias("f"))
+        phrases = phrases.unionByName(exact.where(F.col("f") >= least))
+    with _few_shards(docs.sparkSession):
+        phrases = stored(phrases, "phrases")
+    return phrases, words, totals
 
 
 def scored(phrases, words, totals):

@@ -77,6 +77,20 @@ def test_intervals_count_every_phrase():
         assert {p: v[2] for p, v in left.items()} == want
 
 
+def test_a_full_table_of_hashes_loses_nothing(frame, hard, monkeypatch):
+    """With 128 bits for all phrases nearly every bit is set; the exact sums decide."""
+    monkeypatch.setattr(collocations, "BITS", 128)
+    rows = hard + [(i, t) for i, t in enumerate(corpus(4))]
+    got = {tuple(r) for r in collocations.collocations(frame(rows).repartition(3), least=12).collect()}
+    assert got == plain([(["en", "de", None][i % 3], t) for i, (_, t) in enumerate(rows)], 12)
+
+
+def test_word_hashes_are_those_of_spark(spark):
+    rows = [("en", "word"), ("und", "漢 字"), ("", ""), ("de", "x" * 100)]
+    got = spark.createDataFrame(rows, "a string, b string").selectExpr("a", "b", "xxhash64('7', a, b) h").collect()
+    assert all(r.h == collocations._word_hash("7", r.a, r.b) - (1 << 64 if collocations._word_hash("7", r.a, r.b) >> 63 else 0) for r in got)
+
+
 def test_products_beyond_64_bits(spark):
     a, n, left, right = 7_000_000_000_001, 90_000_000_000_007, 8_000_000_000_003, 7_000_000_000_005
     phrases = spark.createDataFrame([([1], left), ([2], right), ([1, 2], a)], "key array<long>, f long")
