@@ -117,8 +117,8 @@ def _unpacked(blob):
 _WORDS = pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
 
 
-def index(docs, text="text", lang="lang", depth=5):
-    """The FM-indexes of ``docs``, a line per shard: shard, vocabulary (language, word and count of symbols 1, 2, ...), bwt, reverse.
+def index(docs, text="text", lang="lang", depth=5, salt="0"):
+    """The FM-indexes of ``docs``, a line per shard: shard, vocabulary (language, word and count of symbols 1, 2, ...), hashes (of these words), bwt, reverse.
 
     Texts are lower-cased in A-Z and split at ``ENDS`` into pieces and these at spaces and tabs into words; every piece
     ends with symbol 0. Null texts are empty, a null language is ``und``, repeated rows count each. A shard ends after
@@ -133,9 +133,10 @@ def index(docs, text="text", lang="lang", depth=5):
             n = np.bincount(symbols, minlength=len(vocabulary) + 1)[1:]
             words = pa.StructArray.from_arrays([
                 pa.array([v[0] for v in vocabulary], pa.string()), pa.array([v[1].decode() for v in vocabulary], pa.string()), pa.array(n, pa.int64())], fields=list(_WORDS.value_type))
+            hashes = np.array([_word_hash(salt, a.encode("utf-8", "surrogatepass"), b) for a, b in vocabulary], np.uint64)
             return pa.RecordBatch.from_arrays([
-                pa.array([part << 32 | number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                pa.array([_packed(transform(symbols, depth))], pa.binary()), pa.array([_packed(transform(symbols[::-1], depth))], pa.binary())], names=["shard", "vocabulary", "bwt", "reverse"])
+                pa.array([part << 32 | number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.array([hashes.tobytes()], pa.binary()),
+                pa.array([_packed(transform(symbols, depth))], pa.binary()), pa.array([_packed(transform(symbols[::-1], depth))], pa.binary())], names=["shard", "vocabulary", "hashes", "bwt", "reverse"])
 
         for batch in batches:
             for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -155,15 +156,12 @@ def index(docs, text="text", lang="lang", depth=5):
             yield line()
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    return rows.mapInArrow(build, "shard long, vocabulary array<struct<lang string, word string, n long>>, bwt binary, reverse binary")
+    return rows.mapInArrow(build, "shard long, vocabulary array<struct<lang string, word string, n long>>, hashes binary, bwt binary, reverse binary")
 
 
 def _word_hash(salt, lang, word):
-    """The hash that Spark's xxhash64 gives of the three strings."""
-    seed = 42
-    for x in (salt, lang, word):
-        seed = xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), seed)
-    return seed
+    """The hash that Spark's xxhash64 gives of three strings; language and word as bytes."""
+    return xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(lang, xxhash.xxh64_intdigest(salt, 42)))
 
 
 def _folded(h, words):
@@ -175,10 +173,9 @@ def _folded(h, words):
 class _Shard:
     """The index of one shard, and the phrases in it."""
 
-    def __init__(self, vocabulary, bwt, reverse, salt):
+    def __init__(self, hashes, bwt, reverse):
         self.bwt, self.reverse = _unpacked(bwt), _unpacked(reverse)
-        langs, words = vocabulary.flatten()
-        self.hashes = np.array([0, *[_word_hash(salt, a, b) for a, b in zip(langs.to_pylist(), words.to_pylist())]], np.uint64)
+        self.hashes = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(hashes, np.uint64)])
 
     def phrases(self, depth, wanted):
         """(symbols, count, hash) of the phrases of 2 to ``depth`` words, size by size.
@@ -210,10 +207,10 @@ class _Shard:
                 return
 
 
-def _shards(batches, salt):
+def _shards(batches):
     for batch in batches:
         for i in range(batch.num_rows):
-            yield _Shard(batch.column(0)[i].values, batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), salt)
+            yield _Shard(*[batch.column(c)[i].as_py() for c in range(3)])
 
 
 def _bucket(h):
@@ -257,11 +254,11 @@ def _everything(h):
     return np.ones(len(h), bool)
 
 
-def _hashed(shards, depth, salt, pairs=None):
+def _hashed(shards, depth, pairs=None):
     """Local counts by hash, of pairs, or of the phrases of 3 to ``depth`` words whose pairs are in the table ``pairs``."""
     def enumerate_(batches):
         allowed = pairs.value if pairs else None
-        for shard in _shards(batches, salt):
+        for shard in _shards(batches):
             if allowed is not None:
                 # Only pairs are looked up: longer phrases are all of unknown frequency.
                 level = iter([lambda h: _in_table(allowed, h)])
@@ -272,19 +269,14 @@ def _hashed(shards, depth, salt, pairs=None):
                 for lo in range(0, len(n), LINES):
                     yield pa.RecordBatch.from_arrays([pa.array(_bucket(h[lo : lo + LINES]).view(np.int32)), pa.array(n[lo : lo + LINES], pa.int64())], names=["bucket", "n"])
 
-    return _read(shards).mapInArrow(enumerate_, "bucket int, n long")
+    return shards.select("hashes", "bwt", "reverse").mapInArrow(enumerate_, "bucket int, n long")
 
 
-def _read(shards):
-    """What the enumeration needs of the index; word counts stay in the files."""
-    return shards.select("vocabulary.lang", "vocabulary.word", "bwt", "reverse").select(F.arrays_zip("lang", "word"), "bwt", "reverse")
-
-
-def _exact(shards, depth, salt, pairs, longer):
+def _exact(shards, depth, pairs, longer):
     """Local counts of the phrases whose hashes are in the tables: key (hashes of the words) and n."""
     def enumerate_(batches):
         allowed = [pairs.value, *[longer.value if longer else None] * (depth - 2)]
-        for shard in _shards(batches, salt):
+        for shard in _shards(batches):
             level = iter(allowed)
             for symbols, n, _ in shard.phrases(depth, lambda h: _in_table(next(level), h)):
                 words, size = shard.hashes[symbols].view(np.int64), symbols.shape[1]
@@ -293,7 +285,7 @@ def _exact(shards, depth, salt, pairs, longer):
                     key = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * size, pa.int32()), pa.array(some.ravel(), pa.int64()))
                     yield pa.RecordBatch.from_arrays([key, pa.array(n[lo : lo + LINES], pa.int64())], names=["key", "n"])
 
-    return _read(shards).mapInArrow(enumerate_, "key array<long>, n long")
+    return shards.select("hashes", "bwt", "reverse").mapInArrow(enumerate_, "key array<long>, n long")
 
 
 def frequent_phrases(docs, text="text", lang="lang", least=100, longest=5):
@@ -302,22 +294,22 @@ def frequent_phrases(docs, text="text", lang="lang", least=100, longest=5):
     phrases: key (ids of its words) and f, for phrases of one to ``longest`` words with at least ``least`` occurrences
     inside pieces, overlaps included; words: id, lang, word, f; totals: lang and n, all word occurrences.
     """
-    shards = stored(index(docs, text, lang, longest), "fm-index")
-    local = shards.select(F.explode("vocabulary").alias("w")).select("w.lang", "w.word", "w.n")
-    counts = stored(local.groupBy("lang", "word").agg(F.sum("n").alias("f")), "word-counts")
-    totals = stored(counts.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     salt = 0
-    while True:  # ends: another salt, other hashes
+    while True:
+        shards = stored(index(docs, text, lang, longest, str(salt)), "fm-index")
+        local = shards.select(F.explode("vocabulary").alias("w")).select("w.lang", "w.word", "w.n")
+        counts = stored(local.groupBy("lang", "word").agg(F.sum("n").alias("f")), "word-counts")
         hashed = counts.withColumn("id", F.xxhash64(F.lit(str(salt)), "lang", "word"))
         if hashed.groupBy("id").count().where("count > 1").isEmpty():
             break
-        salt += 1
+        salt += 1  # another salt, other hashes: all words differ in theirs
+    totals = stored(counts.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     words = stored(hashed.where(F.col("f") >= least), "frequent-words")
     phrases = words.select(F.array("id").alias("key"), "f")
     if longest > 1:
-        pairs = _table(_hashed(shards, 2, str(salt)), least)
-        longer = _table(_hashed(shards, longest, str(salt), pairs), least) if longest > 2 else None
-        exact = _exact(shards, longest, str(salt), pairs, longer).groupBy("key").agg(F.sum("n").alias("f"))
+        pairs = _table(_hashed(shards, 2), least)
+        longer = _table(_hashed(shards, longest, pairs), least) if longest > 2 else None
+        exact = _exact(shards, longest, pairs, longer).groupBy("key").agg(F.sum("n").alias("f"))
         phrases = phrases.unionByName(exact.where(F.col("f") >= least))
     with _few_shards(docs.sparkSession):
         phrases = stored(phrases, "phrases")
