@@ -1,10 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Token counts by cell (source, language, topic) are raked until their margins meet the targets; each cell's ratio of
-raked to present tokens becomes, after one common factor, the probability to sample its documents.
+Token counts by cell (source, language, topic) are raked until their margins meet the targets, and no cell gives more tokens
+than it has; the ratio of raked to present tokens is the probability to sample the documents of a cell.
 """
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm.text import whole, words
@@ -59,67 +60,81 @@ def target_shares(cells, targets):
     return out
 
 
-def rake(cells, targets, tolerance=1e-5, most_rounds=50):
-    """Cells (source, lang, topic, tokens) with raked shares in ``weight``; cells without tokens stay at 0.
+def _filled(cells, dimension, shares, wanted):
+    """``cells`` with weights scaled so that the margins of one dimension meet ``wanted`` times their targets.
 
-    Each round scales the cells to the targets of one dimension after the other and is written to the shared folder.
-    Ends when no margin is off by more than ``tolerance`` or after ``most_rounds`` (margins that empty cells make
-    unreachable).
+    No weight exceeds the cell's tokens: the cells of a value are scaled by one factor f and trimmed, and f is the one with
+    sum(least(tokens, f * weight)) = target. With cells in the order of tokens / weight that sum is the least of lines, one
+    for each number of trimmed cells, so f is the greatest of the factors at which they reach the target.
+    """
+    group = Window.partitionBy(dimension)
+    before = group.orderBy(F.col("tokens") / F.col("weight"), *DIMENSIONS).rowsBetween(Window.unboundedPreceding, -1)
+    target = F.col("target") * F.lit(float(wanted))
+    with_target = cells.join(shares[dimension], dimension)
+    placed = with_target.select("*", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("_full"),
+                                (F.sum("weight").over(group) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))).alias("_open"))
+    factor = F.max(F.when(F.col("_open") > 0, (target - F.col("_full")) / F.col("_open"))).over(group)
+    return placed.select("*", factor.alias("_factor")).select(*DIMENSIONS, "tokens", F.least(F.col("tokens").cast("double"), F.col("_factor") * F.col("weight")).alias("weight"))
+
+
+def _gap(cells, shares, wanted):
+    """Largest difference of a margin from its target, as a share of all sampled tokens."""
+    off = None
+    for d in DIMENSIONS:
+        sums = cells.groupBy(d).agg(F.sum("weight").alias("sum")).join(shares[d], d)
+        gap = sums.select(F.abs(F.col("sum") / F.lit(float(wanted)) - F.col("target")).alias("gap"))
+        off = gap if off is None else off.unionAll(gap)
+    return off.agg(F.max("gap")).first()[0] or 0.0
+
+
+def rake(cells, targets, share=1.0, tolerance=1e-5, most_rounds=60, least_share=0.01):
+    """(cells, share): cells (source, lang, topic, tokens) with ``weight``, the tokens to sample; cells without tokens are left out.
+
+    The margins of the weights are ``share`` of all tokens times the targets, to ``tolerance``, and no cell gives more
+    tokens than it has. Each round fills the targets of one dimension after the other (:func:`_filled`), and every fifth
+    is written to the shared folder. Where a value has fewer tokens than ``share`` asks for, ``share`` is lowered to what
+    it has; where the margins don't come together in ``most_rounds``, it is lowered by a tenth and raking starts anew. Below
+    ``least_share`` targets count as contradictory: an error.
     """
     shares = target_shares(cells, targets)
-    total = cells.agg(F.sum("tokens")).first()[0]
-    now = stored(cells.withColumn("weight", F.col("tokens") / F.lit(float(total or 1))), "cells")
-    for _ in range(most_rounds if total else 0):
-        frame = now
-        for d in DIMENSIONS:
-            sums = frame.groupBy(d).agg(F.sum("weight").alias("sum")).join(shares[d], d)
-            frame = frame.join(sums.select(d, (F.col("target") / F.col("sum")).alias("factor")), d, "left")
-            frame = frame.withColumn("weight", F.col("weight") * F.coalesce("factor", F.lit(1.0))).drop("factor")
-        now = stored(frame, "cells")
-        off = None
-        for d in DIMENSIONS:
-            gap = now.groupBy(d).agg(F.sum("weight").alias("sum")).join(shares[d], d).select(F.abs(F.col("sum") - F.col("target")).alias("gap"))
-            off = gap if off is None else off.union(gap)
-        if (off.agg(F.max("gap")).first()[0] or 0.0) <= tolerance:
-            break
-    return now
-
-
-def common_factor(cells, share):
-    """The factor c at which sum(tokens * min(1, c * ratio)) is ``share`` of all tokens; 64 candidates a pass."""
-    ends = cells.where("tokens > 0 and ratio > 0").agg(F.min("ratio"), F.max("ratio"), F.sum("tokens")).first()
-    if ends[0] is None:
-        return 1.0
-    total = cells.agg(F.sum("tokens")).first()[0]
-    low, high = 0.0, 1.0 / ends[0]
-    for _ in range(6):
-        tries = [low + (high - low) * i / 64 for i in range(65)]
-        got = cells.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(c) * F.col("ratio"))).alias(f"c{i}") for i, c in enumerate(tries)]).first()
-        below = max((i for i in range(65) if got[i] <= share * total), default=0)
-        if below == 64:
-            return high
-        low, high = tries[below], tries[below + 1]
-    return low
-
-
-def calibrate(docs, targets, share=0.8, topic=None, key="doc_id", text="text", source="source", lang="lang"):
-    """(rows, cells): per document its cell, and per cell tokens, weight, ratio and probability.
-
-    ``share`` of all tokens is expected in the sample. Tokens are words; texts that are null or blank have none, and their
-    documents follow the probability of their cell. Null sources and languages are values of their own. ``topic``
-    names a column; without it :func:`topic_of` is used. Repeated rows count each.
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    cells = stored(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")), "cells")
+    if not total:
+        return cells, share
+    for d in DIMENSIONS:
+        has = cells.groupBy(d).agg(F.sum("tokens").alias("has")).join(shares[d].where("target > 0"), d)
+        share = min(share, has.agg(F.min(F.col("has") / F.lit(float(total)) / F.col("target"))).first()[0] or share)
+    while share >= least_share:
+        now = cells
+        for done in range(1, most_rounds + 1):
+            for d in DIMENSIONS:
+                now = _filled(now, d, shares, share * total)
+            if done % 5 == 0:
+                now = stored(now, "cells")
+                if _gap(now, shares, share * total) <= tolerance:
+                    return now, share
+        share *= 0.9
+    raise ValueError("the targets contradict each other in the cells that have tokens")
+
+
+def calibrate(docs, targets, share=0.8, topic=None, key="doc_id", text="text", source="source", lang="lang", tolerance=1e-5):
+    """(rows, cells, share): per document its cell, and per cell tokens, weight, ratio and probability.
+
+    ``share`` of all tokens is expected in the sample, or the part of it that the targets leave possible, which is
+    returned. Tokens are words; texts that are null or blank have none, and a cell without tokens has the probability
+    ``share``. Null sources and languages are values of their own. ``topic`` names a column; without it :func:`topic_of`
+    is used. Repeated rows count each.
     """
     of_topic = _value(topic) if topic else topic_of(F.col(text))
     small = docs.select(F.col(key).alias("doc"), F.xxhash64(whole(F.col(text))).alias("text_hash"), F.size(words(F.col(text))).cast("long").alias("n_tokens"),
                         _value(source).alias("source"), _value(lang).alias("lang"), of_topic.alias("topic"))
     rows = stored(small, "mixing")
     cells = stored(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    raked = rake(cells, targets)
-    total = raked.agg(F.sum("tokens")).first()[0] or 1
-    ratio = F.when(F.col("tokens") > 0, F.col("weight") * F.lit(float(total)) / F.col("tokens")).otherwise(1.0)
-    rated = stored(raked.withColumn("ratio", ratio), "cells")
-    factor = common_factor(rated, share)
-    return rows, stored(rated.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(factor))), "cells")
+    raked, share = rake(cells, targets, share, tolerance)
+    rated = cells.join(raked.select(*DIMENSIONS, "weight"), list(DIMENSIONS), "left")
+    probability = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / F.col("tokens"))).otherwise(F.lit(float(share)))
+    rated = rated.withColumn("probability", probability).withColumn("ratio", F.col("probability") / F.lit(float(share)))
+    return rows, stored(rated, "cells"), share
 
 
 def drawn(key, text_hash, probability, seed=0):
@@ -130,7 +145,7 @@ def drawn(key, text_hash, probability, seed=0):
 
 def sample(docs, targets, share=0.8, topic=None, key="doc_id", text="text", source="source", lang="lang", seed=0):
     """Each document's key, cell, n_tokens, ratio, probability and sampled."""
-    rows, cells = calibrate(docs, targets, share, topic, key, text, source, lang)
+    rows, cells, _ = calibrate(docs, targets, share, topic, key, text, source, lang)
     return rows.join(cells.select(*DIMENSIONS, "ratio", "probability"), list(DIMENSIONS)).select(
         F.col("doc").alias(key), *[F.when(F.col(d) != "\x00null", F.col(d)).alias(d) for d in DIMENSIONS], "n_tokens", "ratio", "probability",
         drawn(F.col("doc"), F.col("text_hash"), F.col("probability"), seed).alias("sampled"))
@@ -138,7 +153,7 @@ def sample(docs, targets, share=0.8, topic=None, key="doc_id", text="text", sour
 
 def draw(docs, targets, share=0.8, topic=None, key="doc_id", text="text", source="source", lang="lang", seed=0):
     """The sampled documents with all their columns."""
-    _, cells = calibrate(docs, targets, share, topic, key, text, source, lang)
+    _, cells, _ = calibrate(docs, targets, share, topic, key, text, source, lang)
     of_topic = _value(topic) if topic else topic_of(F.col(text))
     cells = cells.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], F.col("probability").alias("_probability"))
     placed = docs.withColumns({"_source": _value(source), "_lang": _value(lang), "_topic": of_topic})
