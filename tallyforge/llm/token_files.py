@@ -15,6 +15,7 @@ from array import array
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Window
@@ -51,7 +52,7 @@ class _Pieces:
         self.tokenizer.encode_special_tokens = not added
         settings = json.loads(self.tokenizer.to_str())
         before = settings["pre_tokenizer"] or {}
-        self.added = re.compile("|".join(re.escape(t["content"]) for t in settings["added_tokens"])) if added and settings["added_tokens"] else None
+        self.added = [t["content"] for t in settings["added_tokens"]] if added else []
         self.plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         self.merge, self.pattern, self.letters = self.tokenizer.model.tokenize, regex.compile(PATTERN), _byte_letters()
         self.space, self.code = chr(self.letters[32]), {"<u2": "H", "<u4": "I"}[width]
@@ -79,13 +80,18 @@ class _Pieces:
             return self._part(piece[:-1]) + self._part(piece[-1])
         return b"".join([self._part(p) for p in self.pattern.findall(piece)])
 
-    def encode(self, texts):
-        """Ids of each text with the end id, as bytes."""
+    def with_added(self, column):
+        """Which texts of an Arrow column hold the string of an added token: one search of the whole column for each."""
+        found = [pc.fill_null(pc.match_substring(column, t), False).to_numpy(zero_copy_only=False) for t in self.added]
+        return np.logical_or.reduce(found) if found else np.zeros(len(column), bool)
+
+    def encode(self, texts, with_added=None):
+        """Ids of each text with the end id, as bytes. ``with_added`` marks texts for the library's own call."""
         if not self.plain:
             return [np.array(e.ids, self.width).tobytes() + self.end for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         known, out = self.known, []
-        for t in texts:
-            if self.added and self.added.search(t):
+        for t, marked in zip(texts, [False] * len(texts) if with_added is None else with_added):
+            if marked:
                 out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.width).tobytes() + self.end)
                 continue
             pieces = t.split(" ")
@@ -111,41 +117,44 @@ def _byte_letters():
     return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
 
 
+_TOKENS = "doc long, n long, crc long, ids binary"
+
+
 def tokens(docs, tokenizer, end=0, key="doc_id", text="text", vocabulary=1 << 16, added=False):
-    """Per row: doc, n and ids (little-endian, 2 bytes each up to 65,536 ids, else 4), with the end id; null is empty.
+    """Per row: doc, n, crc and ids (little-endian, 2 bytes each up to 65,536 ids, else 4), with the end id; null is empty.
 
     ``tokenizer`` is the path of a byte-level tokenizer file that every executor has. ``added``: the strings of its
     added tokens stand for these tokens, as in the library's encode(text, add_special_tokens=False); else they are text.
     """
+    return _coded(docs, tokenizer, end, key, text, vocabulary, added).where("seen IS NULL").select("doc", "n", "crc", "ids")
+
+
+def _coded(docs, tokenizer, end, key, text, vocabulary, added):
+    """The lines of :func:`tokens`, and a last line of each task with the ids it has seen and how many times."""
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary()), ("seen", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
     def encode(batches):
-        pieces = _Pieces(tokenizer, end, width, added)
+        pieces, total = _Pieces(tokenizer, end, width, added), np.zeros(vocabulary, np.int64)
         for batch in batches:
-            keys = batch.column(0)
             for lo in range(0, batch.num_rows, 256):
-                ids = pieces.encode([t or "" for t in batch.column(1).slice(lo, 256).to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [keys.slice(lo, 256), pa.array([len(x) // int(width[2]) for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    names=["doc", "n", "crc", "ids"])
-
-    return docs.select(F.col(key).cast("long").alias("doc"), F.col(text)).mapInArrow(encode, "doc long, n long, crc long, ids binary")
+                part = batch.slice(lo, 256)
+                ids = pieces.encode([t or "" for t in part.column(1).to_pylist()], pieces.with_added(part.column(1)))
+                total += np.bincount(np.frombuffer(b"".join(ids), width), minlength=vocabulary)
+                none = pa.nulls(len(ids), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array([len(x) // int(width[2]) for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary()), none, none], schema=schema)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"doc": [None], "n": [None], "crc": [None], "ids": [None], "seen": [seen], "times": [total[seen]]}, schema=schema)
 
+    return docs.select(F.col(key).cast("long").alias("doc"), F.col(text)).mapInArrow(encode, f"{_TOKENS}, seen array<long>, times array<long>")
 
-def _counts(coded, width, vocabulary):
-    """Occurrences of each id over all rows: at most ``vocabulary`` numbers."""
-    def count(batches):
-        total = np.zeros(vocabulary, np.int64)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                joined = b"".join(batch.column(0).slice(lo, 512).to_pylist())
-                total += np.bincount(np.frombuffer(joined, width), minlength=vocabulary)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "count"])
 
-    got = coded.select("ids").mapInArrow(count, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
+def _counts(coded, vocabulary):
+    """Occurrences of each id over all rows: at most ``vocabulary`` numbers. Reads the last lines of the tasks only."""
+    lines = coded.select(F.explode(F.arrays_zip("seen", "times")).alias("c"))
     out = np.zeros(vocabulary, np.int64)
-    for r in got.collect():
+    for r in lines.groupBy(F.col("c.seen").alias("id")).agg(F.sum("c.times").alias("count")).collect():
         out[r["id"]] = r["count"]
     return out
 
@@ -160,8 +169,9 @@ def write(docs, path, tokenizer, end=0, key="doc_id", text="text", vocabulary=1
     document has more. An empty table gives empty tables.
     """
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    coded = stored(tokens(docs, tokenizer, end, key, text, vocabulary, added), "tokens")
-    lengths = huffman.code_lengths(_counts(coded, width, vocabulary), limit)
+    coded = stored(_coded(docs, tokenizer, end, key, text, vocabulary, added), "tokens")
+    lengths = huffman.code_lengths(_counts(coded, vocabulary), limit)
+    coded = coded.where("seen IS NULL")
     spark = docs.sparkSession
     spark.createDataFrame(pd.DataFrame({"id": np.flatnonzero(lengths), "length": lengths[lengths > 0]}), "id long, length long").coalesce(1).write.parquet(f"{path}/codes")
     sizes = lengths.astype(np.uint8)

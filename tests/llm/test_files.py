@@ -58,20 +58,22 @@ def test_too_many_symbols():
         huffman.code_lengths(np.ones(9), 3)
 
 
-def expected(rows):
+def expected(rows, added=False):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(BPE)
-    t.encode_special_tokens = True
+    if not added:
+        t.encode_special_tokens = True
     return [(k, t.encode(x or "", add_special_tokens=False).ids + [0]) for k, x in rows]
 
 
-def test_files_hold_all_ids_in_order(spark, docs, hard):
+@pytest.mark.parametrize("added", [False, True])  # the query's call: the library's defaults, added tokens and all
+def test_files_hold_all_ids_in_order(spark, docs, hard, added):
     path = token_files.new_folder(spark)
-    token_files.write(docs, path, BPE, vocabulary=50257, block=3000)
+    token_files.write(docs, path, BPE, vocabulary=50257, block=3000, added=added)
     got = token_files.digest(spark, path, vocabulary=50257).collect()
     crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
-    assert sorted(str((r.doc_id, r.n_tokens, r.ids_crc32)) for r in got) == sorted(str((k, len(i), crc(i))) for k, i in expected(hard))
+    assert sorted(str((r.doc_id, r.n_tokens, r.ids_crc32)) for r in got) == sorted(str((k, len(i), crc(i))) for k, i in expected(hard, added))
     at = 0
     for r in sorted(got, key=lambda r: r.start):
         assert r.start == at
