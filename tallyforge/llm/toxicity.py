@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are the words of a text and their heads of four and five characters, hashed into buckets. The buckets that tell the classes
-apart best become the inputs; the machine learns a weight for each and a vector for each whose products score pairs,
+apart, and all frequent ones, become the inputs; the machine learns a weight for each and a vector for each whose products score pairs,
 so that two terms can mean together what neither means alone.
 """
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm.text import words
 from tallyforge.session import stored
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 20  # so the inputs are bounded, too
 HEADS = (4, 5)
 EDGES = ".,;:!?\"'()[]{}*#$%&|<>"
 
@@ -58,12 +58,12 @@ class Toxicity:
         return scored.withColumn("predicted", (F.col(out) >= threshold).cast("int"))
 
 
-def fit(labelled, label="toxic", text="text", most_inputs=4096, least_g=25.0, factors=4, rounds=80, seed=7):
+def fit(labelled, label="toxic", text="text", least_g=25.0, often=0.2, factors=4, rounds=80, seed=7):
     """Learn from rows with a text and a 0/1 label; null labels are left out.
 
     Inputs are the buckets whose likelihood ratio statistic with the class is at least ``least_g`` (chance alone gives
-    that to one bucket in a million), at most ``most_inputs``, the largest first. They are counted over all rows, equal
-    texts once. With one class only, without such buckets, or without rows, every text gets the share of label 1 (0
+    that to one bucket in a million), and those that at least the share ``often`` of the rows have, whatever they tell on
+    their own: such a term may matter in a pair alone. They are counted over all rows, equal texts once. With one class only, without such buckets, or without rows, every text gets the share of label 1 (0
     without rows).
     """
     once = labelled.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("label"), text).dropDuplicates()
@@ -81,8 +81,8 @@ def fit(labelled, label="toxic", text="text", most_inputs=4096, least_g=25.0, fa
 
     with_it = part(F.col("a"), share * p) + part(F.col("b"), share * (n - p))
     without = part(p - F.col("a"), (1 - share) * p) + part(n - p - F.col("b"), (1 - share) * (n - p))
-    best = counts.withColumn("g", 2 * (with_it + without)).where(F.col("g") >= least_g).orderBy(F.desc("g"), "term").limit(most_inputs)
-    chosen = [r["term"] for r in best.select("term").collect()]
+    good = (2 * (with_it + without) >= least_g) | (share >= often)
+    chosen = sorted(r["term"] for r in counts.where(good).select("term").collect())  # at most BUCKETS
     if not chosen:
         return Toxicity([], None, p / n)
     vector = CountVectorizerModel.from_vocabulary(chosen, inputCol="_terms", outputCol="_x", binary=True)

@@ -87,6 +87,15 @@ def test_pairs_of_terms_are_learned(spark):
     assert len(got) > 900 and right > 0.97 * len(got)
 
 
+def test_a_pair_without_marginals_is_learned(spark):
+    """Toxic if just one of two terms is there: each alone tells nothing."""
+    rows = [(i, t, int(("insultus" in t) != ("gruppen" in t))) for i, t, _ in pair_rows(4000, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scorer = toxicity.fit_documents(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), rounds=200)
+    got = scorer.score(docs).where(toxicity.held_out("doc_id")).collect()
+    assert sum(r.predicted == r.toxic for r in got) > 0.95 * len(got)
+
+
 def test_held_out_labels_are_not_learned(spark, hard):
     docs = spark.createDataFrame(pair_rows(600, 5), "doc_id long, text string, toxic int")
     labels = docs.select("doc_id", F.when(toxicity.held_out("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic")).alias("toxic"))
@@ -126,26 +135,41 @@ def test_margins_meet_their_targets(spark):
     table = spark.createDataFrame([(f"s{i}", f"l{j}", f"t{k}", int(cells[i, j, k])) for i in range(5) for j in range(3) for k in range(4)], "source string, lang string, topic string, tokens long")
     want = [np.full(5, 0.2), np.array([0.5, 0.3, 0.2]), np.array([0.4, 0.3, 0.2, 0.1])]
     targets = {"source": 0.0, "lang": {"l0": 5, "l1": 3, "l2": 2}, "topic": {f"t{k}": v for k, v in enumerate(want[2])}}
-    got = mixing.rake(table, targets, tolerance=1e-9).collect()
+    rows, share = mixing.rake(table, targets, share=0.1, tolerance=1e-8, least_share=0.1)
     best = brute_rake(cells.astype(float), want)
-    for row in got:
-        assert row.weight == pytest.approx(best[int(row.source[1]), int(row.lang[1]), int(row.topic[1])], abs=1e-6)
-
-
-def test_common_factor(spark):
-    r = np.random.default_rng(1)
-    tokens, ratio = r.integers(1, 100, 50), r.random(50) * 3
-    cells = spark.createDataFrame([(int(t), float(x)) for t, x in zip(tokens, ratio)], "tokens long, ratio double")
-    for share in (0.1, 0.5, 0.8, 1.0):
-        c = mixing.common_factor(cells, share)
-        assert (tokens * np.minimum(1, c * ratio)).sum() == pytest.approx(share * tokens.sum(), rel=1e-6)
+    assert share == 0.1
+    for row in rows.collect():
+        assert row.weight / (0.1 * cells.sum()) == pytest.approx(best[int(row.source[1]), int(row.lang[1]), int(row.topic[1])], abs=1e-6)
+
+
+@pytest.mark.parametrize("share", [0.3])
+def test_margins_of_the_sample_meet_their_targets(spark, share):
+    """No cell gives more tokens than it has, and yet the margins hold; the share is lowered where it has to be."""
+    r = np.random.default_rng(7)
+    cells = [(f"s{i}", f"l{j}", f"t{k}", int(r.integers(1, 400) * (10 if i == 0 else 1))) for i in range(6) for j in range(3) for k in range(3)]
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    targets = {"source": 0.6, "lang": {"l0": 0.5, "l1": 0.3, "l2": 0.2}, "topic": 0.5}
+    rows, got = mixing.rake(table, targets, share=share, tolerance=1e-4, least_share=0.2)
+    lines, total = rows.collect(), sum(c[3] for c in cells)
+    assert 0.2 < got <= share and len(lines) == len(cells)
+    assert all(0 <= x.weight <= x.tokens * (1 + 1e-9) for x in lines)
+    for d, shares in mixing.target_shares(table, targets).items():
+        for x in shares.collect():
+            assert sum(y.weight for y in lines if y[d] == x[d]) / (got * total) == pytest.approx(x.target, abs=1e-4)
+
+
+def test_contradictory_targets_are_an_error(spark):
+    table = spark.createDataFrame([("a", "x", "t", 100), ("b", "y", "t", 100)], "source string, lang string, topic string, tokens long")
+    with pytest.raises(ValueError):
+        mixing.rake(table, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}, least_share=0.55, most_rounds=5)
 
 
 def test_sample(docs, hard, empty):
     options = dict(targets={"source": 0.5, "lang": {"en": 0.5}}, share=0.6)
     got = mixing.sample(docs, **options).collect()
     assert len(got) == len(hard)
-    assert sum(r.n_tokens * r.probability for r in got) == pytest.approx(0.6 * sum(r.n_tokens for r in got), rel=1e-4)
+    share = mixing.calibrate(docs, **options)[2]
+    assert 0 < share <= 0.6 and sum(r.n_tokens * r.probability for r in got) == pytest.approx(share * sum(r.n_tokens for r in got), rel=1e-4)
     assert all(0 <= r.probability <= 1 for r in got)
     kept = mixing.draw(docs, **options)
     assert kept.columns == docs.columns and kept.count() == sum(r.sampled for r in got)
