@@ -160,11 +160,14 @@ def _replace_far(df, columns, threshold):
     row = df.agg(
         *[F.avg(c(n)).alias(f"m{i}") for i, n in enumerate(columns)],
         *[F.stddev_samp(c(n)).alias(f"s{i}") for i, n in enumerate(columns)],
+        *[F.min(c(n)).alias(f"lo{i}") for i, n in enumerate(columns)],
+        *[F.max(c(n)).alias(f"hi{i}") for i, n in enumerate(columns)],
     ).first()
     new = {}
     for i, n in enumerate(columns):
         mean, std = row[f"m{i}"], row[f"s{i}"]
-        if mean is None or std == 0:
+        # merged partial deviations of equal values may be a little above 0: the range tells a constant column
+        if mean is None or std is not None and row[f"lo{i}"] == row[f"hi{i}"]:
             continue
         x = c(n).cast("double")
         near = F.abs((x - mean) / std) <= threshold if std is not None else F.lit(False)
@@ -316,8 +319,11 @@ class Scaler(_Stage):
             row = df.agg(
                 *[low(c(n).cast("double")).alias(f"a{i}") for i, n in enumerate(columns)],
                 *[spread(c(n).cast("double")).alias(f"b{i}") for i, n in enumerate(columns)],
+                *[F.min(c(n).cast("double")).alias(f"lo{i}") for i, n in enumerate(columns)],
+                *[F.max(c(n).cast("double")).alias(f"hi{i}") for i, n in enumerate(columns)],
             ).first()
-            pairs = {n: (row[f"a{i}"], row[f"b{i}"]) for i, n in enumerate(columns)}
+            # merged partial means and deviations of equal values may be a little off: the range tells a constant column
+            pairs = {n: (row[f"lo{i}"], 0.0) if row[f"lo{i}"] == row[f"hi{i}"] else (row[f"a{i}"], row[f"b{i}"]) for i, n in enumerate(columns)}
         return {n: {"center": a, "scale": b or 1.0} for n, (a, b) in pairs.items()}
 
 

@@ -118,6 +118,16 @@ def test_constant_column_scales_to_zero(spark):
         assert [r[0] for r in t.Scaler(kind=kind).fit(df).transform(df).collect()] == [0.0, 0.0]
 
 
+def test_constant_column_over_partitions(spark):
+    """Partial deviations of equal values merge to a little more than 0, and partial means to a little less than the value."""
+    cells = F.when(F.col("id") % 10 == 0, F.lit(0.1)).alias("x")
+    df = spark.range(0, 11 * 10 * 8, 1, 8).select(cells)
+    assert df.agg(F.stddev_samp("x")).first()[0] > 0
+    out = t.OutlierLimiter(method="zscore", threshold=2.0).fit(df).transform(df)
+    assert {r["x"] for r in out.distinct().collect()} == {0.1, None}
+    assert {r["x"] for r in t.Scaler().fit(df).transform(df).distinct().collect()} == {0.0, None}
+
+
 def test_unseen_and_missing_categories(spark):
     train = spark.createDataFrame([("b",), ("a",), (None,)], "v string")
     new = spark.createDataFrame([("a",), ("z",), (None,)], "v string")
