@@ -5,7 +5,10 @@ bounded sample, and a tree cuts them by quantiles, one direction after the other
 number of leaves grows with the data. The slabs that lead to a leaf bound the distance to all its vectors from below.
 With ``probes`` every vector visits the leaves with the smallest bounds: a constant number, whatever the size of the table,
 and an approximate answer. Without it, a vector visits every leaf that its k-th distance so far reaches: the exact answer.
-No pair leaves a task unless it is among the k best of its leaf.
+For that the leaves grow with the table, up to a size that a task holds, so that a vector which reaches all of them (noise in
+many dimensions) has few lines to be sent; only beyond that size do its lines grow, and the pairs are n x n in any case.
+Distances come from one matrix product, whose rounding error is bounded; pairs within it are measured again by their
+differences. No pair leaves a task unless it is among the k best of its leaf.
 """
 from __future__ import annotations
 
@@ -25,7 +28,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 2_000  # vectors aimed at in a leaf
 PROBES = 16  # leaves that a vector visits unless the caller asks for the exact answer
-VISITORS = 5_000  # vectors that visit a leaf in one task
+VISITORS = 5_000  # vectors that visit a leaf in one task, or as many as the leaf holds
+EXACT_LEAVES = 16  # leaves aimed at in an exact search, while they hold no more than
+EXACT_ROWS = 20_000
+CELLS = 1_000_000  # numbers in one working array of a task
 FAN_OUT = 4
 SAMPLE = 20_000  # vectors the directions and the top of the tree are fitted on
 LEAST = 20  # sampled vectors in a leaf of the top
@@ -38,7 +44,8 @@ def merge_equal(df, key, vector):
 
 
 def _matrix(vectors):
-    return np.array(vectors.tolist(), dtype=float)
+    vectors = vectors.tolist()
+    return np.concatenate(vectors).astype(float, copy=False).reshape(len(vectors), -1) if vectors else np.empty((0, 0))
 
 
 class _Tree:
@@ -170,31 +177,56 @@ def _fit_tree(points, n, block_rows):
 def _k_best(x, ids, p, pids, k):
     """``(row of x, id, squared distance)`` of the k nearest of ``p`` for each row of ``x``, itself excluded."""
     rows, found, dist = [], [], []
-    step = max(1, 4_000_000 // max(1, len(p) * x.shape[1]))
-    for start in range(0, len(x), step):
-        part = x[start : start + step]
-        d2 = ((part[:, None, :] - p[None, :, :]) ** 2).sum(axis=2)
-        d2[ids[start : start + step, None] == pids[None, :]] = np.inf
-        last = np.partition(d2, min(k, len(p)) - 1, axis=1)[:, min(k, len(p)) - 1]
-        r, at = np.nonzero((d2 <= last[:, None]) & np.isfinite(d2))
-        # only the candidates are sorted; ties in distance go to the smaller id
-        order = np.lexsort((pids[at], d2[r, at], r))
-        r, at = r[order], at[order]
+    sound = np.isfinite(p).all(axis=1)
+    p, pids = p[sound], pids[sound]
+    guests = np.flatnonzero(np.isfinite(x).all(axis=1))
+    if not len(p):
+        guests = guests[:0]
+    else:
+        middle = p.mean(axis=0)
+        q = p - middle
+        q2 = (q**2).sum(axis=1)
+        at_own = np.argsort(pids)
+    step = max(1, CELLS // max(1, len(p)))
+    for start in range(0, len(guests), step):
+        mine = guests[start : start + step]
+        y = x[mine] - middle
+        y2 = (y**2).sum(axis=1)
+        near = y @ (-2 * q.T)
+        near += q2
+        near += y2[:, None]
+        # no product is further from the squared distance than this
+        slack = 4 * (x.shape[1] + 4) * np.finfo(float).eps * (np.sqrt(y2) + math.sqrt(q2.max())) ** 2
+        own = at_own[np.minimum(np.searchsorted(pids, ids[mine], sorter=at_own), len(pids) - 1)]
+        met = np.flatnonzero(pids[own] == ids[mine])
+        near[met, own[met]] = np.inf
+        last = near.min(axis=1) if k == 1 else np.partition(near, min(k, len(p)) - 1, axis=1)[:, min(k, len(p)) - 1]
+        r, at = np.nonzero(near <= (last + 2 * slack)[:, None])
+        # only the candidates are measured and sorted; ties in distance go to the smaller id
+        d2 = ((x[mine[r]] - p[at]) ** 2).sum(axis=1)
+        good = np.isfinite(near[r, at]) & np.isfinite(d2)
+        r, at, d2 = r[good], at[good], d2[good]
+        order = np.lexsort((pids[at], d2, r))
+        r, at, d2 = r[order], at[order], d2[order]
         keep = np.arange(len(r)) - np.searchsorted(r, r) < k
-        r, at = r[keep], at[keep]
-        rows.append(r + start)
-        found.append(pids[at])
-        dist.append(d2[r, at])
+        rows.append(mine[r[keep]])
+        found.append(pids[at[keep]])
+        dist.append(d2[keep])
+    if not rows:
+        return np.array([], np.int64), np.array([], np.int64), np.array([], float)
     return np.concatenate(rows), np.concatenate(found), np.concatenate(dist)
 
 
 _RESULT = "id bigint, neighbour bigint, distance2 double"
 
 
-def _visited(guests, blocked, k):
-    """The k best of each leaf for each of its guests. A leaf that many vectors visit is searched by several tasks."""
-    rooms = guests.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("rooms"))
-    guests = guests.toDF(*guests.columns).join(rooms, "block").withColumn("room", F.pmod(F.xxhash64("id"), F.col("rooms")).cast("int"))
+def _visited(visits, guests, blocked, k, visitors):
+    """The k best of each leaf for each of its guests. A leaf that many vectors visit is searched by several tasks.
+
+    ``visits`` has a line for each leaf of each guest; ``guests`` has one line per guest, with its list of leaves.
+    """
+    rooms = visits.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / visitors).cast("int").alias("rooms"))
+    guests = guests.toDF("id", "vec", "leaves").select("id", "vec", F.explode("leaves").alias("block")).join(rooms, "block").withColumn("room", F.pmod(F.xxhash64("id"), F.col("rooms")).cast("int"))
     hosts = blocked.join(rooms, "block").withColumn("room", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)))
 
     def visit(g, h):
@@ -224,6 +256,9 @@ def nearest(points, k, block_rows=BLOCK_ROWS, probes=None):
     n = points.count()
     if not n:
         return spark.createDataFrame([], _RESULT)
+    if probes is None:
+        block_rows = max(block_rows, min(EXACT_ROWS, n // EXACT_LEAVES))
+    visitors = max(VISITORS, block_rows)
     tree = _fit_tree(points, n, block_rows)
 
     def settle(batches):
@@ -234,26 +269,31 @@ def nearest(points, k, block_rows=BLOCK_ROWS, probes=None):
     blocked = stored(points.mapInPandas(settle, "id bigint, vec array<double>, block bigint"), "blocks")
     if not tree.splits:
         probes = 1
+    # the working arrays of a task are bounded whatever the number of leaves
+    wide = tree.axes.shape[1] * FAN_OUT * (max(1, len(tree.splits)) if probes is None else probes)
+    step = max(1, min(2000, 4 * CELLS // wide))
 
     def go(batches):
         for pdf in batches:
-            for start in range(0, len(pdf), 2000):
-                part = pdf.iloc[start : start + 2000]
+            for start in range(0, len(pdf), step):
+                part = pdf.iloc[start : start + step]
                 x = tree.turned(part["vec"])
                 rows, leaves = tree.visits(x, probes, part["reach"].to_numpy())
                 if probes is None:
                     away = leaves != part["block"].to_numpy()[rows]
                     rows, leaves = rows[away], leaves[away]
-                if len(rows):
-                    yield pd.DataFrame({"id": part["id"].to_numpy()[rows], "vec": part["vec"].to_numpy()[rows], "block": leaves})
+                order = np.argsort(rows, kind="stable")
+                ends = np.searchsorted(rows[order], np.arange(1, len(part)))
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "vec": part["vec"].to_numpy(), "leaves": np.split(leaves[order], ends)})
 
-    def visits(frame):
-        return stored(frame.select("id", "vec", "block", "reach").mapInPandas(go, "id bigint, vec array<double>, block bigint"), "visits")
+    def search(frame):
+        guests = stored(frame.select("id", "vec", "block", "reach").mapInPandas(go, "id bigint, vec array<double>, leaves array<bigint>"), "guests")
+        visits = stored(guests.select("id", F.explode("leaves").alias("block")), "visits")
+        return _visited(visits, guests, blocked, k, visitors)
 
     if probes is not None:
-        return _k_of_all(_visited(visits(blocked.withColumn("reach", F.lit(0.0))), blocked, k), k)
-    own = stored(_visited(blocked, blocked, k), "near")
+        return _k_of_all(search(blocked.withColumn("reach", F.lit(0.0))), k)
+    own = stored(_visited(blocked, blocked.select("id", "vec", F.array("block")), blocked, k, visitors), "near")
     bound = own.groupBy("id").agg(F.count(F.lit(1)).alias("found"), F.max("distance2").alias("far"))
     reach = F.when(F.col("found") >= k, F.col("far")).otherwise(F.lit(float("inf")))
-    away = _visited(visits(blocked.join(bound, "id", "left").withColumn("reach", reach)), blocked, k)
-    return _k_of_all(own.unionAll(away), k)
+    return _k_of_all(own.unionAll(search(blocked.join(bound, "id", "left").withColumn("reach", reach))), k)

@@ -121,6 +121,35 @@ def test_probes_visit_a_constant_number_of_leaves(spark, monkeypatch):
         assert exact == want
 
 
+def test_exact_search_in_noise_has_few_lines(spark, monkeypatch):
+    """Where every vector reaches every leaf, the leaves grow instead of the lines of visits."""
+    seen = {}
+    plain = neighbours.stored
+    def keep(df, label):
+        seen[label] = plain(df, label)
+        return seen[label]
+
+    monkeypatch.setattr(neighbours, "stored", keep)
+    n = 900
+    x = np.random.default_rng(2).normal(size=(n, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vec array<double>").repartition(4)
+    got = sorted((r["id"], r["neighbour"]) for r in neighbours.nearest(df, 2, block_rows=4).collect())
+    assert got == [(a, b) for a, b, _ in sorted(_brute(x, list(range(n)), 2), key=lambda r: (r[0], r[1]))]
+    assert seen["visits"].count() <= 64 * n
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_products_far_from_zero_lose_no_neighbour(k):
+    """Differences far below the rounding of the products, ties, and vectors without a distance."""
+    r = np.random.default_rng(4)
+    x = np.concatenate([r.integers(0, 3, (60, 4)) * 1e-3, r.normal(size=(60, 4)) * 1e-6, r.normal(size=(5, 4)) * 1e6]) + 1e5
+    ids = r.permutation(len(x) + 2)
+    x = np.concatenate([x, [[np.inf, 0, 0, 0], [np.nan, 0, 0, 0]]])
+    at, near, d2 = neighbours._k_best(x, ids, x, ids, k)
+    want = _brute(x[:-2], ids[:-2].tolist(), k)
+    assert sorted(zip(ids[at].tolist(), near.tolist(), d2.tolist())) == want
+
+
 def test_oversampling_balances_and_stays_between_parents(spark):
     r = np.random.default_rng(3)
     x = r.normal(size=(220, 2))
