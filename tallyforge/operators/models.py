@@ -3,9 +3,11 @@ from __future__ import annotations
 
 import logging
 import math
+import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -25,6 +27,8 @@ from .metrics import evaluate
 from .rebalance import SAMPLERS
 
 log = logging.getLogger(__name__)
+# the helpers of the Fourier map travel to the executors with the task: the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Model names, in the order they are trained, and their search grids.
 GRIDS = {
@@ -51,6 +55,16 @@ FOURIER_FEATURES = 200
 # --------------------------------------------------------------------------- kernel approximation
 
 
+def _fourier(v, weights, shift, scale):
+    """Features of a batch of lists; one working array, which is the answer's own buffer."""
+    inputs, outputs = weights.shape
+    out = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), inputs) @ weights
+    out += shift
+    np.cos(out, out=out)
+    out *= scale
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, outputs, dtype=np.int32)), pa.array(out.ravel()))
+
+
 class FourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Random Fourier features of a Gaussian kernel (Rahimi and Recht 2007)."""
 
@@ -68,10 +82,9 @@ class FourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable)
         shift = rng.uniform(0, 2 * math.pi, s["outputs"])
         scale = math.sqrt(2 / s["outputs"])
 
-        @F.pandas_udf("array<double>")
-        def project(v: pd.Series) -> pd.Series:
-            x = np.array(v.tolist(), dtype=float).reshape(len(v), -1)
-            return pd.Series(list(scale * np.cos(x @ weights + shift)))
+        @F.arrow_udf("array<double>")
+        def project(v: pa.Array) -> pa.Array:
+            return _fourier(v, weights, shift, scale)
 
         return df.withColumn(s["output"], array_to_vector(project(vector_to_array(c(s["input"])))))
 

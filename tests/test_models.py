@@ -273,3 +273,23 @@ def test_rows_are_rebalanced_once_for_each_fold(raw, monkeypatch):
 def test_unknown_settings_are_refused(raw):
     with pytest.raises(ValueError, match="unknown settings"):
         models.train(raw, "decision_tree", COLUMNS, "Churn", {"min_samples_split": 2})
+
+
+def test_fourier_map_needs_one_working_array():
+    """A batch costs its answer and little more, and travels without the package."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    r = np.random.default_rng(1)
+    x, weights, shift = r.normal(size=(10_000, 8)), r.normal(size=(8, 200)), r.uniform(0, 6, 200)
+    batch = pa.array(x.tolist(), pa.list_(pa.float64()))
+    tracemalloc.start()
+    got = models._fourier(batch, weights, shift, 0.1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.2 * 8 * 10_000 * 200
+    assert np.allclose(np.array(got[:50].to_pylist()), 0.1 * np.cos(x[:50] @ weights + shift), atol=1e-14)
+    assert len(models._fourier(batch[:0], weights, shift, 0.1)) == 0
+    assert b"operators.models\x94\x8c\x08_fourier" not in cloudpickle.dumps(models._fourier)
