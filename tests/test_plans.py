@@ -137,6 +137,54 @@ def test_exact_search_in_noise_has_few_lines(spark, monkeypatch):
     assert got == [(a, b) for a, b, _ in sorted(_brute(x, list(range(n)), 2), key=lambda r: (r[0], r[1]))]
     assert seen["visits"].count() <= 64 * n
 
+def test_probes_out_of_reach_are_not_visited(spark, monkeypatch):
+    """Of the leaves that are open to a vector only those are searched that its nearest so far lets in; the answer is that of all."""
+    seen, plain, search = {}, neighbours.stored, neighbours._visited
+
+    def keep(df, label):
+        seen[label] = plain(df, label)
+        return seen[label]
+
+    def lines(guests, blocked, rooms, *rest):
+        seen["lines"] = guests.count()
+        return search(guests, blocked, rooms, *rest)
+
+    monkeypatch.setattr(neighbours, "stored", keep)
+    monkeypatch.setattr(neighbours, "_visited", lines)
+    n = 4000
+    x = np.random.default_rng(6).normal(size=(n, 2))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vec array<double>").repartition(4)
+    got = sorted((r["id"], r["neighbour"], r["distance2"]) for r in neighbours.nearest(df, 2, block_rows=80, probes=12).collect())
+    assert [r[:2] for r in got] == [r[:2] for r in sorted(_brute(x, list(range(n)), 2))]
+    assert seen["visits"].count() == 12 * n
+    assert seen["lines"] < 3 * n
+
+
+def test_probed_leaves_have_the_smallest_bounds():
+    r = np.random.default_rng(9)
+    x = r.normal(size=(600, 3))
+    tree = neighbours._Tree(np.eye(3))
+    tree.grow(x, 20)
+    at = tree.leaf(x)
+    leaves, bounds = tree.probed(x[:50], 10_000)
+    want = sorted(n for n in tree.depth if n not in tree.splits)
+    low = {n: np.full(3, -np.inf) for n in tree.depth}
+    high = {n: np.full(3, np.inf) for n in tree.depth}
+    for node in sorted(tree.splits):
+        way, edges, first = tree.splits[node]
+        ends = [low[node][way], *edges, high[node][way]]
+        for i in range(len(edges) + 1):
+            low[first + i], high[first + i] = low[node].copy(), high[node].copy()
+            low[first + i][way], high[first + i][way] = max(low[node][way], ends[i]), min(high[node][way], ends[i + 1])
+    for i in range(600):
+        assert (low[at[i]] < x[i]).all() and (x[i] <= high[at[i]]).all()
+    for i in range(50):
+        there = np.isfinite(bounds[i])
+        assert sorted(leaves[i, there].tolist()) == want
+        for n, b in zip(leaves[i, there].tolist(), bounds[i, there].tolist()):
+            gap = np.maximum(np.maximum(low[n] - x[i], x[i] - high[n]), 0)
+            assert b == pytest.approx((gap**2).sum(), abs=1e-9)
+
 
 @pytest.mark.parametrize("k", [1, 3])
 def test_products_far_from_zero_lose_no_neighbour(k):
