@@ -58,21 +58,33 @@ def _lists(values, ends):
 
 
 class _Tree:
-    """node -> (direction, edges, first child); nodes without an entry are leaves. ``axes`` has orthonormal columns."""
+    """node -> (direction, edges, first child); nodes without an entry are leaves. ``axes`` has orthonormal columns.
 
-    def __init__(self, axes):
-        self.axes, self.splits, self.depth, self.size = axes, {}, {0: 0}, 1
+    A node is cut in the direction of its widest spread, else bounds in the wide directions would let every vector in.
+    """
+
+    def __init__(self, axes, spread=None):
+        self.axes, self.splits, self.size = axes, {}, 1
+        self.spread = {0: np.ones(axes.shape[1]) if spread is None else spread}
 
     def turned(self, vectors):
         return _matrix(vectors) @ self.axes
 
     def direction(self, node):
-        return self.depth[node] % self.axes.shape[1]
+        return int(self.spread[node].argmax())
+
+    def pass_over(self, node):
+        """The node can't be cut in its direction: take the next one, if there is one."""
+        self.spread[node] = self.spread[node].copy()
+        self.spread[node][self.direction(node)] = -1.0
+        return self.spread[node].max() >= 0
 
     def split(self, node, edges):
         children = range(self.size, self.size + len(edges) + 1)
-        self.splits[node] = (self.direction(node), np.asarray(edges, dtype=float), self.size)
-        self.depth.update(dict.fromkeys(children, self.depth[node] + 1))
+        way, narrower = self.direction(node), self.spread[node].copy()
+        narrower[way] /= FAN_OUT
+        self.splits[node] = (way, np.asarray(edges, dtype=float), self.size)
+        self.spread.update(dict.fromkeys(children, narrower))
         self.size += len(children)
         return children
 
@@ -81,6 +93,8 @@ class _Tree:
         todo = [(0, np.arange(len(x)))]
         while todo:
             node, rows = todo.pop()
+            if len(rows) > 1:
+                self.spread[node] = x[rows].std(axis=0)
             if len(rows) > leaf:
                 v = x[rows, self.direction(node)]
                 edges = np.unique(np.quantile(v, np.arange(1, FAN_OUT) / FAN_OUT))
@@ -207,8 +221,11 @@ def _fit_tree(points, n, block_rows):
             if r["leaf"] not in whole and edges:
                 tree.split(r["leaf"], edges)
                 split = True
-            else:  # equal in this direction: only one of its own can divide it
-                whole.add(r["leaf"])
+            elif r["leaf"] not in whole:  # equal in this direction
+                if tree.pass_over(r["leaf"]):
+                    split = True
+                else:
+                    whole.add(r["leaf"])
         if not split:
             return tree
 

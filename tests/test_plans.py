@@ -160,6 +160,16 @@ def test_probes_out_of_reach_are_not_visited(spark, monkeypatch):
     assert seen["lines"] < 3 * n
 
 
+def test_leaves_are_cut_where_vectors_spread():
+    """A direction a thousand times as wide as the others is cut until the leaves are as narrow in it."""
+    x = np.random.default_rng(7).normal(size=(4000, 3)) * [1000, 1, 1]
+    tree = neighbours._Tree(np.eye(3))
+    tree.grow(x, 20)
+    at = tree.leaf(x)
+    widths = [np.ptp(x[at == n], axis=0) for n in np.unique(at)]
+    assert np.median([w[0] for w in widths]) < 20  # 4,000 vectors cut in turn by the three directions: over 500
+
+
 def test_probed_leaves_have_the_smallest_bounds():
     r = np.random.default_rng(9)
     x = r.normal(size=(600, 3))
@@ -167,9 +177,9 @@ def test_probed_leaves_have_the_smallest_bounds():
     tree.grow(x, 20)
     at = tree.leaf(x)
     leaves, bounds = tree.probed(x[:50], 10_000)
-    want = sorted(n for n in tree.depth if n not in tree.splits)
-    low = {n: np.full(3, -np.inf) for n in tree.depth}
-    high = {n: np.full(3, np.inf) for n in tree.depth}
+    want = sorted(n for n in range(tree.size) if n not in tree.splits)
+    low = {n: np.full(3, -np.inf) for n in range(tree.size)}
+    high = {n: np.full(3, np.inf) for n in range(tree.size)}
     for node in sorted(tree.splits):
         way, edges, first = tree.splits[node]
         ends = [low[node][way], *edges, high[node][way]]
