@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyforge.operators import rebalance, split
+from tallyforge.catalog import load_all
 from tallyforge.plans import neighbours
 from tallyforge.plans.quantiles import exact_quantiles, values_at_ranks
 from tallyforge.plans.running import running_totals
@@ -244,6 +245,15 @@ def test_tomek_links_by_brute_force(spark):
     assert rest.count() == 200 - 2 * len(want)
 
 
+def test_tomek_query_finds_all_links_over_many_leaves(spark, monkeypatch):
+    plain, sf = rebalance.nearest, "/root/testdata/sf0.01"
+    monkeypatch.setattr(rebalance, "nearest", lambda points, k, block_rows, probes: plain(points, k, 4, probes))
+    rows = sorted((r["vec_id"], r["label"] % 2, r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect())
+    side, best = {k: y for k, y, _ in rows}, {a: b for a, b, _ in _brute(np.array([v for *_, v in rows]), [k for k, *_ in rows], 1)}
+    want = sorted((a, b) for a, b in best.items() if a < b and best[b] == a and side[a] != side[b])
+    assert want and sorted((r["a"], r["b"]) for r in load_all()[0]["e5_tomek_links"](spark, sf).collect()) == want
+
+
 def test_split_sizes_are_exact_and_repeatable(spark, raw):
     train, test = split.stratified_split(raw, "Churn", "CustomerID")
     whole = {r["Churn"]: r["count"] for r in raw.groupBy("Churn").count().collect()}
