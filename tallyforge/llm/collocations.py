@@ -15,6 +15,7 @@ import sys
 import zlib
 from array import array
 from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -92,14 +93,16 @@ def extended(bwt, step, low, n):
     The new low is in the order that ``bwt`` belongs to; ``offset`` is where the extension lies inside the interval of
     the other order. Symbol 0 never extends a phrase.
     """
-    first = np.cumsum(n) - n
-    owner = np.repeat(np.arange(len(n)), n)
-    place = np.arange(len(owner)) - np.repeat(first - low, n)
-    symbol = bwt[place].astype(np.int64)
-    order = _order(owner, symbol)
+    first = (np.cumsum(n) - n).astype(step.dtype)
+    owner = np.repeat(np.arange(len(n), dtype=step.dtype), n)
+    place = np.arange(len(owner), dtype=step.dtype)
+    place -= np.repeat(first - low, n)
+    symbol = bwt[place]
+    order = _order(owner, symbol).astype(step.dtype)
     by_owner, by_symbol = owner[order], symbol[order]
-    start = np.flatnonzero(np.concatenate([[len(order) > 0], (by_owner[1:] != by_owner[:-1]) | (by_symbol[1:] != by_symbol[:-1])]))
-    count = np.diff(np.append(start, len(order)))
+    start = np.flatnonzero(np.concatenate([[len(order) > 0], (by_owner[1:] != by_owner[:-1]) | (by_symbol[1:] != by_symbol[:-1])])).astype(step.dtype)
+    del by_owner, by_symbol
+    count = np.diff(start, append=step.dtype.type(len(order)))
     at = order[start]
     kept = symbol[at] > 0
     start, count, at = start[kept], count[kept], at[kept]
@@ -183,11 +186,11 @@ class _Shard:
         ``wanted`` tells which hashes go on; a phrase is extended only where both the phrase without its first word and
         that without its last one went on.
         """
-        size = np.bincount(self.bwt, minlength=len(self.hashes))
-        low = (np.cumsum(size) - size)[1:]
-        symbols, n, back = np.arange(1, len(self.hashes))[:, None], size[1:], low
-        h = _folded(np.zeros(len(n), np.uint64), self.hashes[1:])
         step = steps(self.bwt)
+        size = np.bincount(self.bwt, minlength=len(self.hashes)).astype(step.dtype)
+        low = (np.cumsum(size) - size)[1:].astype(step.dtype)
+        symbols, n, back = np.arange(1, len(self.hashes), dtype=np.uint32)[:, None], size[1:], low
+        h = _folded(np.zeros(len(n), np.uint64), self.hashes[1:])
         other = steps(self.reverse) if depth > 2 else None
         for k in range(2, depth + 1):
             end, first, count, new, offset = extended(self.bwt, step, low, n)
@@ -197,7 +200,12 @@ class _Shard:
             else:
                 start, last, count, back_new, offset = extended(self.reverse, other, back, n)
                 # A longer phrase is both the start that goes on and the end that is led up to: its interval is the same.
-                _, r, e = np.intersect1d(low[start] + offset, new, assume_unique=True, return_indices=True)
+                led = np.full(len(step), -1, step.dtype)
+                led[new] = np.arange(len(new), dtype=step.dtype)
+                e = led[low[start] + offset]
+                r = np.flatnonzero(e >= 0)
+                e = e[r]
+                del led
                 symbols, h = np.concatenate([symbols[start[r]], last[r, None]], 1), _folded(h[start[r]], self.hashes[last[r]])
                 n, low, back = count[r], new[e], back_new[r]
             keep = wanted(h)
@@ -262,7 +270,7 @@ def _hashed(shards, depth, pairs=None):
             if allowed is not None:
                 # Only pairs are looked up: longer phrases are all of unknown frequency.
                 level = iter([lambda h: _in_table(allowed, h)])
-                found = list(shard.phrases(depth, lambda h: next(level, _everything)(h)))[1:]
+                found = islice(shard.phrases(depth, lambda h: next(level, _everything)(h)), 1, None)
             else:
                 found = shard.phrases(2, _everything)
             for _, n, h in found:
