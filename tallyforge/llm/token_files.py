@@ -31,10 +31,24 @@ LIMIT, EVERY, BLOCK = 16, 512, 1 << 19
 REMEMBERED = 250_000  # pieces whose ids a task keeps
 # Fixed value: the pattern of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-ODD = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+ODD = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+class _Known(dict):
+    """Ids of the pieces met first; a new one is encoded behind its space."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece):
+        ids = self.encode(" " + piece)
+        if len(self) < REMEMBERED:
+            self[piece] = ids
+        return ids
+
+
 class _Pieces:
     """Encodes texts piece by piece; the pieces met first are remembered with their ids.
 
@@ -56,7 +70,7 @@ class _Pieces:
         self.plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         self.merge, self.pattern, self.letters = self.tokenizer.model.tokenize, regex.compile(PATTERN), _byte_letters()
         self.space, self.code = chr(self.letters[32]), {"<u2": "H", "<u4": "I"}[width]
-        self.known, self.parts, self.width, self.end = {}, {}, width, np.array([end], width).tobytes()
+        self.known, self.parts, self.width, self.end = _Known(self._piece), {}, width, np.array([end], width).tobytes()
 
     def _part(self, part):
         """Ids of one match of the pattern."""
@@ -89,22 +103,18 @@ class _Pieces:
         """Ids of each text with the end id, as bytes. ``with_added`` marks texts for the library's own call."""
         if not self.plain:
             return [np.array(e.ids, self.width).tobytes() + self.end for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        known, out = self.known, []
+        known, out = self.known.__getitem__, []
         for t, marked in zip(texts, [False] * len(texts) if with_added is None else with_added):
             if marked:
                 out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.width).tobytes() + self.end)
                 continue
-            pieces = t.split(" ")
-            if "" in pieces or " \n" in t or "\n " in t or ODD.search(t):
-                pieces = CUT.split(t)
-            got = list(map(known.get, pieces))
-            got[0] = self._piece(pieces[0]) if pieces[0] else b""
-            if None in got:
-                for i, g in enumerate(got):
-                    if g is None:
-                        got[i] = self._piece(" " + pieces[i])
-                        if len(known) < REMEMBERED:
-                            known[pieces[i]] = got[i]
+            if "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or any(map(t.__contains__, ODD)):
+                pieces = iter(CUT.split(t))
+            else:
+                pieces = iter(t.split(" "))
+            first = next(pieces)
+            got = [self._piece(first) if first else b""]
+            got.extend(map(known, pieces))
             got.append(self.end)
             out.append(b"".join(got))
         return out
