@@ -109,3 +109,16 @@ def test_sql_twin(spark):
     name, sf = "op13_collocations", "/root/testdata/sf0.001"
     ok, message = compare(spark, duck(sf), queries.QUERIES[name], queries.ORACLES[name], sf)
     assert ok, message
+
+
+def test_extensions_stay_in_32_bits():
+    """The arrays of a shard take half of what 64 bits take, and hold the same extensions."""
+    s = np.random.default_rng(3).integers(0, 5, 400)
+    bwt = collocations.transform(s, 3)
+    size = np.bincount(bwt, minlength=5).astype(np.int32)
+    low = (np.cumsum(size) - size)[1:].astype(np.int32)
+    owner, symbol, count, new, offset = collocations.extended(bwt.astype(np.uint32), collocations.steps(bwt), low, size[1:])
+    assert all(a.dtype.itemsize == 4 for a in (owner, symbol, count, new, offset))
+    pairs = {(int(a), int(b)): int(n) for a, b, n in zip(symbol, owner + 1, count)}
+    ring = list(zip(s.tolist(), np.roll(s, -1).tolist()))
+    assert pairs == {p: ring.count(p) for p in set(ring) if 0 not in p}
