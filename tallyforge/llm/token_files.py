@@ -10,7 +10,7 @@ import json
 import re
 import sys
 import zlib
-from array import array
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,72 +28,94 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(huffman)
 
 LIMIT, EVERY, BLOCK = 16, 512, 1 << 19
-REMEMBERED = 250_000  # pieces whose ids a task keeps
+REMEMBERED = 1_000_000  # pieces whose ids a Python worker keeps
+TOGETHER = 1 << 23  # bytes of text that are encoded together
 # Fixed value: the pattern of byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ODD = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-class _Known(dict):
-    """Ids of the pieces met first; a new one is encoded behind its space."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece):
-        ids = self.encode(" " + piece)
-        if len(self) < REMEMBERED:
-            self[piece] = ids
-        return ids
-
-
 class _Pieces:
     """Encodes texts piece by piece; the pieces met first are remembered with their ids.
 
     The byte-level pattern never joins characters across a single space between two other characters: a token may
-    begin with that space but not contain it. Texts are cut there, and the pieces (but the first) keep the space. New
-    pieces are cut by the pattern, and the tokenizer's model merges what is new. A file with another pre-tokenizer
-    encodes whole texts. With ``added`` a text that holds an added token's string is encoded by the library's own call,
+    begin with that space but not contain it. Texts are cut there, and the pieces (but the first) keep the space. The new
+    pieces of many texts are cut by the pattern at once, and the tokenizer's model merges what is new. A file with another
+    pre-tokenizer encodes whole texts. With ``added`` a text that holds an added token's string is encoded by the library's own call,
     which gives that token; else such strings are ordinary text.
     """
 
     def __init__(self, path, end, width, added=False):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
         settings = json.loads(self.tokenizer.to_str())
-        before = settings["pre_tokenizer"] or {}
+        before, model, letters = settings["pre_tokenizer"] or {}, settings["model"], _byte_letters()
         self.added = [t["content"] for t in settings["added_tokens"]] if added else []
-        self.plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-        self.merge, self.pattern, self.letters = self.tokenizer.model.tokenize, regex.compile(PATTERN), _byte_letters()
-        self.space, self.code = chr(self.letters[32]), {"<u2": "H", "<u4": "I"}[width]
-        self.known, self.parts, self.width, self.end = _Known(self._piece), {}, width, np.array([end], width).tobytes()
-
-    def _part(self, part):
-        """Ids of one match of the pattern."""
-        ids = self.parts.get(part)
-        if ids is None:
-            if part.isascii() and part[1:].isalpha() and part[0] == " ":
-                letters = self.space + part[1:]
+        whole = {chr(x) for x in letters.values()} <= set(model["vocab"])
+        usual = model.get("type") == "BPE" and not any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+        self.plain = whole and usual and not settings["normalizer"] and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        self.pattern, self.width, self.end = regex.compile(PATTERN), width, np.array([end], width).tobytes()
+        self.known, self.parts = {}, {}  # ids of pieces behind a space, and of other matches of the pattern
+        if self.plain:
+            self.letters = np.array([letters[x] for x in range(255)] + [32], "<u2")  # 255 is no byte of a text; it becomes the space between matches
+            self.size = np.zeros(max(model["vocab"].values()) + 1, np.int64)  # bytes of each token
+            self.size[list(model["vocab"].values())] = list(map(len, model["vocab"]))
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = CharDelimiterSplit(" ")
+
+    def _merged(self, parts):
+        """Ids of matches of the pattern, merged by the tokenizer's model in one call."""
+        parts = [p.encode() for p in parts]
+        text = self.letters[np.frombuffer(b"\xff".join(parts), np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
+        wide, data = ids.itemsize, ids.tobytes()
+        stops = (_stops(self.size[ids], map(len, parts), len(parts)) * wide).tolist()
+        return [data[lo:hi] for lo, hi in zip([0, *stops], stops)]
+
+    def _ids(self, parts):
+        """Ids of each match of the pattern; one with a space before it is a piece, too."""
+        got, new = {}, []
+        for p in set(parts):
+            ids = self.known.get(p[1:]) if p[0] == " " else self.parts.get(p)
+            if ids is None:
+                new.append(p)
             else:
-                letters = part.encode().decode("latin-1").translate(self.letters)
-            ids = array(self.code, [t.id for t in self.merge(letters)]).tobytes()
-            if len(self.parts) < REMEMBERED:
-                self.parts[part] = ids
+                got[p] = ids
+        for p, ids in zip(new, self._merged(new) if new else []):
+            got[p] = ids
+            known, name = (self.known, p[1:]) if p[0] == " " else (self.parts, p)
+            if len(known) < REMEMBERED:
+                known[name] = ids
+        return list(map(got.__getitem__, parts))
+
+    def _whole(self, texts):
+        """Ids of each text, cut by the pattern alone."""
+        parts = [self.pattern.findall(t) for t in texts]
+        ids = iter(self._ids([p for some in parts for p in some]))
+        return [b"".join(islice(ids, len(some))) for some in parts]
+
+    def _behind_space(self, pieces):
+        """Ids of each piece behind its space. What is new is cut by the pattern in one pass."""
+        ids = list(map(self.known.get, pieces))
+        new = [i for i, x in enumerate(ids) if x is None]
+        plain = [i for i in new if pieces[i].isalpha()]  # the pattern leaves letters whole
+        others = [i for i in new if not pieces[i].isalpha()]
+        parts = self.pattern.findall("".join([" " + pieces[i] for i in others]))
+        got = self._ids([" " + pieces[i] for i in plain] + parts)
+        for i, x in zip(plain, got):
+            ids[i] = x
+        # No match goes over the end of a piece: it is followed by a space and another character.
+        stops = (_stops(list(map(len, parts)), [len(pieces[i]) + 1 for i in others], len(others)) + len(plain)).tolist()
+        for i, lo, hi in zip(others, [len(plain), *stops], stops):
+            ids[i] = b"".join(got[lo:hi])
+            if len(self.known) < REMEMBERED:
+                self.known[pieces[i]] = ids[i]
         return ids
 
-    def _piece(self, piece):
-        """Ids of a piece; most are a word behind a space, or one with a mark behind it."""
-        if piece[1:].isalpha():
-            if piece[0] == " " or piece[0].isalpha():
-                return self._part(piece)
-        elif piece[0] == " " and piece[-1:] in ".," and piece[1:-1].isalpha():
-            return self._part(piece[:-1]) + self._part(piece[-1])
-        return b"".join([self._part(p) for p in self.pattern.findall(piece)])
-
     def with_added(self, column):
         """Which texts of an Arrow column hold the string of an added token: one search of the whole column for each."""
         found = [pc.fill_null(pc.match_substring(column, t), False).to_numpy(zero_copy_only=False) for t in self.added]
@@ -103,23 +125,38 @@ class _Pieces:
         """Ids of each text with the end id, as bytes. ``with_added`` marks texts for the library's own call."""
         if not self.plain:
             return [np.array(e.ids, self.width).tobytes() + self.end for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        known, out = self.known.__getitem__, []
-        for t, marked in zip(texts, [False] * len(texts) if with_added is None else with_added):
+        marks = [False] * len(texts) if with_added is None else with_added
+        out, even = [None] * len(texts), []
+        for i, (t, marked) in enumerate(zip(texts, marks)):
             if marked:
-                out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.width).tobytes() + self.end)
-                continue
-            if "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or any(map(t.__contains__, ODD)):
-                pieces = iter(CUT.split(t))
+                out[i] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.width).tobytes() + self.end
+            elif "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or any(map(t.__contains__, ODD)):
+                first, *pieces = CUT.split(t)
+                out[i] = b"".join([*self._whole([first]), *self._behind_space(pieces), self.end])
+            elif t:
+                even.append(i)
             else:
-                pieces = iter(t.split(" "))
-            first = next(pieces)
-            got = [self._piece(first) if first else b""]
-            got.extend(map(known, pieces))
-            got.append(self.end)
-            out.append(b"".join(got))
+                out[i] = self.end
+        # All other texts at once: each different piece is looked up once, and its ids are copied to its places.
+        lists = pc.split_pattern(pa.array([texts[i] for i in even], pa.large_string()), " ")
+        words, bounds = lists.flatten().dictionary_encode(), lists.offsets.to_numpy()
+        pieces, place = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy().copy()
+        firsts = {}
+        for i, lo in zip(even, bounds.tolist()):
+            place[lo] = len(pieces) + firsts.setdefault(texts[i].partition(" ")[0], len(firsts))
+        ids = pa.array(self._behind_space(pieces) + self._whole(firsts), pa.large_binary()).take(pa.array(place))
+        _, ends, data = ids.buffers()
+        edges = np.frombuffer(ends, np.int64)[bounds].tolist() if even else []
+        for i, lo, hi in zip(even, edges, edges[1:]):
+            out[i] = data[lo:hi].to_pybytes() + self.end
         return out
 
 
+def _stops(inner, outer, n):
+    """Of two divisions of one sequence, given by sizes, how many inner parts each of the ``n`` outer parts and those before it hold."""
+    return np.searchsorted(np.cumsum(inner), np.cumsum(np.fromiter(outer, np.int64, n))) + 1
+
+
 def _byte_letters():
     """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next one from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -144,11 +181,18 @@ def _coded(docs, tokenizer, end, key, text, vocabulary, added):
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
     schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary()), ("seen", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
+    # What a broadcast holds is read once by a Python worker, so all tasks of a worker remember pieces together.
+    shared = docs.sparkSession.sparkContext.broadcast({})
+
     def encode(batches):
-        pieces, total = _Pieces(tokenizer, end, width, added), np.zeros(vocabulary, np.int64)
+        kept, total = shared.value, np.zeros(vocabulary, np.int64)
+        if not kept:
+            kept["pieces"] = _Pieces(tokenizer, end, width, added)
+        pieces = kept["pieces"]
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            edges = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // TOGETHER)) + 1).tolist(), batch.num_rows]
+            for part in (batch.slice(lo, hi - lo) for lo, hi in zip(edges, edges[1:])):
                 ids = pieces.encode([t or "" for t in part.column(1).to_pylist()], pieces.with_added(part.column(1)))
                 total += np.bincount(np.frombuffer(b"".join(ids), width), minlength=vocabulary)
                 none = pa.nulls(len(ids), pa.list_(pa.int64()))

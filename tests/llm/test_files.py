@@ -145,3 +145,21 @@ def test_equal_rows_spread_over_ranges(spark):
 def test_weights_must_be_positive():
     with pytest.raises(ValueError):
         sharding.shard_of([F.lit(1)], [1.0, 0.0])
+
+
+def test_new_pieces_are_merged_together(monkeypatch):
+    """The model is called once for the matches behind spaces and once for those at the starts of texts, not once for each piece."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [f"Start{i} word{i}, two{i}.\nThree %%% café{i}\n" for i in range(50)] + ["", "end\n", "\n", "one", "a  b \t c", " x ", "漢 字漢, \U0001f600 it's"]
+    for most in (1_000_000, 7):
+        monkeypatch.setattr(token_files, "REMEMBERED", most)
+        pieces, calls = token_files._Pieces(path, 0, "<u2"), []
+        merged = pieces._merged
+        monkeypatch.setattr(pieces, "_merged", lambda parts: calls.append(len(parts)) or merged(parts))
+        assert pieces.plain and len(pieces.encode(texts[:54])) == 54 and len(calls) <= 2
+        for _ in range(2):
+            got = [np.frombuffer(x, "<u2").tolist() for x in pieces.encode(texts)]
+            assert got == [[*pieces.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+        assert len(pieces.known) <= most
