@@ -5,7 +5,6 @@ than it has; the ratio of raked to present tokens is the probability to sample t
 """
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm.text import whole, words
@@ -60,59 +59,71 @@ def target_shares(cells, targets):
     return out
 
 
-def _filled(cells, dimension, shares, wanted):
+def _filled(cells, dimension, wanted):
     """``cells`` with weights scaled so that the margins of one dimension meet ``wanted`` times their targets.
 
     No weight exceeds the cell's tokens: the cells of a value are scaled by one factor f and trimmed, and f is the one with
     sum(least(tokens, f * weight)) = target. With cells in the order of tokens / weight that sum is the least of lines, one
     for each number of trimmed cells, so f is the greatest of the factors at which they reach the target.
     """
-    group = Window.partitionBy(dimension)
-    before = group.orderBy(F.col("tokens") / F.col("weight"), *DIMENSIONS).rowsBetween(Window.unboundedPreceding, -1)
-    target = F.col("target") * F.lit(float(wanted))
-    with_target = cells.join(shares[dimension], dimension)
-    placed = with_target.select("*", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("_full"),
-                                (F.sum("weight").over(group) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))).alias("_open"))
-    factor = F.max(F.when(F.col("_open") > 0, (target - F.col("_full")) / F.col("_open"))).over(group)
-    return placed.select("*", factor.alias("_factor")).select(*DIMENSIONS, "tokens", F.least(F.col("tokens").cast("double"), F.col("_factor") * F.col("weight")).alias("weight"))
+    of = f"PARTITION BY {dimension}"
+    before = f"({of} ORDER BY tokens / weight, {', '.join(DIMENSIONS)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    placed = cells.selectExpr("*", f"coalesce(sum(tokens) OVER {before}, 0) AS _full", f"sum(weight) OVER ({of}) - coalesce(sum(weight) OVER {before}, 0D) AS _open")
+    factor = f"max(CASE WHEN _open > 0 THEN ({dimension}_target * {float(wanted)!r}D - _full) / _open END) OVER ({of})"
+    filled = "least(cast(tokens AS double), _factor * weight) AS weight"
+    return placed.selectExpr("*", f"{factor} AS _factor").selectExpr(*[filled if n == "weight" else n for n in cells.columns])
 
 
-def _gap(cells, shares, wanted):
+def _gap(cells, wanted):
     """Largest difference of a margin from its target, as a share of all sampled tokens."""
     off = None
     for d in DIMENSIONS:
-        sums = cells.groupBy(d).agg(F.sum("weight").alias("sum")).join(shares[d], d)
-        gap = sums.select(F.abs(F.col("sum") / F.lit(float(wanted)) - F.col("target")).alias("gap"))
+        sums = cells.groupBy(d, f"{d}_target").agg(F.sum("weight").alias("sum"))
+        gap = sums.select(F.abs(F.col("sum") / F.lit(float(wanted)) - F.col(f"{d}_target")).alias("gap"))
         off = gap if off is None else off.unionAll(gap)
     return off.agg(F.max("gap")).first()[0] or 0.0
 
 
+def _hopeless(gaps, tolerance, left):
+    """Whether ``left`` more steps like the last one, each counted twice, would not bring the gap down to ``tolerance``."""
+    return len(gaps) > 1 and gaps[-1] * min(1.0, gaps[-1] / gaps[-2]) ** (2 * left) > tolerance
+
+
 def rake(cells, targets, share=1.0, tolerance=1e-5, most_rounds=60, least_share=0.01):
     """(cells, share): cells (source, lang, topic, tokens) with ``weight``, the tokens to sample; cells without tokens are left out.
 
     The margins of the weights are ``share`` of all tokens times the targets, to ``tolerance``, and no cell gives more
-    tokens than it has. Each round fills the targets of one dimension after the other (:func:`_filled`), and every fifth
-    is written to the shared folder. Where a value has fewer tokens than ``share`` asks for, ``share`` is lowered to what
-    it has; where the margins don't come together in ``most_rounds``, it is lowered by a tenth and raking starts anew. Below
-    ``least_share`` targets count as contradictory: an error.
+    tokens than it has. Each round fills the targets of one dimension after the other (:func:`_filled`) and is written to
+    the shared folder, so that no plan is longer than a round; margins are compared every fifth round. Where a value has
+    fewer tokens than ``share`` asks for, ``share`` is lowered to what it has; where the margins don't come together in
+    ``most_rounds``, or would not at twice the pace of the last five (:func:`_hopeless`), it is lowered by a tenth and raking
+    starts anew. Below ``least_share`` targets count as contradictory: an error.
     """
     shares = target_shares(cells, targets)
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    cells = stored(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")), "cells")
+    named = [*DIMENSIONS, "tokens", "weight"]
+    cells = cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")).select(*named)
     if not total:
-        return cells, share
+        return stored(cells, "cells"), share
+    for d in DIMENSIONS:
+        cells = cells.join(shares[d].withColumnRenamed("target", f"{d}_target"), d)
+    cells = stored(cells, "cells")
     for d in DIMENSIONS:
-        has = cells.groupBy(d).agg(F.sum("tokens").alias("has")).join(shares[d].where("target > 0"), d)
-        share = min(share, has.agg(F.min(F.col("has") / F.lit(float(total)) / F.col("target"))).first()[0] or share)
+        has = cells.where(F.col(f"{d}_target") > 0).groupBy(d, f"{d}_target").agg(F.sum("tokens").alias("has"))
+        share = min(share, has.agg(F.min(F.col("has") / F.lit(float(total)) / F.col(f"{d}_target"))).first()[0] or share)
     while share >= least_share:
-        now = cells
+        now, gaps = cells, []
         for done in range(1, most_rounds + 1):
             for d in DIMENSIONS:
-                now = _filled(now, d, shares, share * total)
-            if done % 5 == 0:
-                now = stored(now, "cells")
-                if _gap(now, shares, share * total) <= tolerance:
-                    return now, share
+                now = _filled(now, d, share * total)
+            now = stored(now, "cells")
+            if done % 5:
+                continue
+            gaps.append(_gap(now, share * total))
+            if gaps[-1] <= tolerance:
+                return now.select(*named), share
+            if _hopeless(gaps, tolerance, (most_rounds - done) // 5):
+                break
         share *= 0.9
     raise ValueError("the targets contradict each other in the cells that have tokens")
 

@@ -52,4 +52,5 @@ def stored(df, label="stage"):
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no job has to read it from the files
+    return df.sparkSession.read.schema(df.schema).parquet(path)

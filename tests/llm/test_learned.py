@@ -164,6 +164,22 @@ def test_contradictory_targets_are_an_error(spark):
         mixing.rake(table, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}, least_share=0.55, most_rounds=5)
 
 
+def test_raking_plans_do_not_grow(spark, monkeypatch):
+    """A round is written before the next; a share that the margins can't have is given up long before all rounds are done."""
+    plans, made = [], mixing.stored
+
+    def spied(df, label="stage"):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Window ["))
+        return made(df, label)
+
+    monkeypatch.setattr(mixing, "stored", spied)
+    table = spark.createDataFrame([("a", "x", "t", 100), ("b", "y", "t", 100)], "source string, lang string, topic string, tokens long")
+    with pytest.raises(ValueError):
+        mixing.rake(table, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}, least_share=0.55)
+    assert max(plans) <= 9 and sum(p > 0 for p in plans) == 10
+    assert not mixing._hopeless([0.5], 1e-5, 3) and not mixing._hopeless([1e-2, 1e-3], 1e-5, 2) and mixing._hopeless([1e-2, 9e-3], 1e-5, 3)
+
+
 def test_sample(docs, hard, empty):
     options = dict(targets={"source": 0.5, "lang": {"en": 0.5}}, share=0.6)
     got = mixing.sample(docs, **options).collect()
