@@ -135,8 +135,8 @@ def drop_tomek(df, columns, label, key, block_rows=BLOCK_ROWS, probes=PROBES):
     return df.join(gone, c(key).cast("long") == F.col("_gone"), "left_anti")
 
 
-def oversample_then_clean(df, columns, label, key, k=5, seed=42, block_rows=BLOCK_ROWS, probes=PROBES):
-    """Synthetic rows first, then removal of Tomek links."""
+def oversample_then_clean(df, columns, label, key, k=5, seed=42, block_rows=BLOCK_ROWS, probes=None):
+    """Synthetic rows first, then removal of Tomek links. Both search exactly unless ``probes`` bounds the leaves that a vector visits."""
     grown = stored(oversample(df, columns, label, key, k, seed, block_rows, probes), "grown")
     return drop_tomek(grown, columns, label, key, block_rows, probes)
 

@@ -254,6 +254,27 @@ def test_tomek_query_finds_all_links_over_many_leaves(spark, monkeypatch):
     assert want and sorted((r["a"], r["b"]) for r in load_all()[0]["e5_tomek_links"](spark, sf).collect()) == want
 
 
+def test_oversampling_then_cleaning_is_exact(spark, monkeypatch):
+    """Noise that reaches far more than sixteen leaves gives the rows of a search that compares all pairs, synthetic and given."""
+    x = np.random.default_rng(12).normal(size=(900, 8))
+    names = [f"v{i}" for i in range(8)]
+    df = spark.createDataFrame([(i, int(i % 4 == 0), *v.tolist()) for i, v in enumerate(x)], f"k bigint, y int, {', '.join(f'{n} double' for n in names)}")
+
+    def rows():
+        return sorted(tuple(r) for r in rebalance.oversample_then_clean(df, names, "y", "k", block_rows=4).collect())
+
+    def all_pairs(points, k, *_):
+        known = points.select("id", "vec").collect()
+        found = _brute(np.array([r["vec"] for r in known]), [r["id"] for r in known], k)
+        return spark.createDataFrame([(a, b, float(d)) for a, b, d in found], "id bigint, neighbour bigint, distance2 double")
+
+    got = rows()
+    monkeypatch.setattr(rebalance, "nearest", all_pairs)
+    want = rows()
+    assert len(want) < 1350 and any(r[0] < 0 for r in want)  # links were found among 675 rows of each class
+    assert got == want
+
+
 def test_split_sizes_are_exact_and_repeatable(spark, raw):
     train, test = split.stratified_split(raw, "Churn", "CustomerID")
     whole = {r["Churn"]: r["count"] for r in raw.groupBy("Churn").count().collect()}
