@@ -282,8 +282,8 @@ def evaluate_model(model, df, label):
     return {k: v for k, v in evaluate(scored(model, df, label)).first().asDict().items() if k != "n"}
 
 
-def train_all(train_df, test_df, columns, label, names=None, params=None, optimise=None, sampler=None, key=None, seed=42):
-    """``(models, metrics table rows)``; a model that fails is logged and left out.
+def train_all(train_df, test_df, columns, label, names=None, params=None, optimise=None, sampler=None, key=None, seed=42, strict=False):
+    """``(models, metrics table rows)``; a model that fails is logged and left out, or with ``strict`` an error.
 
     ``optimise(df, name)`` may replace plain training; it returns ``(model, params)``.
     """
@@ -301,6 +301,8 @@ def train_all(train_df, test_df, columns, label, names=None, params=None, optimi
                     models[name] = train(train_df, name, columns, label, (params or {}).get(name), sampler, key, seed)
                 metrics[name] = evaluate_model(models[name], test_df, label)
             except Exception as e:  # noqa: BLE001
+                if strict:
+                    raise RuntimeError(f"training {name} failed: {e}") from e
                 log.error("training %s failed: %s", name, e)
                 models.pop(name, None)
     finally:

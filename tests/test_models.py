@@ -94,6 +94,27 @@ def test_failed_models_are_left_out(raw):
         models.train_all(raw, raw, COLUMNS, "Churn", [])
 
 
+@pytest.mark.parametrize("step", ["_fit_named", "evaluate_model"])
+def test_a_failed_model_fails_the_query(spark, monkeypatch, step):
+    """A model that can't be trained or evaluated is no shorter table; its name and the reason are told."""
+    from tallyforge.catalog import modelling
+
+    columns = ", ".join(f"{n} double" for n in modelling.COLUMNS)
+    rows = spark.createDataFrame([(i, i % 2, *[float((i + j) % 5) for j in range(8)]) for i in range(40)], f"{modelling.KEY} bigint, {modelling.LABEL} int, {columns}")
+    monkeypatch.setattr(modelling, "parts", lambda *_: (rows, rows))
+    plain, calls = getattr(models, step), []
+
+    def first_fails(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise ArithmeticError("no convergence")
+        return plain(*args)
+
+    monkeypatch.setattr(models, step, first_fails)
+    with pytest.raises(RuntimeError, match="logistic_regression failed: no convergence"):
+        modelling.i10(spark, None)
+
+
 @pytest.mark.parametrize("values", [{"a": {"f1": 0.5}, "b": {"f1": 0.5}, "c": {}}, {"a": {}, "b": {"f1": 0.0}}])
 def test_best_model_first_wins(spark, values):
     assert metrics.best_model(models.metrics_table(spark, values)).first()["model"] == "a"
